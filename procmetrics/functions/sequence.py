@@ -106,36 +106,36 @@ def lag_first(
     w = W.partitionBy(*keys, "_chunk").orderBy(F.col(seq).asc_nulls_last())
     rows = rows.withColumns(
         {
-            "_lag": F.lag(value).over(w),
-            "_first": F.first(value).over(w),
-            "_pos": F.row_number().over(w),
+            "__lag": F.lag(value).over(w),
+            "__first": F.first(value).over(w),
+            "__pos": F.row_number().over(w),
         }
     )
     ends = (
         rows.where("_hot")
         .groupBy(*keys, "_chunk")
         .agg(
-            F.max_by(F.struct(value), F.struct(seq)).alias("_last"),
-            F.min_by(F.struct(value), F.struct(seq)).alias("_head"),
+            F.max_by(F.struct(value), F.struct(seq)).alias("__last"),
+            F.min_by(F.struct(value), F.struct(seq)).alias("__head"),
         )
     )
     along = W.partitionBy(*keys).orderBy("_chunk")
     carried = ends.select(
         *keys,
         "_chunk",
-        F.lag("_last").over(along).alias("_prev"),
-        F.first("_head").over(along).alias("_start"),
+        F.lag("__last").over(along).alias("__prev"),
+        F.first("__head").over(along).alias("__start"),
     )
     rows = _attach(rows, carried, keys)
     add = {}
     if lag_out:
         add[lag_out] = F.when(
-            F.col("_hot") & (F.col("_pos") == 1), F.col(f"_prev.{value}")
-        ).otherwise(F.col("_lag"))
+            F.col("_hot") & (F.col("__pos") == 1), F.col(f"__prev.{value}")
+        ).otherwise(F.col("__lag"))
     if first_out:
-        add[first_out] = F.when(F.col("_hot"), F.col(f"_start.{value}")).otherwise(F.col("_first"))
+        add[first_out] = F.when(F.col("_hot"), F.col(f"__start.{value}")).otherwise(F.col("__first"))
     return rows.withColumns(add).drop(
-        "_lag", "_first", "_pos", "_prev", "_start", "_chunk", "_hot"
+        "__lag", "__first", "__pos", "__prev", "__start", "_chunk", "_hot"
     )
 
 
