@@ -73,7 +73,7 @@ def fct_shipment(
 def with_shipped_by_request(fact: DataFrame) -> DataFrame:
     """Null-aware flag for the shipped-by-requested-date metric on order lines."""
     return fact.withColumn(
-        "is_shipped_by_requested_date",
+        "is_shipped_by_request_date",
         F.col("shipment_date") <= F.col("requested_delivery_date"))
 
 

@@ -158,19 +158,21 @@ def revenue_by_quarter(lines: DataFrame, site: str, date_col: str, amount: str)
     ).agg(F.sum(amount).alias("revenue"), F.count(F.lit(1)).alias("lines"))
 
 
-def forecast_error_by_class(accuracy: DataFrame, classes: DataFrame, keys: list[str]) -> DataFrame:
+def forecast_error_by_class(
+    accuracy: DataFrame, classes: DataFrame, keys: list[str], group: tuple[str, ...] = ("abc_class",)
+) -> DataFrame:
     """Median absolute percentage error per planning class."""
-    j = accuracy.join(classes.select(*keys, "abc_class", "xyz_class"), keys)
-    group = ["abc_class", "xyz_class"]
+    group = list(group)
+    j = accuracy.where("abs_pct_error is not null").join(classes.select(*keys, *group), keys)
     n = j.groupBy(*group).agg(F.count("abs_pct_error").alias("periods"))
     return n.join(exact_median(j, group, "abs_pct_error", "median_error", width=1.0), group)
 
 
-def lead_time(orders: DataFrame, ordered: str, shipped: str, sentinel) -> DataFrame:
-    """Order-to-ship days, the sentinel date read as not shipped."""
+def lead_time(orders: DataFrame, site: str, ordered: str, shipped: str, sentinel) -> DataFrame:
+    """Order-to-ship days per site, the sentinel date read as not shipped."""
     ship = F.nullif(F.col(shipped), F.lit(sentinel))
     days = F.datediff(ship, F.col(ordered))
-    return orders.agg(
+    return orders.groupBy(F.col(site).alias("site_code")).agg(
         F.count(F.lit(1)).alias("orders"), F.count(ship).alias("shipped"),
         F.round(ratio(F.sum(days), F.count(days)), 1).alias("mean_days"),
         F.min(days).alias("min_days"), F.max(days).alias("max_days"))
