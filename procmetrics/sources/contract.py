@@ -13,6 +13,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # fixed values: logical contract types
@@ -109,3 +110,18 @@ def drift_frame(spark, drifts) -> DataFrame:
     return spark.createDataFrame(
         rows, "source_name string, table_name string, column_name string, change string"
     )
+
+
+def drift_impact(drift: Drift, before: DataFrame, after: DataFrame) -> DataFrame:
+    """Non-null values behind each change: lost ones as they were, new ones as they are."""
+    out = None
+    for df, change, cols in ((before, "lost", drift.missing), (after, "new", drift.added)):
+        if not cols:
+            continue
+        counted = df.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)])
+        rows = F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.lit(change).alias("change"),
+                     F.col(f"n{i}").alias("values_affected")) for i, c in enumerate(cols)]))
+        one = counted.select(rows.alias("r")).select("r.*")
+        out = one if out is None else out.unionByName(one)
+    return out

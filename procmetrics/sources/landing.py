@@ -98,16 +98,20 @@ def read_latest_drop(
 ) -> DataFrame:
     """The newest ``TABLE_yyyymmdd….csv``, by header name, all text, '' as null.
 
-    Only file names are listed to find the newest one; the rows are read once,
-    on the executors. A missing or stale file fails, because it looks exactly
-    like a report without changes.
+    Only paths are listed to find the newest drop; the rows are read once, on
+    the executors. A drop is a file, or a folder of parts with the same name. A
+    missing or stale drop fails, because it looks exactly like a report without
+    changes.
     """
-    stamp = F.regexp_extract("path", r"/" + re.escape(table.upper()) + r"_(\d{8})[^/]*\.csv$", 1)
+    stem = r"/" + re.escape(table.upper()) + r"_(\d{8})[^/]*\.csv"
+    drop = F.regexp_extract("path", f"^(.*{stem})(?:/[^/]*)?$", 1)
+    stamp = F.regexp_extract("path", stem + r"(?:/[^/]*)?$", 1)
     listing = (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"{table.upper()}_*.csv")
+        .option("pathGlobFilter", "*.csv")
+        .option("recursiveFileLookup", True)
         .load(folder)
-        .select("path", stamp.alias("stamp"))
+        .select(drop.alias("path"), stamp.alias("stamp"))
         .where("stamp <> ''")
     )
     # the path as tie-break: two drops on one day, the later name wins
@@ -119,10 +123,7 @@ def read_latest_drop(
     if age > max_age_days:
         raise StaleExportError(f"{newest.path} is {age} days old, limit {max_age_days}")
     # without inference every CSV column is read as text; empty reads as null
-    return (
-        spark.read.option("header", True).option("multiLine", False).option("nullValue", "")
-        .option("quote", '"').option("escape", '"').csv(newest.path)
-    )
+    return spark.read.option("header", True).option("escape", '"').csv(newest.path)
 
 
 # ------------------------------------------------------------- watermarks
