@@ -33,13 +33,16 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
     )
 
 
-def _with_chunk(df, keys, chunk: Sequence[Column], hot_rows):
+def _with_chunk(df, keys, chunk: Sequence[Column], hot_rows, size: Column | None = None):
+    value = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(chunk)])
+    if size is not None:
+        marked = df.withColumn("_hot", size > hot_rows)
+        return marked.withColumn("_chunk", F.when(F.col("_hot"), value))
     # null keys form a group of their own in a window; keep them joinable
     hk = [f"_k{i}" for i in range(len(keys))]
     hot = hot_keys(df, keys, hot_rows)
     hot = hot.select(*[F.col(k).alias(h) for k, h in zip(keys, hk)], "_hot")
     cond = [F.col(k).eqNullSafe(F.col(h)) for k, h in zip(keys, hk)]
-    value = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(chunk)])
     return (
         df.join(F.broadcast(hot), cond, "left")
         .withColumn("_chunk", F.when(F.col("_hot"), value))
@@ -69,13 +72,15 @@ def row_number(
     chunk: Sequence[Column],
     out: str,
     hot_rows: int = HOT_ROWS,
+    size: Column | None = None,
 ) -> DataFrame:
     """``row_number() over (partition by keys order by order)`` as column ``out``.
 
     ``order`` must be total within a key. ``chunk`` are columns that never
-    decrease along ``order``.
+    decrease along ``order``. ``size`` gives a key's number of rows where the
+    caller already knows it, and saves counting them.
     """
-    rows = _with_chunk(df, keys, chunk, hot_rows)
+    rows = _with_chunk(df, keys, chunk, hot_rows, size)
     rows = rows.withColumn(
         "_rn", F.row_number().over(W.partitionBy(*keys, "_chunk").orderBy(*order))
     )

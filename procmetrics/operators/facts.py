@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,63 +13,85 @@ from .fx import with_fx
 from .lines import LINE_KEY
 
 
+def pick(df: DataFrame, columns: dict, need: Collection[str] | None) -> DataFrame:
+    """Project to the named columns, or to those of them that are needed."""
+    return df.select(*[c.alias(n) for n, c in columns.items() if need is None or n in need])
+
+
+def wants(need: Collection[str] | None, *names: str) -> bool:
+    """Whether a side is worth joining: some column it feeds is needed.
+
+    The sides are unique on the join key, so leaving one out changes no row.
+    The optimizer cannot know that and would keep every join.
+    """
+    return need is None or not set(names).isdisjoint(need)
+
+
 def _usd(col: str):
     # both factors narrowed first: a summed amount times a rate would pass 38 digits
     return (F.col(col).cast(MONEY) * F.col("fx_rate").cast("decimal(18,6)")).cast(MONEY)
 
 
+_CHARGES = ("charge_total_usd", "cost_variance_usd", "freight_usd", "fuel_surcharge_usd",
+            "accessorial_usd", "detention_usd", "liftgate_usd", "residential_usd",
+            "charge_line_count")
+_MILES = ("picked_up_date", "transit_days", "event_count", "had_exception",
+          "has_out_of_sequence_events", "out_of_sequence_event_count")
+_LINKS = ("sales_order_number", "customer_code", "customer_requested_delivery_date",
+          "customer_resolution_method", "has_order_reference", "order_date", "primary_rep_code")
+
+
 def fct_shipment(
     shipments: DataFrame, charges: DataFrame, miles: DataFrame, links: DataFrame,
-    policy: Policy = DEFAULT,
+    policy: Policy = DEFAULT, need: Collection[str] | None = None,
 ) -> DataFrame:
     """Shipment header with charge mix, milestones and the resolved order and customer.
 
-    All four inputs are keyed by shipment_id, so the three joins share one
-    partitioning of the shipments.
+    All inputs are keyed by shipment_id, so the joins share one partitioning.
+    ``need`` names the wanted columns; a side none of them comes from is left out.
     """
-    charge = charges.drop("header_cost_usd")
-    mile = miles.select("shipment_id", "picked_up_date", "transit_days", "event_count",
-                        "had_exception", "out_of_sequence_event_count",
-                        "has_out_of_sequence_events")
-    link = links.select("shipment_id", "sales_order_number", "customer_code",
-                        "customer_requested_delivery_date", "customer_resolution_method",
-                        "has_order_reference", "order_date", "primary_rep_code")
-    j = (
-        shipments.join(charge, "shipment_id", "left")
-        .join(mile, "shipment_id", "left")
-        .join(link, "shipment_id", "left")
-    )
-    delivered = F.col("delivered_date")
-    promised = F.col("carrier_promised_delivery_date")
-    requested = F.col("customer_requested_delivery_date")
-    cost = "charge_total_usd" if policy.shipment_cost_basis == "charge_lines" else "header_cost_usd"
-    return j.select(
-        "shipment_id",
-        date_key(F.col("ship_date")).alias("ship_date_key"),
-        date_key(delivered).alias("delivered_date_key"),
-        fk(F.col("customer_code"), policy.erp_key_prefix).alias("customer_key"),
-        "customer_code",
-        fk(F.col("origin_site_code")).alias("site_code"),
-        fk(F.col("carrier_scac")).alias("carrier_scac"),
-        "sales_order_number", "primary_rep_code", "reference_number", "service_level",
-        "transport_mode", "shipment_status", "destination_city", "destination_state",
-        "destination_postal_code", "destination_country", "customer_resolution_method",
-        "has_order_reference", "ship_date", "picked_up_date", "carrier_promised_delivery_date",
-        "customer_requested_delivery_date", "delivered_date", "order_date", "weight_lb",
-        "piece_count", "transit_days", "event_count", "charge_total_usd", "header_cost_usd",
-        "cost_variance_usd", "freight_usd", "fuel_surcharge_usd", "accessorial_usd",
-        "detention_usd", "liftgate_usd", "residential_usd", "charge_line_count",
-        F.col(cost).alias("shipment_cost_usd"),
-        F.lit(policy.shipment_cost_basis).alias("shipment_cost_basis"),
-        delivered.isNotNull().alias("is_delivered"),
+    on_lines = policy.shipment_cost_basis == "charge_lines"
+    j = shipments
+    if wants(need, *_CHARGES, *(("shipment_cost_usd",) if on_lines else ())):
+        j = j.join(charges.select("shipment_id", *_CHARGES), "shipment_id", "left")
+    if wants(need, *_MILES):
+        j = j.join(miles.select("shipment_id", *_MILES), "shipment_id", "left")
+    if wants(need, *_LINKS, "customer_key", "is_on_time_vs_customer_request",
+             "days_late_vs_customer_request"):
+        j = j.join(links.select("shipment_id", *_LINKS), "shipment_id", "left")
+    c = F.col
+    delivered = c("delivered_date")
+    promised = c("carrier_promised_delivery_date")
+    requested = c("customer_requested_delivery_date")
+    same = lambda *names: {n: c(n) for n in names}
+    return pick(j, {
+        **same("shipment_id"),
+        "ship_date_key": date_key(c("ship_date")),
+        "delivered_date_key": date_key(delivered),
+        "customer_key": fk(c("customer_code"), policy.erp_key_prefix),
+        **same("customer_code"),
+        "site_code": fk(c("origin_site_code")),
+        "carrier_scac": fk(c("carrier_scac")),
+        **same("sales_order_number", "primary_rep_code", "reference_number", "service_level",
+               "transport_mode", "shipment_status", "destination_city", "destination_state",
+               "destination_postal_code", "destination_country", "customer_resolution_method",
+               "has_order_reference", "ship_date", "picked_up_date",
+               "carrier_promised_delivery_date", "customer_requested_delivery_date",
+               "delivered_date", "order_date", "weight_lb", "piece_count", "transit_days",
+               "event_count", "charge_total_usd", "header_cost_usd", "cost_variance_usd",
+               "freight_usd", "fuel_surcharge_usd", "accessorial_usd", "detention_usd",
+               "liftgate_usd", "residential_usd", "charge_line_count"),
+        "shipment_cost_usd": c("charge_total_usd" if on_lines else "header_cost_usd"),
+        "shipment_cost_basis": F.lit(policy.shipment_cost_basis),
+        "is_delivered": delivered.isNotNull(),
         # null while undelivered: a comparison with null is null
-        (delivered <= promised).alias("is_on_time_vs_carrier_promise"),
-        (delivered <= requested).alias("is_on_time_vs_customer_request"),
-        F.lit(policy.otd_promise_basis).alias("otd_promise_basis"),
-        F.datediff(delivered, promised).alias("days_late_vs_carrier_promise"),
-        F.datediff(delivered, requested).alias("days_late_vs_customer_request"),
-        "had_exception", "has_out_of_sequence_events", "out_of_sequence_event_count",
-    )
+        "is_on_time_vs_carrier_promise": delivered <= promised,
+        "is_on_time_vs_customer_request": delivered <= requested,
+        "otd_promise_basis": F.lit(policy.otd_promise_basis),
+        "days_late_vs_carrier_promise": F.datediff(delivered, promised),
+        "days_late_vs_customer_request": F.datediff(delivered, requested),
+        **same("had_exception", "has_out_of_sequence_events", "out_of_sequence_event_count"),
+    }, need)
 
 
 def with_shipped_by_request(fact: DataFrame) -> DataFrame:
@@ -101,81 +125,94 @@ def returned_per_line(returns: DataFrame) -> DataFrame:
 def fct_sales_order_line(
     order_lines: DataFrame, order_headers: DataFrame, invoice_lines: DataFrame,
     invoice_headers: DataFrame, returns: DataFrame, fx: DataFrame, policy: Policy = DEFAULT,
+    need: Collection[str] | None = None,
 ) -> DataFrame:
-    """Order lines with what was invoiced and returned folded in, both currencies."""
-    zero = F.lit(0)
+    """Order lines with what was invoiced and returned folded in, both currencies.
+
+    ``need`` as for shipments.
+    """
     head = order_headers.select(
         "sales_order_number", "sales_site_code", "ordering_customer_code",
         "invoicing_customer_code", "order_date", "shipment_date", "currency_code",
         "order_status", "primary_rep_code")
-    j = (
-        order_lines.join(invoiced_per_line(invoice_lines, invoice_headers), LINE_KEY, "left")
-        .join(returned_per_line(returns), LINE_KEY, "left")
-        .join(head, "sales_order_number")
-    )
-    j = with_fx(j, fx, "currency_code", "order_date").withColumns({
-        c: F.coalesce(F.col(c), zero)
-        for c in ("invoiced_amount", "invoice_line_count", "returned_qty", "returned_amount",
-                  "return_line_count")
-    })
-    return j.select(
-        *LINE_KEY,
-        date_key(F.col("order_date")).alias("order_date_key"),
-        date_key(F.col("requested_delivery_date")).alias("requested_delivery_date_key"),
-        fk(F.col("ordering_customer_code"), policy.erp_key_prefix).alias("customer_key"),
-        F.col("ordering_customer_code").alias("customer_code"), "invoicing_customer_code",
-        fk(F.col("item_code")).alias("item_code"),
-        fk(F.col("shipping_site_code")).alias("site_code"),
-        "sales_site_code", "primary_rep_code", "order_status", "unit_of_measure",
-        "item_description_at_order", F.col("currency_code").alias("document_currency_code"),
-        "order_date", "requested_delivery_date", "shipment_date", "ordered_qty", "shipped_qty",
-        (F.col("ordered_qty") - F.col("shipped_qty")).alias("open_qty"), "returned_qty",
-        F.col("gross_unit_price").alias("gross_unit_price_doc"),
-        F.col("net_unit_price").alias("net_unit_price_doc"),
-        F.col("discount_amount").alias("discount_amount_doc"),
-        F.col("line_net_amount").alias("line_net_amount_doc"),
-        _usd("line_net_amount").alias("line_net_amount_usd"),
-        _usd("discount_amount").alias("discount_amount_usd"),
-        _usd("invoiced_amount").alias("invoiced_amount_usd"),
-        _usd("returned_amount").alias("returned_amount_usd"),
-        F.col("fx_rate").cast("decimal(18,6)").alias("fx_rate"), "fx_rate_is_fallback",
-        (F.col("shipped_qty") >= F.col("ordered_qty")).alias("is_fully_shipped"),
-        F.col("shipment_date").isNull().alias("has_no_shipment_date"),
-        (F.col("invoice_line_count") > 0).alias("is_invoiced"),
-        (F.col("return_line_count") > 0).alias("is_returned"),
-        "first_return_date",
-    )
+    j, folded = order_lines, []
+    if wants(need, "invoiced_amount_usd", "is_invoiced"):
+        j = j.join(invoiced_per_line(invoice_lines, invoice_headers), LINE_KEY, "left")
+        folded += ["invoiced_amount", "invoice_line_count"]
+    if wants(need, "returned_amount_usd", "is_returned", "returned_qty", "first_return_date"):
+        j = j.join(returned_per_line(returns), LINE_KEY, "left")
+        folded += ["returned_qty", "returned_amount", "return_line_count"]
+    j = j.join(head, "sales_order_number")
+    if wants(need, "line_net_amount_usd", "discount_amount_usd", "invoiced_amount_usd",
+             "returned_amount_usd", "fx_rate", "fx_rate_is_fallback"):
+        j = with_fx(j, fx, "currency_code", "order_date")
+    if folded:
+        j = j.withColumns({f: F.coalesce(F.col(f), F.lit(0)) for f in folded})
+    c = F.col
+    return pick(j, {
+        **{k: c(k) for k in LINE_KEY},
+        "order_date_key": date_key(c("order_date")),
+        "requested_delivery_date_key": date_key(c("requested_delivery_date")),
+        "customer_key": fk(c("ordering_customer_code"), policy.erp_key_prefix),
+        "customer_code": c("ordering_customer_code"),
+        "invoicing_customer_code": c("invoicing_customer_code"),
+        "item_code": fk(c("item_code")), "site_code": fk(c("shipping_site_code")),
+        **{k: c(k) for k in ("sales_site_code", "primary_rep_code", "order_status",
+                             "unit_of_measure", "item_description_at_order")},
+        "document_currency_code": c("currency_code"),
+        **{k: c(k) for k in ("order_date", "requested_delivery_date", "shipment_date",
+                             "ordered_qty", "shipped_qty")},
+        "open_qty": c("ordered_qty") - c("shipped_qty"), "returned_qty": c("returned_qty"),
+        "gross_unit_price_doc": c("gross_unit_price"), "net_unit_price_doc": c("net_unit_price"),
+        "discount_amount_doc": c("discount_amount"), "line_net_amount_doc": c("line_net_amount"),
+        "line_net_amount_usd": _usd("line_net_amount"),
+        "discount_amount_usd": _usd("discount_amount"),
+        "invoiced_amount_usd": _usd("invoiced_amount"),
+        "returned_amount_usd": _usd("returned_amount"),
+        "fx_rate": c("fx_rate").cast("decimal(18,6)"),
+        "fx_rate_is_fallback": c("fx_rate_is_fallback"),
+        "is_fully_shipped": c("shipped_qty") >= c("ordered_qty"),
+        "has_no_shipment_date": c("shipment_date").isNull(),
+        "is_invoiced": c("invoice_line_count") > 0,
+        "is_returned": c("return_line_count") > 0,
+        "first_return_date": c("first_return_date"),
+    }, need)
 
 
 def fct_invoice_line(
     invoice_lines: DataFrame, invoice_headers: DataFrame, customers: DataFrame, fx: DataFrame,
-    policy: Policy = DEFAULT,
+    policy: Policy = DEFAULT, need: Collection[str] | None = None,
 ) -> DataFrame:
+    """Invoice lines with settlement; days to pay stay null while unpaid."""
     head = invoice_headers.select(
         "invoice_number", "invoice_type_code", "invoice_date", "customer_code",
         "sales_site_code", "currency_code", "payment_date", "accounting_date")
-    terms = customers.select(F.col("customer_code").alias("_code"), "payment_term_code")
-    j = invoice_lines.join(head, "invoice_number").join(
-        terms, F.col("customer_code") == F.col("_code"), "left")
-    paid = F.col("payment_date")
-    return with_fx(j, fx, "currency_code", "invoice_date").select(
-        "invoice_number", "invoice_line_number",
-        date_key(F.col("invoice_date")).alias("invoice_date_key"),
-        date_key(paid).alias("payment_date_key"),
-        fk(F.col("customer_code"), policy.erp_key_prefix).alias("customer_key"),
-        "customer_code", fk(F.col("item_code")).alias("item_code"),
-        fk(F.col("shipping_site_code")).alias("site_code"), "sales_site_code",
-        "sales_order_number", "sales_order_line_number", "invoice_type_code",
-        "payment_term_code", "item_description_at_invoice",
-        F.col("currency_code").alias("document_currency_code"),
-        "invoice_date", "payment_date", "accounting_date", "invoiced_qty",
-        F.col("net_unit_price").alias("net_unit_price_doc"),
-        F.col("line_net_amount").alias("line_net_amount_doc"),
-        _usd("line_net_amount").alias("line_net_amount_usd"),
-        F.col("fx_rate").cast("decimal(18,6)").alias("fx_rate"), "fx_rate_is_fallback",
-        paid.isNotNull().alias("is_settled"), paid.isNull().alias("is_unsettled"),
-        F.datediff(paid, F.col("invoice_date")).alias("days_to_pay_settled_only"),
-    )
+    j = invoice_lines.join(head, "invoice_number")
+    if wants(need, "payment_term_code"):
+        terms = customers.select(F.col("customer_code").alias("_code"), "payment_term_code")
+        j = j.join(terms, F.col("customer_code") == F.col("_code"), "left")
+    if wants(need, "line_net_amount_usd", "fx_rate", "fx_rate_is_fallback"):
+        j = with_fx(j, fx, "currency_code", "invoice_date")
+    c = F.col
+    paid = c("payment_date")
+    return pick(j, {
+        "invoice_number": c("invoice_number"), "invoice_line_number": c("invoice_line_number"),
+        "invoice_date_key": date_key(c("invoice_date")), "payment_date_key": date_key(paid),
+        "customer_key": fk(c("customer_code"), policy.erp_key_prefix),
+        "customer_code": c("customer_code"), "item_code": fk(c("item_code")),
+        "site_code": fk(c("shipping_site_code")),
+        **{k: c(k) for k in ("sales_site_code", "sales_order_number", "sales_order_line_number",
+                             "invoice_type_code", "payment_term_code",
+                             "item_description_at_invoice")},
+        "document_currency_code": c("currency_code"),
+        **{k: c(k) for k in ("invoice_date", "payment_date", "accounting_date", "invoiced_qty")},
+        "net_unit_price_doc": c("net_unit_price"), "line_net_amount_doc": c("line_net_amount"),
+        "line_net_amount_usd": _usd("line_net_amount"),
+        "fx_rate": c("fx_rate").cast("decimal(18,6)"),
+        "fx_rate_is_fallback": c("fx_rate_is_fallback"),
+        "is_settled": paid.isNotNull(), "is_unsettled": paid.isNull(),
+        "days_to_pay_settled_only": F.datediff(paid, c("invoice_date")),
+    }, need)
 
 
 def fct_supplier_invoice_line(matched: DataFrame) -> DataFrame:

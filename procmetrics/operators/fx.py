@@ -40,18 +40,24 @@ def fx_rates(gl_lines: DataFrame, gl_headers: DataFrame, policy: Policy = DEFAUL
 
 
 def with_fx(df: DataFrame, fx: DataFrame, currency: str, date_col: str) -> DataFrame:
-    """Adds ``fx_rate`` (month, else currency, else 1) and ``fx_rate_is_fallback``."""
-    month = fx.select(F.col("currency_code").alias("_cur"), "rate_month",
-                      F.col("rate_to_reporting_currency").alias("_rate"))
-    default = fx.groupBy(F.col("currency_code").alias("_dcur")).agg(
-        F.max("fallback_rate").alias("_fallback"))
+    """Adds ``fx_rate`` (month, else currency, else 1) and ``fx_rate_is_fallback``.
+
+    The months of a currency are folded into one map, so a single join on the
+    currency serves both the month and the fallback. The side has one row per
+    currency and the map one entry per calendar month.
+    """
+    rates = fx.groupBy(F.col("currency_code").alias("_cur")).agg(
+        F.map_from_entries(F.collect_list(
+            F.struct("rate_month", "rate_to_reporting_currency"))).alias("_rates"),
+        F.max("fallback_rate").alias("_fallback"),
+    )
+    month = F.try_element_at("_rates", F.trunc(F.col(date_col), "MM"))
     return (
-        df.join(month, (F.col(currency) == F.col("_cur"))
-                & (F.trunc(F.col(date_col), "MM") == F.col("rate_month")), "left")
-        .join(default, F.col(currency) == F.col("_dcur"), "left")
+        df.join(rates, F.col(currency) == F.col("_cur"), "left")
+        .withColumn("_rate", month)
         .withColumns({
             "fx_rate": F.coalesce("_rate", "_fallback", F.lit(1).cast("decimal(18,6)")),
             "fx_rate_is_fallback": F.col("_rate").isNull(),
         })
-        .drop("_cur", "rate_month", "_rate", "_dcur", "_fallback")
+        .drop("_cur", "_rates", "_fallback", "_rate")
     )

@@ -140,31 +140,41 @@ def customer_xref(
     comp = company_keys(companies, suffixes)
     cust = customer_keys(customers, suffixes)
     left = comp.select("u", "a", "c", "s").distinct()
-    right = cust.select("u", "a", "c").distinct()
-    lengths = stem_lengths(left, "s", min_stem)
+    right = cust.groupBy("u", "a", "c").agg(F.count(F.lit(1)).alias("members"))
     lp = _left_probes(left, min_stem).select(
         *[F.col(x).alias(f"l_{x}") for x in "uacs"], "method", "key")
-    rp = _right_probes(right, lengths).select(
-        *[F.col(x).alias(f"r_{x}") for x in "uac"], "method", "key")
+    rp = _right_probes(right, stem_lengths(left, "s", min_stem)).select(
+        *[F.col(x).alias(f"r_{x}") for x in "uac"], "members", "method", "key")
     conf = _confidence(F.col("method"), CUSTOMER_PROBES)
+    l_name, r_name = [f"l_{x}" for x in "uacs"], [f"r_{x}" for x in "uac"]
     names = (
         lp.join(rp, ["method", "key"])
         .withColumn("confidence", conf)
-        .groupBy("l_u", "l_a", "l_c", "l_s", "r_u", "r_a", "r_c")
+        .groupBy(*l_name, *r_name, "members")
         .agg(
             F.max("confidence").alias("confidence"),
             F.max_by("method", "confidence").alias("match_method"),
             F.count(F.lit(1)).alias("probes_agreeing"),
         )
     )
+    # ties are counted on names, weighted by the customers that carry them
+    per_conf = {f"n{i}": F.lit(f"{v:.2f}").cast("decimal(4,2)")
+                for i, v in enumerate(CUSTOMER_PROBES.values())}
+    sizes = names.groupBy(*[F.col(x).alias(f"_{x}") for x in l_name]).agg(
+        F.sum("members").alias("_total"),
+        *[F.sum(F.when(F.col("confidence") == v, F.col("members"))).alias(n)
+          for n, v in per_conf.items()])
+    tied = F.coalesce(*[F.when(F.col("confidence") == v, F.col(n)) for n, v in per_conf.items()])
+    names = names.join(
+        sizes, [F.col(x).eqNullSafe(F.col(f"_{x}")) for x in l_name]
+    ).select(*l_name, *r_name, "confidence", "match_method", "probes_agreeing", "_total",
+             tied.alias("_tied"))
     on_left = [comp[x].eqNullSafe(names[f"l_{x}"]) for x in "uacs"]
     on_right = [cust[x].eqNullSafe(names[f"r_{x}"]) for x in "uac"]
     pairs = comp.join(names, on_left).join(cust, on_right).select(
         "company_id", "company_name", "domain", "is_archived", "customer_code", "customer_name",
-        "match_method", "confidence", "probes_agreeing",
+        "match_method", "confidence", "probes_agreeing", "_total", "_tied",
     )
-    ties = pairs.groupBy(F.col("company_id").alias("_id"), F.col("confidence").alias("_conf")).agg(
-        F.count(F.lit(1)).alias("_tied"))
     ranked = row_number(
         pairs,
         ["company_id"],
@@ -172,10 +182,9 @@ def customer_xref(
         [-F.col("confidence"), -F.col("probes_agreeing"), F.substring("customer_code", 1, 6)],
         "candidate_rank",
         hot_rows,
+        size=F.col("_total"),
     )
-    return ranked.join(
-        ties, (F.col("company_id") == F.col("_id")) & (F.col("confidence") == F.col("_conf"))
-    ).select(
+    return ranked.select(
         surrogate_key(F.col("company_id"), F.col("customer_code")).alias("customer_xref_key"),
         F.col("company_id").alias("crm_company_id"),
         F.col("company_name").alias("crm_company_name"),
@@ -279,24 +288,27 @@ def employee_xref(
         F.col("rep_name").alias("source_label"),
         F.lit("person_name").alias("match_method"), K.name_upper(F.col("rep_name")).alias("key"),
     ))
-    known = people.withColumn("p", F.explode(F.array(
+    probe = F.explode(F.array(
         F.struct(F.lit("work_email").alias("match_method"), F.col("work_email").alias("key")),
         F.struct(F.lit("person_name").alias("match_method"), F.col("person_name_key").alias("key")),
-    ))).select(*people.columns, "p.match_method", "p.key").drop("person_name_key")
-    pairs = asked.join(known, ["match_method", "key"]).drop("key").withColumn(
-        "confidence", _confidence(F.col("match_method"), EMPLOYEE_PROBES))
-    counts = pairs.groupBy(
-        F.col("source_system").alias("_s"), F.col("source_key").alias("_k")
-    ).agg(F.count(F.lit(1)).alias("_n"))
+    ))
+    known = people.withColumn("p", probe).select(*people.columns, "p.match_method", "p.key").drop(
+        "person_name_key")
+    # a record is looked up by one key, so its candidates are the people with that key
+    carried = known.groupBy("match_method", "key").agg(F.count(F.lit(1)).alias("_n"))
+    pairs = (
+        asked.join(carried, ["match_method", "key"])
+        .join(known, ["match_method", "key"])
+        .drop("key")
+        .withColumn("confidence", _confidence(F.col("match_method"), EMPLOYEE_PROBES))
+    )
     ranked = row_number(
         pairs, ["source_system", "source_key"],
         [F.desc("confidence"), F.asc("employee_code")],
         [-F.col("confidence"), F.substring("employee_code", 1, 6)],
-        "candidate_rank", hot_rows,
+        "candidate_rank", hot_rows, size=F.col("_n"),
     )
-    return ranked.join(
-        counts, (F.col("source_system") == F.col("_s")) & (F.col("source_key") == F.col("_k"))
-    ).select(
+    return ranked.select(
         surrogate_key(F.col("source_system"), F.col("source_key"), F.col("employee_code"))
         .alias("employee_xref_key"),
         "source_system", "source_key", "source_label",

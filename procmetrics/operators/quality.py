@@ -9,8 +9,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.clean import ratio
 from ..functions.sequence import bounded_list
-from ..plans.metrics import Metric, direct, evaluate, is_reaggregatable, rollup
+from ..plans.metrics import Catalog, is_reaggregatable
 
 # ------------------------------------------------------ failing rows
 
@@ -108,38 +109,52 @@ def run_checks(tables: Sequence[tuple[DataFrame, Sequence[Check]]]) -> DataFrame
 # ------------------------------------------------------ whole-model checks
 
 
-def metric_parity(metrics: Mapping[str, Metric], models: Mapping[str, DataFrame],
-                  tolerance: float = 1e-6) -> DataFrame:
+def metric_parity(catalog: Catalog, tolerance: float = 1e-6) -> DataFrame:
     """Rolled-up metric rows against the aggregates on the fact, per metric.
 
     A metric that does not re-aggregate cannot fail: its rows are expected to
-    differ, and whether they do is reported.
+    differ, and whether they do is reported. Metrics of one fact share a pass.
     """
-    out = None
-    for m in metrics.values():
-        if m.is_blocked:
-            continue
-        fact = models[m.base]
-        rows = evaluate(m, fact)
-        if is_reaggregatable(m):
-            total = rollup(m, rows)
-        else:
-            total = rows.agg(F.sum("numerator").alias("numerator"),
-                             F.sum("denominator").alias("denominator")).withColumn(
-                "metric_value",
-                F.col("numerator").cast("double") / F.nullif(F.col("denominator"), F.lit(0)))
-        a = total.select(F.col("metric_value").alias("from_rows"))
-        b = direct(m, fact).select(F.col("metric_value").alias("from_fact"))
-        gap = F.abs(F.col("from_rows") - F.col("from_fact"))
-        agrees = F.coalesce(
-            gap <= F.greatest(F.abs("from_rows"), F.abs("from_fact"), F.lit(1.0)) * tolerance,
-            F.col("from_rows").isNull() & F.col("from_fact").isNull())
-        one = a.join(F.broadcast(b)).select(
-            F.lit(m.name).alias("metric_name"), "from_rows", "from_fact",
-            F.lit(is_reaggregatable(m)).alias("is_reaggregatable"), agrees.alias("agrees"),
-            (agrees | F.lit(not is_reaggregatable(m))).alias("passes"))
-        out = one if out is None else out.unionByName(one)
-    return out
+    live = [m for m in catalog.metrics.values() if not m.is_blocked]
+    names = [m.name for m in live]
+    a = catalog.rows(names).groupBy("metric_name").agg(
+        ratio(F.sum("numerator"), F.sum("denominator")).alias("from_rows"))
+    b = catalog.totals(names).select("metric_name", F.col("metric_value").alias("from_fact"))
+    adds = F.col("metric_name").isin([m.name for m in live if is_reaggregatable(m)])
+    gap = F.abs(F.col("from_rows") - F.col("from_fact"))
+    agrees = F.coalesce(
+        gap <= F.greatest(F.abs("from_rows"), F.abs("from_fact"), F.lit(1.0)) * tolerance,
+        F.col("from_rows").isNull() & F.col("from_fact").isNull())
+    return b.join(a, "metric_name", "left").select(
+        "metric_name", "from_rows", "from_fact", adds.alias("is_reaggregatable"),
+        agrees.alias("agrees"), (agrees | ~adds).alias("passes"))
+
+
+def binding_orphans(
+    facts: Mapping[str, DataFrame], dims: Mapping[str, DataFrame],
+    bindings: Sequence[tuple[str, str, str, str]],
+) -> DataFrame:
+    """Orphaned rows of every (fact, key, dimension, primary key) binding.
+
+    Each fact is read once: its keys are stacked and folded to one row per
+    binding and key value before they meet the stacked keys of the dimensions.
+    """
+    asked = known = None
+    for fact, df in facts.items():
+        own = [b for b in bindings if b[0] == fact]
+        stacked = F.explode(F.array(*[
+            F.struct(F.lit(f"{f}.{k}").alias("binding"), F.lit(d).alias("dim"),
+                     F.col(k).cast("string").alias("key")) for f, k, d, _ in own]))
+        one = df.select(stacked.alias("s")).select("s.*").groupBy("binding", "dim", "key").agg(
+            F.count(F.lit(1)).alias("n"))
+        asked = one if asked is None else asked.unionByName(one)
+    for dim, pk in dict.fromkeys((b[2], b[3]) for b in bindings):
+        one = dims[dim].select(F.lit(dim).alias("dim"), F.col(pk).cast("string").alias("key"),
+                               F.lit(True).alias("found"))
+        known = one if known is None else known.unionByName(one)
+    lost = F.col("key").isNotNull() & F.col("found").isNull()
+    return asked.join(known.distinct(), ["dim", "key"], "left").groupBy("binding").agg(
+        F.sum(F.when(lost, F.col("n")).otherwise(0)).alias("orphans"))
 
 
 def lossless(a: DataFrame, b: DataFrame) -> DataFrame:

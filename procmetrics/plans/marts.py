@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,40 +40,44 @@ def slots_of(process_map: DataFrame) -> list[Slot]:
     return sorted(((r[0], r[1], r[2], r[3]) for r in rows), key=lambda r: (r[0], r[3]))
 
 
-def _block(spark, slot: Slot, metric: Metric, rows: DataFrame | None, schema) -> DataFrame:
-    process, name, place, order = slot
-    attrs = {
-        "process_code": F.lit(process), "slot": F.lit(place), "display_order": F.lit(order),
-        "metric_name": F.lit(name), "metric_label": F.lit(metric.label),
-        "metric_status": F.lit(metric.status), "metric_format": F.lit(metric.format),
-        "metric_direction": F.lit(metric.direction),
-        "blocked_reason": F.lit(metric.blocked_reason or None).cast("string"),
-    }
-    # a blocked metric shows one row: no numbers, and why there are none
-    base = spark.range(1).drop("id") if metric.is_blocked else rows
-    return pad_columns(base.withColumns(attrs), schema)
-
-
 def process_mart(
     spark: SparkSession,
     process: str,
     slots: Sequence[Slot],
     metrics: Mapping[str, Metric],
-    rows_of,
+    rows_of: Callable[[Sequence[str]], DataFrame],
 ) -> DataFrame:
-    """Long union of the metrics on a process's dashboard, in slot order.
+    """Long union of the metrics on a process's dashboard.
 
-    ``rows_of(name)`` gives the evaluated metric rows. Registry attributes are
-    literals, so no join is needed. A process without metrics gives the empty
-    typed frame, which is not the same as a missing one.
+    ``rows_of(names)`` gives the long rows of several metrics, so those on one
+    fact share a pass. Registry attributes are looked up in a literal map, so no
+    join is needed. A blocked metric shows one row without numbers, and why. A
+    process without metrics gives the empty typed frame, which is not the same
+    as a missing one.
     """
     none = empty(spark, MART_SCHEMA)
-    out = None
-    for slot in slots:
-        if slot[0] != process:
-            continue
-        metric = metrics[slot[1]]
-        rows = None if metric.is_blocked else rows_of(slot[1])
-        block = _block(spark, slot, metric, rows, none.schema)
-        out = block if out is None else out.unionByName(block)
-    return none if out is None else out
+    mine = [s for s in slots if s[0] == process]
+    live = [s for s in mine if not metrics[s[1]].is_blocked]
+    parts = [rows_of([s[1] for s in live])] if live else []
+    blocked = [s[1] for s in mine if metrics[s[1]].is_blocked]
+    if blocked:
+        parts.append(spark.range(1).select(
+            F.explode(F.array(*[F.lit(n) for n in blocked])).alias("metric_name")))
+    out = none
+    for p in parts:
+        attrs = {"process_code": F.lit(process)}
+        for name, value in (
+            ("slot", lambda s, m: s[2]), ("display_order", lambda s, m: s[3]),
+            ("metric_label", lambda s, m: m.label), ("metric_status", lambda s, m: m.status),
+            ("metric_format", lambda s, m: m.format),
+            ("metric_direction", lambda s, m: m.direction),
+            ("blocked_reason", lambda s, m: m.blocked_reason),
+        ):
+            chosen = F.lit(None)
+            for s in mine:
+                chosen = F.when(F.col("metric_name") == s[1],
+                                F.lit(value(s, metrics[s[1]]))).otherwise(chosen)
+            attrs[name] = chosen
+        block = pad_columns(p.withColumns(attrs), none.schema)
+        out = block if out is none else out.unionByName(block)
+    return out

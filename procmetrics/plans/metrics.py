@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from pathlib import Path
 
@@ -295,6 +295,73 @@ def direct(metric: Metric, fact: DataFrame, by: Sequence[str] = ()) -> DataFrame
                    metric)
 
 
+def columns_of(metric: Metric, by: Sequence[str] = (), date_key: str | None = None) -> set[str]:
+    """Fact columns a metric reads: its sides, its filters and its dimension keys."""
+    used = {f.column for f in metric.filters}
+    for s in (metric.numerator, metric.denominator):
+        used.add(s.column)
+        if s.filter:
+            used.add(s.filter.column)
+    used.update(BINDINGS[metric.base][d] for d in metric.dimensions)
+    used.update(by)
+    if date_key:
+        used.add(date_key)
+    return used
+
+
+def together(metrics: Sequence[Metric], fact: DataFrame, grain: str = "declared") -> DataFrame:
+    """Several metrics of one fact in one pass, as long rows.
+
+    ``declared``: at their dimensions, which must be the same for all. ``total``:
+    one row per metric. A metric's own filters move inside its aggregates, and a
+    group none of whose rows pass them gives no row, as if filtered before.
+    Values are decimal(38,6), the type of the process marts.
+    """
+    bases = {(m.base, m.dimensions if grain == "declared" else ()) for m in metrics}
+    if len(bases) != 1:
+        raise MetricError("metrics evaluated together must share base and dimensions")
+    keys = [] if grain == "total" else [
+        (DIMENSIONS[d].key, BINDINGS[metrics[0].base][d]) for d in metrics[0].dimensions]
+    aggs = []
+    for n, m in enumerate(metrics):
+        check(m, fact)
+        own = None
+        for f in m.filters:
+            own = f.to_column() if own is None else own & f.to_column()
+        for side, name in ((m.numerator, "num"), (m.denominator, "den")):
+            pred = side.filter.to_column() if side.filter else None
+            if own is not None:
+                pred = own if pred is None else own & pred
+            c = F.col(side.column)
+            c = c if pred is None else F.when(pred, c)
+            aggs.append(AGGS[side.agg](c).alias(f"{name}{n}"))
+        seen = F.count(F.lit(1)) if own is None else F.count_if(own)
+        aggs.append(seen.alias(f"seen{n}"))
+    cols = [F.col(c).alias(k) for k, c in keys]
+    folded = fact.groupBy(*cols).agg(*aggs) if cols else fact.agg(*aggs)
+    wide = "decimal(38,6)"
+    rows = F.array(*[
+        F.struct(
+            F.lit(m.name).alias("metric_name"), F.lit(m.status).alias("metric_status"),
+            F.col(f"num{n}").cast(wide).alias("numerator"),
+            F.col(f"den{n}").cast(wide).alias("denominator"),
+            ratio(F.col(f"num{n}"), F.col(f"den{n}")).alias("metric_value"),
+            F.col(f"seen{n}").alias("_seen"))
+        for n, m in enumerate(metrics)])
+    out = folded.select(*[k for k, _ in keys], F.explode(rows).alias("r")).select(
+        *[k for k, _ in keys], "r.*")
+    return (out if grain == "total" else out.where("_seen > 0")).drop("_seen")
+
+
+def by_base(metrics: Sequence[Metric], split_dimensions: bool) -> list[list[Metric]]:
+    """Metrics that can share one pass, in order of first appearance."""
+    groups: dict = {}
+    for m in metrics:
+        if not m.is_blocked:
+            groups.setdefault((m.base, m.dimensions if split_dimensions else ()), []).append(m)
+    return list(groups.values())
+
+
 _PERIOD = re.compile(r"(\d{4})(?:-?Q([1-4])|-?(\d{2}))?")
 
 
@@ -406,15 +473,40 @@ def registry_df(spark: SparkSession, metrics: Mapping[str, Metric]) -> DataFrame
 
 @dataclass(frozen=True)
 class Catalog:
-    """Facts and dimensions by name, so that metrics can find their base."""
+    """Definitions over models; ``model(name, need)`` builds the columns needed."""
 
-    models: Mapping[str, DataFrame]
+    model: Callable[[str, set[str] | None], DataFrame]
     metrics: Mapping[str, Metric] = field(default_factory=dict)
 
     def metric(self, name: str, date_key: str | None = None) -> DataFrame:
         m = self.metrics[name]
-        return evaluate(m, self.models[m.base], date_key)
+        return evaluate(m, self.model(m.base, columns_of(m, date_key=date_key)), date_key)
 
     def ask(self, name: str, **kw) -> DataFrame:
         m = self.metrics[name]
-        return ask(m, self.models[m.base], self.models, **kw)
+        used = [s.partition(".")[0] for s in [*kw.get("by", ()), *(kw.get("where") or {})]]
+        if kw.get("period_text"):
+            used.append("date")
+        dims = {d.model: self.model(d.model, None) for d in DIMENSIONS.values() if d.name in used}
+        return ask(m, self.model(m.base, columns_of(m)), dims, **kw)
+
+    def _pass(self, group: Sequence[Metric], grain: str) -> DataFrame:
+        need = set().union(*[columns_of(m) for m in group])
+        return together(group, self.model(group[0].base, need), grain)
+
+    def rows(self, names: Sequence[str]) -> DataFrame:
+        """Long rows of several metrics at their declared dimensions, keys padded."""
+        groups = by_base([self.metrics[n] for n in names], True)
+        return _stack([self._pass(g, "declared") for g in groups])
+
+    def totals(self, names: Sequence[str]) -> DataFrame:
+        """Each metric over its whole fact: one pass per fact."""
+        groups = by_base([self.metrics[n] for n in names], False)
+        return _stack([self._pass(g, "total") for g in groups])
+
+
+def _stack(parts: Sequence[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out

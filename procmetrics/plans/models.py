@@ -73,50 +73,54 @@ class Models:
     def dim_carrier(self) -> DataFrame:
         return dims.dim_carrier(self.i.carrier, self.i.shipment, self.policy)
 
-    @cached_property
+    @property
     def fct_shipment(self) -> DataFrame:
-        return facts.fct_shipment(self.i.shipment, self.charges, self.milestones, self.links,
-                                  self.policy)
+        return self.model("fct_shipment")
 
-    @cached_property
+    @property
     def fct_shipment_event(self) -> DataFrame:
-        return events.shipment_event(self.i.event, self.fct_shipment)
+        return self.model("fct_shipment_event")
 
-    @cached_property
+    @property
     def fct_sales_order_line(self) -> DataFrame:
-        return facts.fct_sales_order_line(
-            self.int_line, self.i.sorder, self.i.sinvoiced, self.i.sinvoicev, self.returns,
-            self.fx, self.policy)
+        return self.model("fct_sales_order_line")
 
-    @cached_property
+    @property
     def fct_invoice_line(self) -> DataFrame:
-        return facts.fct_invoice_line(self.i.sinvoiced, self.i.sinvoicev, self.i.bpcustomer,
-                                      self.fx, self.policy)
+        return self.model("fct_invoice_line")
 
-    @cached_property
+    @property
     def fct_supplier_invoice_line(self) -> DataFrame:
-        return facts.fct_supplier_invoice_line(self.matched)
+        return self.model("fct_supplier_invoice_line")
 
-    @cached_property
+    @property
     def fct_inventory_count_line(self) -> DataFrame:
-        return facts.fct_inventory_count_line(self.i.stocountd, self.i.stocount, self.policy)
-
-    NAMES = ("dim_date", "dim_customer", "dim_site", "dim_item", "dim_carrier", "fct_shipment",
-             "fct_shipment_event", "fct_sales_order_line", "fct_invoice_line",
-             "fct_supplier_invoice_line", "fct_inventory_count_line")
+        return self.model("fct_inventory_count_line")
+
+    def model(self, name: str, need: set[str] | None = None) -> DataFrame:
+        """A dimension or fact by name; a fact may be asked for only some columns."""
+        i, pol = self.i, self.policy
+        if name == "fct_shipment":
+            return facts.fct_shipment(i.shipment, self.charges, self.milestones, self.links, pol,
+                                      need)
+        if name == "fct_shipment_event":
+            context = {"shipment_id", "customer_key", "customer_code", "site_code",
+                       "carrier_scac", "sales_order_number", "service_level", "transport_mode"}
+            return events.shipment_event(i.event, self.model("fct_shipment", context))
+        if name == "fct_sales_order_line":
+            return facts.fct_sales_order_line(
+                self.int_line, i.sorder, i.sinvoiced, i.sinvoicev, self.returns, self.fx, pol,
+                need)
+        if name == "fct_invoice_line":
+            return facts.fct_invoice_line(i.sinvoiced, i.sinvoicev, i.bpcustomer, self.fx, pol,
+                                          need)
+        if name == "fct_supplier_invoice_line":
+            return facts.fct_supplier_invoice_line(self.matched)
+        if name == "fct_inventory_count_line":
+            return facts.fct_inventory_count_line(i.stocountd, i.stocount, pol)
+        if name in ("dim_date", "dim_customer", "dim_site", "dim_item", "dim_carrier"):
+            return getattr(self, name)
+        raise KeyError(name)
 
     def catalog(self) -> Catalog:
-        return Catalog(_Lazy(self), shipped_metrics())
-
-
-class _Lazy(dict):
-    """Models by name, built when asked for."""
-
-    def __init__(self, models: Models):
-        super().__init__()
-        self._models = models
-
-    def __missing__(self, name: str) -> DataFrame:
-        if name not in Models.NAMES:
-            raise KeyError(name)
-        return getattr(self._models, name)
+        return Catalog(self.model, shipped_metrics())

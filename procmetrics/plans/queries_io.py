@@ -224,7 +224,7 @@ def trace(i):
     return layer_trace(i.spark, {
         "at_source": i.raw("orders"), "in_archive": archive,
         "landed": landing.project(archive, ORDERS), "staged": i.order,
-        "modelled": Models(i).fct_shipment})
+        "modelled": Models(i).model("fct_shipment", {"shipment_id"})})
 
 
 @query("lossless_two_paths", """

@@ -200,8 +200,9 @@ select shipment_id, header_cost_usd as shipment_cost_usd,
   'shipment_header' as shipment_cost_basis from f_ship""")
 def fct_shipment_header_cost(i):
     """The cost basis is chosen when the plan is built; charges stay on the fact."""
-    return Models(i, Policy(shipment_cost_basis="shipment_header")).fct_shipment.select(
-        "shipment_id", "shipment_cost_usd", "shipment_cost_basis")
+    header = Models(i, Policy(shipment_cost_basis="shipment_header"))
+    return header.model("fct_shipment", {
+        "shipment_id", "shipment_cost_usd", "shipment_cost_basis"})
 
 
 @query("fct_shipment_event", "select * from f_event")

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from ..operators import facts, profile
 from ..sources.publish import load_seed
 from . import marts
-from .metrics import (BINDINGS, DIMENSIONS, Filter, Metric, Side, direct, evaluate, registry_df,
-                      rollup)
+from .metrics import (BINDINGS, DIMENSIONS, Filter, Metric, Side, columns_of, direct, evaluate,
+                      registry_df, rollup)
 from .models import Models
 from .registry import query
 
@@ -114,7 +114,7 @@ select site_code, numerator, denominator, cast(numerator as double) / denominato
 from (select site_code, count(*) filter (where order_status = 'P') as numerator,
         count(*) as denominator from f_order group by 1)""")
 def mtr_order_cancellation(i):
-    rows = evaluate(CANCELLED, Models(i).fct_sales_order_line)
+    rows = evaluate(CANCELLED, Models(i).model("fct_sales_order_line", columns_of(CANCELLED)))
     return rollup(CANCELLED, rows, ["site_code"])
 
 
@@ -126,7 +126,8 @@ from (select site_code,
         count(*) filter (where shipment_date is not null and requested_delivery_date is not null)
           as denominator from f_order group by 1)""")
 def mtr_shipped_by_request(i):
-    fact = facts.with_shipped_by_request(Models(i).fct_sales_order_line)
+    need = {"shipment_date", "requested_delivery_date", "sales_order_line_number", "site_code"}
+    fact = facts.with_shipped_by_request(Models(i).model("fct_sales_order_line", need))
     return direct(BY_REQUEST, fact, ["site_code"])
 
 
@@ -271,7 +272,7 @@ from ({metric_sql(name)})""")
 
 def _mart(i, *processes):
     slots = marts.slots_of(load_seed(i.spark, "process_metric_map"))
-    rows_of = Models(i).catalog().metric
+    rows_of = Models(i).catalog().rows
     out = None
     for p in processes:
         one = marts.process_mart(i.spark, p, slots, METRICS, rows_of)
@@ -310,10 +311,6 @@ def mart_all(i):
     f"from ({metric_sql(n, {})})" for n, m in sorted(METRICS.items())))
 def registry_totals(i):
     """The registry with each metric's overall value beside it."""
-    models = Models(i)
-    values = None
-    for m in METRICS.values():
-        one = direct(m, models.catalog().models[m.base]).select("metric_name", "metric_value")
-        values = one if values is None else values.unionByName(one)
+    values = Models(i).catalog().totals(list(METRICS)).select("metric_name", "metric_value")
     return registry_df(i.spark, METRICS).join(values, "metric_name").select(
         "metric_name", "metric_label", "is_reaggregatable", "metric_value")

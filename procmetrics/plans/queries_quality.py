@@ -51,7 +51,9 @@ def _count(name: str, failing: str, warn: bool = False, error_above: int | None
 def dq_suite(i):
     """Row checks of a table share one pass; grain and reference checks are folds and anti joins."""
     m = Models(i)
-    ship, order = i.shipment, m.fct_sales_order_line
+    ship = i.shipment
+    order = m.model("fct_sales_order_line", {
+        "sales_order_number", "sales_order_line_number", "customer_code"})
     slots, processes = load_seed(i.spark, "process_metric_map"), load_seed(i.spark, "process")
     none = registry_df(i.spark, METRICS)
     return quality.run_checks([
@@ -113,17 +115,12 @@ FACT_SQL = {**BASES, "fct_shipment_event": "f_event"}
     f"where {fk} is not null and {fk} not in (select {pk} from {DIM_SQL[dim]})"
     for fact, fk, dim, pk in relationships()))
 def dim_relationships(i):
-    """Every fact key against its dimension, each fold to distinct keys first."""
-    models = Models(i).catalog().models
-    out = None
-    for fact, fk, dim, pk in relationships():
-        n = models[fact].where(F.col(fk).isNotNull()).groupBy(fk).agg(
-            F.count(F.lit(1)).alias("_n"))
-        one = quality.relationships(n, fk, models[dim], pk).agg(
-            F.coalesce(F.sum("_n"), F.lit(0)).alias("orphans")).select(
-            F.lit(f"{fact}.{fk}").alias("binding"), "orphans")
-        out = one if out is None else out.unionByName(one)
-    return out
+    """All bindings at once: each fact and each dimension is read once."""
+    m, bound = Models(i), relationships()
+    facts = {f: m.model(f, {b[1] for b in bound if b[0] == f}) for f in dict.fromkeys(
+        b[0] for b in bound)}
+    dims = {d: m.model(d) for d in dict.fromkeys(b[2] for b in bound)}
+    return quality.binding_orphans(facts, dims, bound)
 
 
 def _parity_sql(name):
@@ -140,7 +137,7 @@ from (select '{name}' as metric_name, cast({num} as double) / nullif(cast({den}
 @query("parity", "\nunion all\n".join(_parity_sql(n) for n in sorted(METRICS)))
 def parity(i):
     """Metric rows rolled up against the aggregate on the fact, for all ten metrics."""
-    return quality.metric_parity(METRICS, Models(i).catalog().models)
+    return quality.metric_parity(Models(i).catalog())
 
 
 @query("reconcile", """
@@ -151,7 +148,8 @@ where abs(a - b) > 1.00""")
 def reconcile(i):
     """Invoiced revenue against the revenue account; one row when they differ."""
     gl = i.gl_line.where("gl_account_code = '41000'")
-    return quality.reconcile(Models(i).fct_invoice_line, "line_net_amount_usd", gl,
+    return quality.reconcile(Models(i).model("fct_invoice_line", {"line_net_amount_usd"}),
+                             "line_net_amount_usd", gl,
                              "amount_company_currency")
 
 
@@ -224,7 +222,8 @@ from f_ship where delivered_date is not null and {promised} is not null"""
 @query("profile_otd", _otd_sql("carrier promise", "carrier_promised_delivery_date") + " union all "
        + _otd_sql("customer request", "customer_requested_delivery_date"))
 def profile_otd(i):
-    ship = Models(i).fct_shipment
+    ship = Models(i).model("fct_shipment", {
+        "delivered_date", "carrier_promised_delivery_date", "customer_requested_delivery_date"})
     out = None
     for basis, col in (("carrier promise", "carrier_promised_delivery_date"),
                        ("customer request", "customer_requested_delivery_date")):
