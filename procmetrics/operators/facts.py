@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from ..functions.clean import MONEY, date_key, fk
 from ..policy import DEFAULT, Policy
+from .events import milestones
 from .fx import with_fx
-from .lines import LINE_KEY
+from .lines import LINE_KEY, with_charges
+from .match import with_order
 
 
 def pick(df: DataFrame, columns: dict, need: Collection[str] | None) -> DataFrame:
@@ -42,23 +44,26 @@ _LINKS = ("sales_order_number", "customer_code", "customer_requested_delivery_da
 
 
 def fct_shipment(
-    shipments: DataFrame, charges: DataFrame, miles: DataFrame, links: DataFrame,
-    policy: Policy = DEFAULT, need: Collection[str] | None = None,
+    shipments: DataFrame, charges: DataFrame, events: DataFrame, orders: DataFrame,
+    customers: DataFrame, order_lines: DataFrame, policy: Policy = DEFAULT,
+    need: Collection[str] | None = None,
 ) -> DataFrame:
     """Shipment header with charge mix, milestones and the resolved order and customer.
 
-    All inputs are keyed by shipment_id, so the joins share one partitioning.
-    ``need`` names the wanted columns; a side none of them comes from is left out.
+    The sides are folded and joined onto the shipments one after the other; the
+    shipments themselves are read once. ``need`` names the wanted columns; a
+    side none of them comes from is left out.
     """
     on_lines = policy.shipment_cost_basis == "charge_lines"
     j = shipments
     if wants(need, *_CHARGES, *(("shipment_cost_usd",) if on_lines else ())):
-        j = j.join(charges.select("shipment_id", *_CHARGES), "shipment_id", "left")
+        j = with_charges(j, charges)
     if wants(need, *_MILES):
-        j = j.join(miles.select("shipment_id", *_MILES), "shipment_id", "left")
-    if wants(need, *_LINKS, "customer_key", "is_on_time_vs_customer_request",
-             "days_late_vs_customer_request"):
-        j = j.join(links.select("shipment_id", *_LINKS), "shipment_id", "left")
+        j = j.join(milestones(events).select("shipment_id", *_MILES), "shipment_id", "left")
+    requested_too = wants(need, "customer_requested_delivery_date",
+                          "is_on_time_vs_customer_request", "days_late_vs_customer_request")
+    if requested_too or wants(need, *_LINKS, "customer_key"):
+        j = with_order(j, orders, customers, order_lines if requested_too else None)
     c = F.col
     delivered = c("delivered_date")
     promised = c("carrier_promised_delivery_date")

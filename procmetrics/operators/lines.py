@@ -20,8 +20,8 @@ def order_line(qty_side: DataFrame, price_side: DataFrame) -> DataFrame:
         "item_code_disagrees", differs(F.col("item_code"), F.col("item_code_price_side")))
 
 
-def shipment_charge(charges: DataFrame, shipments: DataFrame) -> DataFrame:
-    """Charges folded per shipment and code mix, next to the header's cost."""
+def with_charges(shipments: DataFrame, charges: DataFrame) -> DataFrame:
+    """Shipments with their charges folded per code mix, next to the header's cost."""
     code, amount = F.col("charge_code"), F.col("charge_amount_usd")
 
     def total(pred):
@@ -36,12 +36,11 @@ def shipment_charge(charges: DataFrame, shipments: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("charge_line_count"),
     )
     sums = [c for c in folded.columns if c != "shipment_id"]
-    return (
-        shipments.select("shipment_id", "header_cost_usd")
-        .join(folded, "shipment_id", "left")
-        .select(
-            "shipment_id", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in sums],
-            "header_cost_usd",
-        )
-        .withColumn("cost_variance_usd", F.col("charge_total_usd") - F.col("header_cost_usd"))
-    )
+    return shipments.join(folded, "shipment_id", "left").withColumns(
+        {c: F.coalesce(F.col(c), F.lit(0)) for c in sums}
+    ).withColumn("cost_variance_usd", F.col("charge_total_usd") - F.col("header_cost_usd"))
+
+
+def shipment_charge(charges: DataFrame, shipments: DataFrame) -> DataFrame:
+    """One row per shipment: charge total and mix, zero when absent, and the variance."""
+    return with_charges(shipments.select("shipment_id", "header_cost_usd"), charges)

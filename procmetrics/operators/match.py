@@ -405,41 +405,57 @@ def return_line(lines: DataFrame, headers: DataFrame, order_lines: DataFrame) ->
 # ------------------------------------------------- shipment to order
 
 
-def shipment_order(
-    shipments: DataFrame, orders: DataFrame, customers: DataFrame, order_lines: DataFrame
+def with_order(
+    shipments: DataFrame, orders: DataFrame, customers: DataFrame, order_lines: DataFrame | None
 ) -> DataFrame:
-    """The order behind a shipment by reference, else its customer by name."""
+    """Shipments with the order behind them by reference, else their customer by name.
+
+    The columns are added to the shipments as they stream by, so the result need
+    not be joined back to them. Without ``order_lines`` there is no requested
+    date, for callers that do not need it.
+    """
     by_name = customers.groupBy(K.name_upper(F.col("customer_name")).alias("_name")).agg(
         F.min("customer_code").alias("_named_code"), F.count(F.lit(1)).alias("_named"))
-    requested = order_lines.where("requested_delivery_date is not null").groupBy(
-        F.col("sales_order_number").alias("_req_order")
-    ).agg(F.max("requested_delivery_date").alias("customer_requested_delivery_date"))
     order = orders.select(
         "sales_order_number", "ordering_customer_code", "order_date",
         F.col("currency_code").alias("order_currency_code"), "primary_rep_code")
-    ships = shipments.select("shipment_id", "reference_number", "customer_name")
+    j = shipments.join(order, F.col("reference_number") == F.col("sales_order_number"), "left")
+    if order_lines is not None:
+        requested = order_lines.where("requested_delivery_date is not null").groupBy(
+            F.col("sales_order_number").alias("_req_order")
+        ).agg(F.max("requested_delivery_date").alias("customer_requested_delivery_date"))
+        j = j.join(requested, F.col("sales_order_number") == F.col("_req_order"), "left")
+    else:
+        j = j.withColumn("customer_requested_delivery_date", F.lit(None).cast("date"))
     found = F.col("sales_order_number").isNotNull()
     named = F.coalesce("_named", F.lit(0))
     return (
-        ships.join(order, F.col("reference_number") == F.col("sales_order_number"), "left")
-        .join(requested, F.col("sales_order_number") == F.col("_req_order"), "left")
-        .join(by_name, K.name_upper(F.col("customer_name")) == F.col("_name"), "left")
-        .select(
-            "shipment_id", "sales_order_number", "customer_requested_delivery_date",
-            "order_date", "order_currency_code", "primary_rep_code",
-            F.coalesce("ordering_customer_code", "_named_code").alias("customer_code"),
-            F.when(found, "order_reference")
-            .when(F.col("_named_code").isNotNull(), "customer_name")
-            .otherwise("unresolved").alias("customer_resolution_method"),
-            found.alias("has_order_reference"),
-            named.alias("customer_name_match_count"),
-            ((named > 1) & ~found).alias("customer_name_is_ambiguous"),
-            F.col("reference_number").isNull().alias("reference_is_null"),
-            (F.col("reference_number").isNotNull() & ~found).alias("reference_is_unmatched"),
-        )
+        j.join(by_name, K.name_upper(F.col("customer_name")) == F.col("_name"), "left")
+        .withColumns({
+            "customer_code": F.coalesce("ordering_customer_code", "_named_code"),
+            "customer_resolution_method": F.when(found, "order_reference")
+            .when(F.col("_named_code").isNotNull(), "customer_name").otherwise("unresolved"),
+            "has_order_reference": found,
+            "customer_name_match_count": named,
+            "customer_name_is_ambiguous": (named > 1) & ~found,
+            "reference_is_null": F.col("reference_number").isNull(),
+            "reference_is_unmatched": F.col("reference_number").isNotNull() & ~found,
+        })
     )
 
 
+def shipment_order(
+    shipments: DataFrame, orders: DataFrame, customers: DataFrame, order_lines: DataFrame
+) -> DataFrame:
+    """One row per shipment: its order, its customer, and how they were found."""
+    ships = shipments.select("shipment_id", "reference_number", "customer_name")
+    return with_order(ships, orders, customers, order_lines).select(
+        "shipment_id", "sales_order_number", "customer_requested_delivery_date", "order_date",
+        "order_currency_code", "primary_rep_code", "customer_code", "customer_resolution_method",
+        "has_order_reference", "customer_name_match_count", "customer_name_is_ambiguous",
+        "reference_is_null", "reference_is_unmatched")
+
+
 # ------------------------------------------------- three-way match
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clean import MONEY
 from ..functions.keys import name_alnum
-from ..session import table
+from ..session import scratch, table
 
 AS_OF = dt.date(2000, 1, 1)
 SENTINEL = dt.date(1753, 1, 1)
@@ -54,16 +54,28 @@ def times(c: Column, factor: str) -> Column:
 
 
 class Inputs:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
+    """``store_lines`` writes the derived order lines to the shared folder once.
+
+    Jobs that read them many times then scan a table, as they would in a
+    deployment, in place of folding the line items again for each use.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, store_lines: bool = False):
+        self.spark, self.root, self.store_lines = spark, root, store_lines
 
     def raw(self, name: str) -> DataFrame:
         return table(self.spark, self.root, name)
 
     # ------------------------------------------------------ sales
 
+    LINE = ("order_id", "line_no", "qty", "amt", "ship", "part", "supp", "k", "order_no")
+
     @cached_property
     def line(self) -> DataFrame:
+        return self.order_line.select(*self.LINE) if self.store_lines else self._line
+
+    @property
+    def _line(self) -> DataFrame:
         """Order lines: the test table repeats (order, line), so fold first."""
         df = self.raw("lineitem").groupBy("l_orderkey", "l_linenumber").agg(
             exact_sum(F.col("l_quantity")).alias("qty"),
@@ -100,7 +112,12 @@ class Inputs:
     @cached_property
     def order_line(self) -> DataFrame:
         head = self.order.select("order_id", "custkey", "nation", "order_date", "site", "cur")
-        return self.line.join(head, "order_id")
+        df = self._line.join(head, "order_id")
+        if not self.store_lines:
+            return df
+        path = scratch(self.spark, "order_line")
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     @cached_property
     def sorder(self) -> DataFrame:

@@ -101,8 +101,8 @@ class Models:
         """A dimension or fact by name; a fact may be asked for only some columns."""
         i, pol = self.i, self.policy
         if name == "fct_shipment":
-            return facts.fct_shipment(i.shipment, self.charges, self.milestones, self.links, pol,
-                                      need)
+            return facts.fct_shipment(i.shipment, i.charge, i.event, i.sorder, i.bpcustomer,
+                                      i.sorderq, pol, need)
         if name == "fct_shipment_event":
             context = {"shipment_id", "customer_key", "customer_code", "site_code",
                        "carrier_scac", "sales_order_number", "service_level", "transport_mode"}

@@ -210,7 +210,7 @@ def fct_shipment_event(i):
     return Models(i).fct_shipment_event
 
 
-@query("fct_sales_order_line", "select * from f_order")
+@query("fct_sales_order_line", "select * from f_order", store_lines=True)
 def fct_sales_order_line(i):
     return Models(i).fct_sales_order_line
 

@@ -66,7 +66,10 @@ from (select {cols}{num} as numerator, {den} as denominator from {BASES[m.base]}
 
 
 def _metric_query(key: str, name: str):
-    @query(key, metric_sql(name))
+    # this fact reads the order lines many times
+    many = METRICS[name].base == "fct_sales_order_line"
+
+    @query(key, metric_sql(name), store_lines=many)
     def run(i):
         return Models(i).catalog().metric(name)
 
@@ -189,7 +192,7 @@ def ask_not_additive(i):
     "return_rate", "d_item.best_abc_class as item_best_abc_class, "
     "d_date.calendar_month_label as date_calendar_month_label",
     "join d_item on d_item.item_code = m.item_code "
-    "join d_date on d_date.date_key = m.order_date_key", "calendar_year = 1996"))
+    "join d_date on d_date.date_key = m.order_date_key", "calendar_year = 1996"), store_lines=True)
 def ask_month_item(i):
     return Models(i).catalog().ask(
         "return_rate", by=["item.best_abc_class", "date.calendar_month_label"],
@@ -285,7 +288,7 @@ def mart_i2d(i):
     return _mart(i, "I2D")
 
 
-@query("mart_o2c", mart_sql("O2C"))
+@query("mart_o2c", mart_sql("O2C"), store_lines=True)
 def mart_o2c(i):
     return _mart(i, "O2C")
 
@@ -297,7 +300,7 @@ def mart_s2p(i):
 
 @query("mart_all", f"""
 select process_code, metric_name, count(*) as metric_rows from ({mart_sql(*PROCESSES)})
-group by 1, 2""")
+group by 1, 2""", store_lines=True)
 def mart_all(i):
     """All nine processes; six of them are empty typed frames and add no rows."""
     codes = [r.process_code for r in load_seed(i.spark, "process").collect()]
@@ -308,7 +311,7 @@ def mart_all(i):
 @query("registry_totals", "\nunion all\n".join(
     f"select '{n}' as metric_name, '{m.label}' as metric_label, "
     f"{'false' if n == 'cost_per_order' else 'true'} as is_reaggregatable, metric_value "
-    f"from ({metric_sql(n, {})})" for n, m in sorted(METRICS.items())))
+    f"from ({metric_sql(n, {})})" for n, m in sorted(METRICS.items())), store_lines=True)
 def registry_totals(i):
     """The registry with each metric's overall value beside it."""
     values = Models(i).catalog().totals(list(METRICS)).select("metric_name", "metric_value")

@@ -113,7 +113,7 @@ FACT_SQL = {**BASES, "fct_shipment_event": "f_event"}
 @query("dim_relationships", "\nunion all\n".join(
     f"select '{fact}.{fk}' as binding, count(*) as orphans from {FACT_SQL[fact]} "
     f"where {fk} is not null and {fk} not in (select {pk} from {DIM_SQL[dim]})"
-    for fact, fk, dim, pk in relationships()))
+    for fact, fk, dim, pk in relationships()), store_lines=True)
 def dim_relationships(i):
     """All bindings at once: each fact and each dimension is read once."""
     m, bound = Models(i), relationships()
@@ -134,7 +134,7 @@ from (select '{name}' as metric_name, cast({num} as double) / nullif(cast({den}
       from ({metric_sql(name)})) a cross join ({metric_sql(name, {})}) b"""
 
 
-@query("parity", "\nunion all\n".join(_parity_sql(n) for n in sorted(METRICS)))
+@query("parity", "\nunion all\n".join(_parity_sql(n) for n in sorted(METRICS)), store_lines=True)
 def parity(i):
     """Metric rows rolled up against the aggregate on the fact, for all ten metrics."""
     return quality.metric_parity(Models(i).catalog())

@@ -15,7 +15,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, sql: str | None = None, store_lines: bool = False):
     """Register ``fn(inputs) -> DataFrame`` under ``name`` with its oracle."""
 
     def register(fn):
@@ -23,7 +23,7 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"query {name} is registered twice")
 
         def run(spark: SparkSession, root: str) -> DataFrame:
-            return fn(Inputs(spark, root))
+            return fn(Inputs(spark, root, store_lines))
 
         run.__name__, run.__doc__ = name, fn.__doc__
         QUERIES[name] = run

@@ -31,6 +31,8 @@ def local_session(app: str = "procmetrics", cpus: int | str = "*", shuffle: int
         .config("spark.sql.shuffle.partitions", str(shuffle))
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        # the test tables are a few megabytes; without this they end up in one task
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
     )
     for k, v in SETTINGS.items():
         b = b.config(k, v)
