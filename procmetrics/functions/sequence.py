@@ -1,14 +1,15 @@
 """Ordered per-key operators (row_number, lag, first) that survive hot keys.
 
 A plain window sorts all rows of a key in one task, so a key holding a third of
-the table is one task sorting a third of the table. Here only keys above
-``hot_rows`` rows are cut into chunks; a chunk is a value that never decreases
-along the wanted order, so the pieces can be ordered against each other. The
-window runs per (key, chunk) and the few chunk totals are carried forward over
-the chunks of the key. Every other key stays in its single chunk, so the usual
-case costs one shuffle of the rows, as a plain window would.
-
-The hot-key list holds at most rows/hot_rows keys, whatever the data.
+the table is one task sorting a third of the table. Keys above ``hot_rows`` rows
+therefore go their own way: they are cut into chunks, a chunk being a value that
+never decreases along the wanted order, the window runs per (key, chunk), and
+the totals of the chunks are carried forward along each key. All other keys take
+the plain window with its one shuffle. With no hot key the second branch is
+empty, and the optimizer drops it at run time.
+
+The hot-key list holds at most rows/hot_rows keys, whatever the data, so it is
+broadcast.
 """
 
 from __future__ import annotations
@@ -29,40 +30,28 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > hot_rows)
-        .select(*keys, F.lit(True).alias("_hot"))
+        .select(*keys)
     )
 
 
-def _with_chunk(df, keys, chunk: Sequence[Column], hot_rows, size: Column | None = None):
-    value = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(chunk)])
-    if size is not None:
-        marked = df.withColumn("_hot", size > hot_rows)
-        return marked.withColumn("_chunk", F.when(F.col("_hot"), value))
-    # null keys form a group of their own in a window; keep them joinable
-    hk = [f"_k{i}" for i in range(len(keys))]
-    hot = hot_keys(df, keys, hot_rows)
-    hot = hot.select(*[F.col(k).alias(h) for k, h in zip(keys, hk)], "_hot")
-    cond = [F.col(k).eqNullSafe(F.col(h)) for k, h in zip(keys, hk)]
-    return (
-        df.join(F.broadcast(hot), cond, "left")
-        .withColumn("_chunk", F.when(F.col("_hot"), value))
-        .drop(*hk)
-    )
+def _null_safe(keys: Sequence[str], prefix: str = "_k") -> list[Column]:
+    # a null key is a group of its own in a window
+    return [F.col(k).eqNullSafe(F.col(f"{prefix}{i}")) for i, k in enumerate(keys)]
 
 
-def _carry(pieces: DataFrame, keys: Sequence[str]):
-    """Rename the keys of the chunk table so it can be joined null-safely."""
-    out = pieces
-    for i, k in enumerate(keys):
-        out = out.withColumnRenamed(k, f"_k{i}")
-    return out.withColumnRenamed("_chunk", "_c")
+def _split(df: DataFrame, keys: Sequence[str], hot_rows: int, size: Column | None):
+    """The rows of the ordinary keys and those of the hot ones."""
+    if size is not None:
+        return df.where(size <= hot_rows), df.where(size > hot_rows)
+    hot = F.broadcast(_carry_keys(hot_keys(df, keys, hot_rows), keys))
+    on = _null_safe(keys)
+    return df.join(hot, on, "left_anti"), df.join(hot, on, "left_semi")
 
 
-def _attach(df, pieces, keys):
-    p = _carry(pieces, keys)
-    cond = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    cond.append(F.col("_chunk") == F.col("_c"))
-    return df.join(p, cond, "left").drop(*[f"_k{i}" for i in range(len(keys))], "_c")
+def _attach(rows: DataFrame, chunks: DataFrame, keys: Sequence[str]) -> DataFrame:
+    c = _carry_keys(chunks, keys).withColumnRenamed("_chunk", "_c")
+    on = [*_null_safe(keys), F.col("_chunk").eqNullSafe(F.col("_c"))]
+    return rows.join(c, on).drop(*[f"_k{i}" for i in range(len(keys))], "_c")
 
 
 def row_number(
@@ -80,20 +69,19 @@ def row_number(
     decrease along ``order``. ``size`` gives a key's number of rows where the
     caller already knows it, and saves counting them.
     """
-    rows = _with_chunk(df, keys, chunk, hot_rows, size)
-    rows = rows.withColumn(
-        "_rn", F.row_number().over(W.partitionBy(*keys, "_chunk").orderBy(*order))
-    )
-    sizes = (
-        rows.where("_hot").groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_size"))
-    )
+    cold, hot = _split(df, keys, hot_rows, size)
+    plain = cold.withColumn(
+        out, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("bigint"))
+    hot = hot.withColumn("_chunk", F.struct(*[c.alias(f"c{i}") for i, c in enumerate(chunk)]))
+    sizes = hot.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_size"))
     before = W.partitionBy(*keys).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, "_chunk", F.sum("_size").over(before).alias("_before"))
-    return (
-        _attach(rows, offsets, keys)
-        .withColumn(out, (F.col("_rn") + F.coalesce("_before", F.lit(0))).cast("bigint"))
-        .drop("_rn", "_before", "_chunk", "_hot")
-    )
+    offsets = sizes.select(
+        *keys, "_chunk", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    rows = hot.withColumn(
+        "_rn", F.row_number().over(W.partitionBy(*keys, "_chunk").orderBy(*order)))
+    pieced = _attach(rows, offsets, keys).withColumn(
+        out, (F.col("_rn") + F.col("_before")).cast("bigint"))
+    return plain.unionByName(pieced.select(*plain.columns))
 
 
 def lag_first(
@@ -107,41 +95,32 @@ def lag_first(
     span: int = SPAN,
 ) -> DataFrame:
     """Previous and first ``value`` per key along the integer ``seq``."""
-    rows = _with_chunk(df, keys, [F.floor(F.col(seq) / F.lit(span))], hot_rows)
-    w = W.partitionBy(*keys, "_chunk").orderBy(F.col(seq).asc_nulls_last())
-    rows = rows.withColumns(
-        {
-            "__lag": F.lag(value).over(w),
-            "__first": F.first(value).over(w),
-            "__pos": F.row_number().over(w),
-        }
+    cold, hot = _split(df, keys, hot_rows, None)
+
+    def windows(rows, w, lag_name, first_name):
+        made = {lag_name: F.lag(value).over(w), first_name: F.first(value).over(w)}
+        return rows.withColumns({n: c for n, c in made.items() if n})
+
+    in_order = F.col(seq).asc_nulls_last()
+    plain = windows(cold, W.partitionBy(*keys).orderBy(in_order), lag_out, first_out)
+    hot = hot.withColumn("_chunk", F.floor(F.col(seq) / F.lit(span)))
+    ends = hot.groupBy(*keys, "_chunk").agg(
+        F.max_by(F.struct(value), F.struct(seq)).alias("__last"),
+        F.min_by(F.struct(value), F.struct(seq)).alias("__head"),
     )
-    ends = (
-        rows.where("_hot")
-        .groupBy(*keys, "_chunk")
-        .agg(
-            F.max_by(F.struct(value), F.struct(seq)).alias("__last"),
-            F.min_by(F.struct(value), F.struct(seq)).alias("__head"),
-        )
-    )
-    along = W.partitionBy(*keys).orderBy("_chunk")
+    along = W.partitionBy(*keys).orderBy(F.col("_chunk").asc_nulls_last())
     carried = ends.select(
-        *keys,
-        "_chunk",
-        F.lag("__last").over(along).alias("__prev"),
-        F.first("__head").over(along).alias("__start"),
-    )
+        *keys, "_chunk", F.lag("__last").over(along).alias("__prev"),
+        F.first("__head").over(along).alias("__start"))
+    w = W.partitionBy(*keys, "_chunk").orderBy(in_order)
+    rows = hot.withColumns({"__lag": F.lag(value).over(w), "__pos": F.row_number().over(w)})
     rows = _attach(rows, carried, keys)
-    add = {}
-    if lag_out:
-        add[lag_out] = F.when(
-            F.col("_hot") & (F.col("__pos") == 1), F.col(f"__prev.{value}")
-        ).otherwise(F.col("__lag"))
-    if first_out:
-        add[first_out] = F.when(F.col("_hot"), F.col(f"__start.{value}")).otherwise(F.col("__first"))
-    return rows.withColumns(add).drop(
-        "__lag", "__first", "__pos", "__prev", "__start", "_chunk", "_hot"
-    )
+    add = {
+        lag_out: F.when(F.col("__pos") == 1, F.col(f"__prev.{value}")).otherwise(F.col("__lag")),
+        first_out: F.col(f"__start.{value}"),
+    }
+    pieced = rows.withColumns({n: c for n, c in add.items() if n})
+    return plain.unionByName(pieced.select(*plain.columns))
 
 
 def bounded_list(
@@ -154,7 +133,7 @@ def bounded_list(
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_items"))
     ck = _carry_keys(counts, keys)
-    cond = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    cond = _null_safe(keys)
     small = (
         df.join(ck, cond)
         .where(F.col("n_items") <= max_items)
@@ -172,25 +151,29 @@ def _carry_keys(df, keys):
 
 
 def exact_median(
-    df: DataFrame, keys: Sequence[str], value: str, out: str, width: float = 1.0
+    df: DataFrame, keys: Sequence[str], value: str, out: str, ranges: int = 10_000
 ) -> DataFrame:
     """Exact median per key (mean of the two middle values), without a per-key sort.
 
     Rows are folded to counts per distinct value, and those to counts per value
-    range of ``width``. Running totals over the ranges show which range holds the
-    middle; only the values of that range are ordered.
+    range; a key has at most ``ranges`` + 1 ranges. Running totals over the
+    ranges show which of them holds the middle, and only the values of that
+    range are put in order.
     """
     v = F.col(value).cast("double")
+    have = df.where(F.col(value).isNotNull())
+    ends = have.agg(F.min(v).alias("_lo"), F.max(v).alias("_hi"))
+    place = F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * ranges)
     counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, v.alias("_v"))
+        have.groupBy(*keys, v.alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_range", F.floor(F.col("_v") / F.lit(width)))
+        .join(F.broadcast(ends))
+        .withColumn("_range", F.when(F.col("_hi") > F.col("_lo"), place).otherwise(F.lit(0)))
+        .drop("_lo", "_hi")
     )
     by_key = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(1))
-    ranges = counts.groupBy(*keys, "_range").agg(F.sum("_n").alias("_rn"))
     upto = by_key.orderBy("_range").rowsBetween(W.unboundedPreceding, 0)
-    ranges = ranges.select(
+    per_range = counts.groupBy(*keys, "_range").agg(F.sum("_n").alias("_rn")).select(
         *keys, "_range",
         (F.sum("_rn").over(upto) - F.col("_rn")).alias("_below"),
         F.sum("_rn").over(upto).alias("_upto"),
@@ -198,16 +181,13 @@ def exact_median(
     )
     lo = F.floor((F.col("_total") + 1) / 2)
     hi = F.floor((F.col("_total") + 2) / 2)
-    middle = ranges.where((F.col("_below") < hi) & (F.col("_upto") >= lo)).drop("_upto")
+    middle = per_range.where((F.col("_below") < hi) & (F.col("_upto") >= lo)).drop("_upto")
     m = _carry_keys(middle, keys).withColumnRenamed("_range", "_r")
-    cond = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    cond.append(F.col("_range") == F.col("_r"))
+    on = [*_null_safe(keys), F.col("_range") == F.col("_r")]
     inside = W.partitionBy(*keys, "_range").orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
-    near = counts.join(m, cond).withColumn(
+    near = counts.join(m, on).withColumn(
         "_to", F.col("_below") + F.sum("_n").over(inside)
     ).withColumn("_from", F.col("_to") - F.col("_n") + 1)
-    covers_lo = (F.col("_from") <= lo) & (F.col("_to") >= lo)
-    covers_hi = (F.col("_from") <= hi) & (F.col("_to") >= hi)
-    low = F.max(F.when(covers_lo, F.col("_v")))
-    high = F.max(F.when(covers_hi, F.col("_v")))
+    low = F.max(F.when((F.col("_from") <= lo) & (F.col("_to") >= lo), F.col("_v")))
+    high = F.max(F.when((F.col("_from") <= hi) & (F.col("_to") >= hi), F.col("_v")))
     return near.groupBy(*keys).agg(((low + high) / 2).alias(out))

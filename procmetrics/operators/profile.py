@@ -70,7 +70,7 @@ def settlement(invoices: DataFrame, invoiced: str, paid: str, sentinel) -> DataF
         F.min("_settled").alias("min_days"), F.max("_settled").alias("max_days"),
         F.round(ratio(F.sum("_days"), F.count("_days")), 1).alias("mean_days_unguarded"),
     )
-    middle = exact_median(rows, [], "_settled", "median_days", width=16)
+    middle = exact_median(rows, [], "_settled", "median_days")
     return figures.join(F.broadcast(middle))
 
 
@@ -165,7 +165,7 @@ def forecast_error_by_class(
     group = list(group)
     j = accuracy.where("abs_pct_error is not null").join(classes.select(*keys, *group), keys)
     n = j.groupBy(*group).agg(F.count("abs_pct_error").alias("periods"))
-    return n.join(exact_median(j, group, "abs_pct_error", "median_error", width=1.0), group)
+    return n.join(exact_median(j, group, "abs_pct_error", "median_error"), group)
 
 
 def lead_time(orders: DataFrame, site: str, ordered: str, shipped: str, sentinel) -> DataFrame:

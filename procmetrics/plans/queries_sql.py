@@ -401,14 +401,13 @@ def bool_listagg(i):
 select c_mktsegment, median(cast(c_acctbal as double)) as median_balance
 from customer group by 1""")
 def median_by(i):
-    return exact_median(i.raw("customer"), ["c_mktsegment"], "c_acctbal", "median_balance",
-                        width=50)
+    return exact_median(i.raw("customer"), ["c_mktsegment"], "c_acctbal", "median_balance")
 
 
 @query("median_global", "select median(l_extendedprice) as median_price from lineitem")
 def median_global(i):
     """A median over everything, without sorting everything in one task."""
-    return exact_median(i.raw("lineitem"), [], "l_extendedprice", "median_price", width=100)
+    return exact_median(i.raw("lineitem"), [], "l_extendedprice", "median_price")
 
 
 @query("having_dups", """
