@@ -20,9 +20,8 @@ def fixture_tables():
     """The source schemas stated in FIXTURES.md, as a contract."""
     path = os.path.join(os.path.dirname(os.path.dirname(__file__)), "FIXTURES.md")
     out = {}
-    systems = iter(())
     for row in open(path):
-        m = re.match(r"\| (\w+)\.(\w+) \| `schema.sql:\d+`.*\| (.*) \|$", row.strip())
+        m = re.match(r"\| (\w+)\.(\w+) \| `[^`]+` \| `[^`]+` \| \w+ \|.*\| (.*) \|$", row.strip())
         if m:
             cols = dict(c.rsplit(" ", 1) for c in re.split(r", (?=\w+ \w)", m.group(3)))
             out.setdefault(m.group(1), {})[m.group(2)] = cols
