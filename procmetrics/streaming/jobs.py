@@ -68,8 +68,9 @@ def upsert_batches(
         if prior is not None:
             rows = batch.unionByName(spark.read.schema(batch.schema).parquet(prior))
         rest = [c for c in batch.columns if c not in keys]
-        newest = rows.groupBy(*keys).agg(
-            F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
+        # the content hash settles equal order values, so a replay picks the same row
+        newer = F.struct(*order, F.xxhash64(*batch.columns))
+        newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), newer).alias("_row"))
         out = newest.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c)
                               for c in batch.columns])
         path = f"{target}/v={batch_id}"
