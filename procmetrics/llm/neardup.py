@@ -207,7 +207,7 @@ def classes(docs: DataFrame) -> DataFrame:
     nodes = buckets.select("node").distinct()
     # of rows that repeat an id, the texts that stand for a class
     key = own.select("node", "text_key").join(nodes, "node", "left_semi")
-    texts = store(d.join(key, d["doc_id"] == key["node"]).select("node", "text"), "near-texts").dropDuplicates()
+    texts = store(d.join(key, d["doc_id"] == key["node"]).select("node", "text").distinct(), "near-texts")
 
     # the second order has other first members in all buckets whose first one was an outsider
     found, tried, left = None, None, buckets.withColumn("root", F.col("node"))

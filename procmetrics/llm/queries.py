@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import chat, mixing, pieces, quality, sharding
+from . import balltree, chat, mixing, neardup, phrases, pieces, quality, sharding
 from .common import documents
 
 
@@ -14,10 +14,22 @@ def op1_host_quality(spark: SparkSession, root: str) -> DataFrame:
     return quality.judge(documents(spark, root))
 
 
+def op2_order_minhash(spark: SparkSession, root: str) -> DataFrame:
+    return neardup.classes(documents(spark, root)).withColumn("kept", F.col("doc_id") == F.col("class_id"))
+
+
+def op4_phrase_automata(spark: SparkSession, root: str) -> DataFrame:
+    return phrases.removals(documents(spark, root))
+
+
 def op6_piece_encoding(spark: SparkSession, root: str) -> DataFrame:
     return pieces.encode_digests(documents(spark, root), model_path())
 
 
+def op7_ball_tree(spark: SparkSession, root: str) -> DataFrame:
+    return balltree.top_k(table(spark, root, "embeddings"))
+
+
 def op8_rendezvous_shards(spark: SparkSession, root: str) -> DataFrame:
     return sharding.assign(documents(spark, root))
 
@@ -39,8 +51,10 @@ def model_path() -> str:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_host_quality, op6_piece_encoding, op8_rendezvous_shards, op9_poisson_mix, op10_chat_grammar)}
+    op1_host_quality, op2_order_minhash, op4_phrase_automata, op6_piece_encoding, op7_ball_tree,
+    op8_rendezvous_shards, op9_poisson_mix, op10_chat_grammar)}
 ORACLES = {
+    "op7_ball_tree": balltree.ORACLE,
     "op1_host_quality": quality.ORACLE,
     "op9_poisson_mix": mixing.ORACLE,
     "op10_chat_grammar": chat.ORACLE,
