@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import balltree, chat, mixing, neardup, phrases, pieces, quality, sharding
+from . import balltree, chat, mixing, neardup, phrases, pieces, quality, sharding, toxicity
 from .common import documents
 
 
@@ -18,6 +18,10 @@ def op2_order_minhash(spark: SparkSession, root: str) -> DataFrame:
     return neardup.classes(documents(spark, root)).withColumn("kept", F.col("doc_id") == F.col("class_id"))
 
 
+def op3_kneser_ney_toxicity(spark: SparkSession, root: str) -> DataFrame:
+    return toxicity.score(documents(spark, root), table(spark, root, "labels"))
+
+
 def op4_phrase_automata(spark: SparkSession, root: str) -> DataFrame:
     return phrases.removals(documents(spark, root))
 
@@ -51,7 +55,7 @@ def model_path() -> str:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_host_quality, op2_order_minhash, op4_phrase_automata, op6_piece_encoding, op7_ball_tree,
+    op1_host_quality, op2_order_minhash, op3_kneser_ney_toxicity, op4_phrase_automata, op6_piece_encoding, op7_ball_tree,
     op8_rendezvous_shards, op9_poisson_mix, op10_chat_grammar)}
 ORACLES = {
     "op7_ball_tree": balltree.ORACLE,
