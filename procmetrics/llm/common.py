@@ -33,6 +33,19 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few numbers each that are sent to every executor; a longer list is shuffled.
+SMALL_ROWS = 500_000
+
+
+def small(stored: DataFrame, rows: int | None = None) -> DataFrame:
+    """``stored``, marked for broadcast if it has at most ``SMALL_ROWS`` rows (or ``rows``, where a row holds more).
+
+    For stored tables of fixed-width columns. The join gives the same rows either way.
+    """
+    n = stored.count() if rows is None else rows
+    return F.broadcast(stored) if n <= SMALL_ROWS else stored
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected ``edges`` (a, b): one row (node, root) per node.
 

@@ -11,11 +11,7 @@ overlap. Candidates that share a key are verified by banded alignment:
 which is the Jaccard similarity of shingles that keep their order. Links of 0.8 and more join
 documents into classes.
 
-Work per bucket (documents with one key) is linear while links are found: all members meet the
-bucket's first member, twice, with other first members. What links are found contracts
-into components, and buckets left with a single component are done. Only in what remains are
-members of different components compared with each other, so that no pair of a
-bucket goes unseen unless it is linked already.
+Which candidates of a bucket meet, and why none is lost, is told in ``linking``.
 """
 
 from __future__ import annotations
@@ -25,10 +21,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, store
+from .common import components, small, store
+from .linking import link, shared_buckets
 from .phrases import text_key
 from .wordhash import Rolling, Words, mix, split_words
 
@@ -168,21 +165,12 @@ def _verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([out.column("a"), out.column("b")], names=["a", "b"])
 
 
-def _links(pairs: DataFrame, texts: DataFrame, label: str) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose texts are similar enough."""
     one = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     two = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     full = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
-    return store(full.mapInArrow(_verify, "a long, b long"), label)
-
-
-def _first(order: Column) -> Column:
-    return F.min(F.struct(order.alias("o"), F.col("node"), F.col("n")))
-
-
-def _near() -> Column:
-    """Sizes of two documents that may be similar enough."""
-    return F.least("n", "m") >= SIMILARITY * F.greatest("n", "m")
+    return full.mapInArrow(_verify, "a long, b long")
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -201,46 +189,18 @@ def classes(docs: DataFrame) -> DataFrame:
     same = worded.select("doc_id", "text_key").join(first, "text_key").select(
         F.col("doc_id").alias("a"), F.col("node").alias("b"))
     own = worded.join(first, "text_key").where("doc_id = node")
-    rows = own.select("node", "n", F.explode("keys").alias("k"))
-    shared = rows.groupBy("k").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("k")
-    buckets = store(rows.join(shared, "k"), "buckets").distinct()
-    nodes = buckets.select("node").distinct()
-    # of rows that repeat an id, the texts that stand for a class
-    key = own.select("node", "text_key").join(nodes, "node", "left_semi")
-    texts = store(d.join(key, d["doc_id"] == key["node"]).select("node", "text").distinct(), "near-texts")
-
-    # the second order has other first members in all buckets whose first one was an outsider
-    found, tried, left = None, None, buckets.withColumn("root", F.col("node"))
-    for turn in (None, F.xxhash64("node")):
-        hub = left.groupBy("k").agg(_first(F.col("node") if turn is None else turn).alias("h"))
-        pairs = (left.join(hub, "k").where("node <> h.node")
-                 .select("node", "root", F.col("n"), F.col("h.node").alias("hub"), F.col("h.n").alias("m"))
-                 .where(_near()).select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct())
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = store(pairs, "pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        links = _links(pairs, texts, "links")
-        found = links if found is None else found.unionByName(links)
-        root = components(found)
-        left = _open(buckets, root)
-    one = left.select("k", F.col("node").alias("a"), F.col("n"), F.col("root").alias("ra"))
-    two = left.select("k", F.col("node").alias("b"), F.col("n").alias("m"), F.col("root").alias("rb"))
-    rest = store(one.join(two, "k").where("a > b and ra <> rb").where(_near()).select("a", "b").distinct()
-                 .join(tried, ["a", "b"], "left_anti"), "rest")
-    found = found.unionByName(_links(rest, texts, "links"))
+    rows = own.select(F.explode("keys").alias("k"), "node", F.col("n").alias("about"))
+    buckets = shared_buckets(rows)
+    # of rows that repeat an id, all texts; the others' texts are not moved
+    nodes = store(buckets.select("node").distinct(), "nodes")
+    texts = store(d.join(small(nodes), d["doc_id"] == nodes["node"]).select("node", "text").distinct(), "near-texts")
+    found = link(buckets, lambda n, m: F.least(n, m) >= SIMILARITY * F.greatest(n, m),
+                 lambda pairs: _verified(pairs, texts))
     root = components(found.unionByName(same))
     return (d.select("doc_id").distinct().join(root, F.col("doc_id") == F.col("node"), "left")
             .select("doc_id", F.coalesce("root", "doc_id").alias("class_id")))
 
 
-def _open(buckets: DataFrame, root: DataFrame) -> DataFrame:
-    """The buckets that still hold more than one component, with the component of each member."""
-    r = buckets.join(root, "node", "left").select("k", "node", "n", F.coalesce("root", "node").alias("root"))
-    more = r.groupBy("k").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("k")
-    return store(r.join(more, "k"), "open")
-
-
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay: one row for each class, the one with the smallest doc_id.
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import store
+from .common import small, store
 from .wordhash import Rolling, Words, mix, sliding, split_words
 
 WINDOW, PHRASE = 50, 10
@@ -178,9 +178,12 @@ def removals(docs: DataFrame) -> DataFrame:
            .select("doc_id", "text_key", F.col("m.marks").alias("mark"), F.col("m.places").alias("place")))
     again = (own.groupBy("mark").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
              .where("lo < hi").select("mark"))
-    hits = (own.join(again, "mark", "left_semi").groupBy("doc_id", "text_key")
+    hits = (own.join(small(store(again, "marks")), "mark", "left_semi").groupBy("doc_id", "text_key")
             .agg(F.collect_set("place").alias("ints")))
-    texts = store(d.join(hits, "doc_id"), "phrase-texts")
+    hits = store(hits, "hits")
+    # few documents hold recurring phrases; if they are few enough, the other texts stay where they are
+    some = store(hits.select("doc_id").distinct(), "hit-ids")
+    texts = store(d.join(small(some), "doc_id", "left_semi").join(hits, "doc_id"), "phrase-texts")
     windows = store(texts.mapInArrow(_windows, "h1 long, h2 long, doc_id long, text_key long, start int"), "windows")
     owner = (windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
              .where("lo < hi").select("h1", "h2", "lo"))

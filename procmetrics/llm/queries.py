@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import balltree, chat, mixing, neardup, phrases, pieces, quality, sharding, toxicity
+from . import balltree, chat, lines, mixing, neardup, phrases, pieces, quality, sharding, toxicity
 from .common import documents
 
 
@@ -26,6 +26,10 @@ def op4_phrase_automata(spark: SparkSession, root: str) -> DataFrame:
     return phrases.removals(documents(spark, root))
 
 
+def op5_fuzzy_lines(spark: SparkSession, root: str) -> DataFrame:
+    return lines.dedup_digests(documents(spark, root))
+
+
 def op6_piece_encoding(spark: SparkSession, root: str) -> DataFrame:
     return pieces.encode_digests(documents(spark, root), model_path())
 
@@ -55,7 +59,8 @@ def model_path() -> str:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_host_quality, op2_order_minhash, op3_kneser_ney_toxicity, op4_phrase_automata, op6_piece_encoding, op7_ball_tree,
+    op1_host_quality, op2_order_minhash, op3_kneser_ney_toxicity, op4_phrase_automata,
+    op5_fuzzy_lines, op6_piece_encoding, op7_ball_tree,
     op8_rendezvous_shards, op9_poisson_mix, op10_chat_grammar)}
 ORACLES = {
     "op7_ball_tree": balltree.ORACLE,
