@@ -46,6 +46,15 @@ def small(stored: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(stored) if n <= SMALL_ROWS else stored
 
 
+#: Rows of a few numbers each that one task takes on.
+TASK_ROWS = 250_000
+
+
+def sized(stored: DataFrame) -> DataFrame:
+    """``stored`` in as many partitions as its rows need: a small table joins and groups in one task, without shuffles."""
+    return stored.coalesce(max(1, -(-stored.count() // TASK_ROWS)))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected ``edges`` (a, b): one row (node, root) per node.
 
@@ -58,7 +67,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     e = (edges.where("a <> b")
          .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    e = store(e, "edges")
+    e = sized(store(e, "edges"))
     seen = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -69,7 +78,7 @@ def components(edges: DataFrame) -> DataFrame:
         up = e.join(low, "u")
         e = (up.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
              .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        e = store(e, "edges")
+        e = sized(store(e, "edges"))
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == seen:
             break

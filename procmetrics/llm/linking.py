@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, small, store
+from .common import components, sized, small, store
 
 Verify = Callable[[DataFrame], DataFrame]
 Near = Callable[[Column, Column], Column]
@@ -24,14 +24,15 @@ def shared_buckets(rows: DataFrame) -> DataFrame:
     """The ``rows`` (k, node, about) whose bucket ``k`` holds more than one node, each once; stored."""
     more = store(rows.groupBy("k").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
                  .where("lo < hi").select("k"), "shared")
-    return store(rows.join(small(more), "k", "left_semi").distinct(), "buckets")
+    return sized(store(rows.join(small(more), "k", "left_semi").distinct(), "buckets"))
 
 
 def _open(buckets: DataFrame, roots: DataFrame) -> DataFrame:
     """The buckets that hold more than one component, with the component of each member."""
-    r = store(buckets.join(small(roots), "node", "left").select("k", "node", "about", F.coalesce("root", "node").alias("root")), "rooted")
+    r = sized(store(buckets.join(small(roots), "node", "left").select(
+        "k", "node", "about", F.coalesce("root", "node").alias("root")), "rooted"))
     more = r.groupBy("k").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("k")
-    return store(r.join(small(store(more, "open-keys")), "k", "left_semi"), "open")
+    return sized(store(r.join(small(store(more, "open-keys")), "k", "left_semi"), "open"))
 
 
 def link(buckets: DataFrame, near: Near, verify: Verify) -> DataFrame:
@@ -40,8 +41,11 @@ def link(buckets: DataFrame, near: Near, verify: Verify) -> DataFrame:
     ``near(x, y)`` tells from two ``about`` values whether a comparison can succeed; ``verify``
     keeps of the pairs (a, b) those that are similar.
     """
-    links, tried, left = None, None, buckets.withColumn("root", F.col("node"))
+    turns, links, tried, left = 0, None, None, buckets.withColumn("root", F.col("node"))
     for first in (F.col("node"), F.xxhash64("node")):
+        if turns and left.isEmpty():
+            return links
+        turns += 1
         hub = left.groupBy("k").agg(F.min(F.struct(first.alias("o"), "node", "about")).alias("h"))
         pairs = (left.join(hub, "k").where("node <> h.node").where(near(F.col("about"), F.col("h.about")))
                  .select(F.greatest("node", "h.node").alias("a"), F.least("node", "h.node").alias("b")).distinct())
@@ -49,9 +53,11 @@ def link(buckets: DataFrame, near: Near, verify: Verify) -> DataFrame:
             pairs = pairs.join(small(tried), ["a", "b"], "left_anti")
         pairs = store(pairs, "pairs")
         found = store(verify(pairs), "links")
-        tried = pairs if tried is None else store(tried.unionByName(pairs), "tried")
-        links = found if links is None else store(links.unionByName(found), "links")
-        left = _open(buckets, components(links))
+        tried = sized(pairs if tried is None else store(tried.unionByName(pairs), "tried"))
+        links = sized(found if links is None else store(links.unionByName(found), "links"))
+        left = _open(buckets, store(components(links), "roots"))
+    if left.isEmpty():
+        return links
     one = left.select("k", F.col("node").alias("a"), F.col("about").alias("x"), F.col("root").alias("ra"))
     two = left.select("k", F.col("node").alias("b"), F.col("about").alias("y"), F.col("root").alias("rb"))
     rest = (one.join(two, "k").where("a > b and ra <> rb").where(near(F.col("x"), F.col("y")))

@@ -21,7 +21,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, small, store
@@ -35,6 +35,9 @@ SIMILARITY = 0.8
 #: more than SIMILARITY, so two similar documents always have a family in common. At
 #: similarity 0.8 a pair shares no key with probability 0.0003 (short) and 0.0006 (long).
 FAMILIES = ((3, 20, 1, 45), (6, 28, 36, None))
+#: Lowest labelled shingles that a document's bit pattern tells of, and the share of common
+#: bits below which two documents are not compared. Similar ones fall below it with a probability under 0.0001.
+LOWEST, BITS = 40, 0.5
 #: Values of one matrix of sketches by shingles.
 CELLS = 1 << 21
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -77,25 +80,44 @@ def sketch_keys(values: np.ndarray, least: int, sketches: int) -> np.ndarray:
     return np.concatenate(keys)
 
 
-SKETCH = "doc_id long, text_key long, n long, keys array<long>"
+def pattern(values: np.ndarray) -> tuple[int, int]:
+    """128 bits that tell which labelled shingles are among the ``LOWEST`` by hash."""
+    low = np.partition(values, LOWEST - 1)[:LOWEST] if len(values) > LOWEST else values
+    bits = np.zeros(128, np.uint8)
+    bits[(low & np.uint64(127)).astype(np.int64)] = 1
+    one, two = np.packbits(bits).view(np.int64)
+    return int(one), int(two)
+
+
+def _near(x: Column, y: Column) -> Column:
+    """Whether sizes and bit patterns allow two documents to be similar enough."""
+    common, some = F.lit(0), F.lit(0)
+    for b in ("b1", "b2"):
+        common, some = common + F.bit_count(x[b].bitwiseAND(y[b])), some + F.bit_count(x[b].bitwiseOR(y[b]))
+    return (F.least(x["n"], y["n"]) >= SIMILARITY * F.greatest(x["n"], y["n"])) & (common >= BITS * some)
+
+
+SKETCH = "doc_id long, text_key long, n long, b1 long, b2 long, keys array<long>"
 
 
 def _sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashed, rolling = Words(), Rolling()
     for b in batches:
-        text, size, keys = [], [], []
+        text, size, bits, keys = [], [], [], []
         for t in b.column(1):
             w = split_words(t.as_py())
             s = shingles_of(w, hashed, rolling)
             text.append(text_key(hashlib.sha256(b" ".join(w)).digest()) if w else None)
             size.append(len(s))
             v = labelled(s)
+            bits.append(pattern(v))
             k = [sketch_keys(v, least, many) for least, many, low, high in FAMILIES
                  if low <= len(s) and (high is None or len(s) <= high)]
             keys.append(np.concatenate(k).view(np.int64).tolist() if k else [])
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array(text, pa.int64()), pa.array(size, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-            names=["doc_id", "text_key", "n", "keys"])
+            [b.column(0), pa.array(text, pa.int64()), pa.array(size, pa.int64()),
+             pa.array([x for x, _ in bits], pa.int64()), pa.array([x for _, x in bits], pa.int64()),
+             pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "text_key", "n", "b1", "b2", "keys"])
 
 
 def common_length(a: list, b: list, band: int) -> int:
@@ -189,13 +211,12 @@ def classes(docs: DataFrame) -> DataFrame:
     same = worded.select("doc_id", "text_key").join(first, "text_key").select(
         F.col("doc_id").alias("a"), F.col("node").alias("b"))
     own = worded.join(first, "text_key").where("doc_id = node")
-    rows = own.select(F.explode("keys").alias("k"), "node", F.col("n").alias("about"))
+    rows = own.select(F.explode("keys").alias("k"), "node", F.struct("n", "b1", "b2").alias("about"))
     buckets = shared_buckets(rows)
     # of rows that repeat an id, all texts; the others' texts are not moved
     nodes = store(buckets.select("node").distinct(), "nodes")
     texts = store(d.join(small(nodes), d["doc_id"] == nodes["node"]).select("node", "text").distinct(), "near-texts")
-    found = link(buckets, lambda n, m: F.least(n, m) >= SIMILARITY * F.greatest(n, m),
-                 lambda pairs: _verified(pairs, texts))
+    found = link(buckets, _near, lambda pairs: _verified(pairs, texts))
     root = components(found.unionByName(same))
     return (d.select("doc_id").distinct().join(root, F.col("doc_id") == F.col("node"), "left")
             .select("doc_id", F.coalesce("root", "doc_id").alias("class_id")))
