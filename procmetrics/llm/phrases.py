@@ -187,7 +187,8 @@ def removals(docs: DataFrame) -> DataFrame:
     windows = store(texts.mapInArrow(_windows, "h1 long, h2 long, doc_id long, text_key long, start int"), "windows")
     owner = (windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
              .where("lo < hi").select("h1", "h2", "lo"))
-    gone = (windows.join(owner, ["h1", "h2"]).where("doc_id > lo").groupBy("doc_id", "text_key")
+    # stored, so that adaptive execution can split the windows of a hot passage between tasks
+    gone = (windows.join(small(store(owner, "owners")), ["h1", "h2"]).where("doc_id > lo").groupBy("doc_id", "text_key")
             .agg(F.collect_set("start").alias("ints")))
     cut = (texts.drop("ints").join(gone, ["doc_id", "text_key"])
            .mapInArrow(_remove, "doc_id long, text_key long, n_removed long, kept_sha256 string")
