@@ -1,10 +1,12 @@
 """Components of similar records from the buckets they share, without listing a bucket's pairs.
 
-All members of a bucket meet its first member, twice, with other first members. The links found
-join records into components, and a bucket whose members all lie in one component is done:
-a large group of copies costs as many comparisons as it has members. Only in the buckets that are left are
-members of different components compared with each other, so a pair that shares a bucket is compared
-unless it is already linked.
+Records that share many buckets with many others are likely the middle of a group, such as the original of edited
+copies. In each bucket all members meet the most central one; the links found join records into components; the buckets
+that still hold several components go on with another central member, members of its component being done. A large
+group of copies so costs a few comparisons a member. What is left after ``TURNS`` turns, records that share buckets
+but are no copies of the central ones, goes through an exact prefix filter: records can only be similar
+if they share one of their rarest tokens, so a crowd of records that are somewhat alike
+gives no pairs at all. No two records that share a bucket are passed over unless they are linked already.
 """
 
 from __future__ import annotations
@@ -12,12 +14,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import components, sized, small, store
 
 Verify = Callable[[DataFrame], DataFrame]
+#: Turns with one central member a bucket.
+TURNS = 4
+#: Of a node's tokens the pattern tells of the lowest ones, in so many words of 64 bits; similar
+#: sets fall short of ``least`` by SLACK there with a probability under 0.0001.
+LOWEST, WORDS, SLACK = 256, 8, 0.1
 Near = Callable[[Column, Column], Column]
+Tokens = Callable[[DataFrame], DataFrame]
 
 
 def shared_buckets(rows: DataFrame) -> DataFrame:
@@ -30,24 +39,29 @@ def shared_buckets(rows: DataFrame) -> DataFrame:
 def _open(buckets: DataFrame, roots: DataFrame) -> DataFrame:
     """The buckets that hold more than one component, with the component of each member."""
     r = sized(store(buckets.join(small(roots), "node", "left").select(
-        "k", "node", "about", F.coalesce("root", "node").alias("root")), "rooted"))
+        "k", "node", "about", "pull", F.coalesce("root", "node").alias("root")), "rooted"))
     more = r.groupBy("k").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("k")
     return sized(store(r.join(small(store(more, "open-keys")), "k", "left_semi"), "open"))
 
 
-def link(buckets: DataFrame, near: Near, verify: Verify) -> DataFrame:
+def link(buckets: DataFrame, near: Near, verify: Verify, tokens: Tokens, least: float) -> DataFrame:
     """Verified links (a, b), enough of them to give every component, from ``buckets`` (k, node, about).
 
     ``near(x, y)`` tells from two ``about`` values whether a comparison can succeed; ``verify``
-    keeps of the pairs (a, b) those that are similar.
+    keeps of the pairs (a, b) those that are similar; ``tokens`` gives for some nodes their distinct
+    tokens (node, token), whose Jaccard similarity is ``least`` or more in every similar pair.
     """
-    turns, links, tried, left = 0, None, None, buckets.withColumn("root", F.col("node"))
-    for first in (F.col("node"), F.xxhash64("node")):
-        if turns and left.isEmpty():
+    size = buckets.groupBy("k").agg(F.count("*").alias("size"))
+    pull = buckets.join(size, "k").groupBy("node").agg(F.sum("size").alias("pull"))
+    buckets = sized(store(buckets.join(pull, "node").select("k", "node", "about", "pull"), "buckets"))
+    links, tried, left = None, None, buckets.withColumn("root", F.col("node"))
+    for turn in range(TURNS):
+        if turn and left.isEmpty():
             return links
-        turns += 1
-        hub = left.groupBy("k").agg(F.min(F.struct(first.alias("o"), "node", "about")).alias("h"))
-        pairs = (left.join(hub, "k").where("node <> h.node").where(near(F.col("about"), F.col("h.about")))
+        # later turns weigh the pull by chance, so that other central members get their turn
+        chance = F.lit(1.0) if not turn else 0.5 + F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1000)) / 2000
+        hub = left.groupBy("k").agg(F.min(F.struct((-F.col("pull") * chance).alias("o"), "node", "about", "root")).alias("h"))
+        pairs = (left.join(hub, "k").where("root <> h.root").where(near(F.col("about"), F.col("h.about")))
                  .select(F.greatest("node", "h.node").alias("a"), F.least("node", "h.node").alias("b")).distinct())
         if tried is not None:
             pairs = pairs.join(small(tried), ["a", "b"], "left_anti")
@@ -58,8 +72,44 @@ def link(buckets: DataFrame, near: Near, verify: Verify) -> DataFrame:
         left = _open(buckets, store(components(links), "roots"))
     if left.isEmpty():
         return links
-    one = left.select("k", F.col("node").alias("a"), F.col("about").alias("x"), F.col("root").alias("ra"))
-    two = left.select("k", F.col("node").alias("b"), F.col("about").alias("y"), F.col("root").alias("rb"))
-    rest = (one.join(two, "k").where("a > b and ra <> rb").where(near(F.col("x"), F.col("y")))
-            .select("a", "b").distinct().join(small(tried), ["a", "b"], "left_anti"))
+    nodes = store(left.groupBy("node").agg(F.first("root").alias("root"), F.first("about").alias("about")), "open-nodes")
+    rest = _rarest_in_common(tokens(small(nodes)), nodes, near, least).join(small(tried), ["a", "b"], "left_anti")
     return links.unionByName(store(verify(store(rest, "rest")), "links"))
+
+
+def _rarest_in_common(tokens: DataFrame, nodes: DataFrame, near: Near, least: float) -> DataFrame:
+    """Pairs (a, b) of different roots that may have a token overlap of ``least`` and more: an exact prefix filter.
+
+    Sets of n and m tokens have to share ``need`` = least / (1 + least) * (n + m) of them. Ordered from rare to frequent,
+    the first one they share is therefore among the first ``n - need + 1`` of the one and ``m - need + 1`` of
+    the other. Tokens (node, token) that only one node has come first and need no row. Of a pair's other tokens
+    a pattern tells enough to leave out what is clearly below ``least``.
+    """
+    tokens = store(tokens, "tokens")
+    often = store(tokens.groupBy("token").agg(F.count("*").alias("often")).where("often > 1"), "often")
+    h = F.xxhash64("token")
+    low = tokens.withColumn("low", F.row_number().over(W.partitionBy("node").orderBy(h)))
+    bit = F.when(F.col("low") <= LOWEST, F.pmod(h, F.lit(64 * WORDS)))
+    size = low.groupBy("node").agg(F.count("*").alias("n"), *(
+        F.bit_or(F.when(F.floor(bit / 64) == i, F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int")))
+                 .otherwise(F.lit(0).cast("long"))).alias(f"w{i}") for i in range(WORDS)))
+    shared = tokens.join(small(often), "token")
+    rank = F.row_number().over(W.partitionBy("node").orderBy("often", "token"))
+    many = shared.groupBy("node").agg(F.count("*").alias("m"))
+    # a partner has at least least * n tokens
+    sizes = store(size.join(many, "node").withColumn("room", F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1 - (F.col("n") - F.col("m")))
+                  .where("room > 0"), "sizes")
+    about = [f"w{i}" for i in range(WORDS)]
+    first = (shared.withColumn("rank", rank).join(small(sizes), "node").where("rank <= room")
+             .select("token", "node", "n", (F.col("rank") + F.col("n") - F.col("m")).alias("rank"), F.array(*about).alias("bits"))
+             .join(small(nodes), "node"))
+    first = sized(store(first, "prefixes"))
+    one = first.select("token", *(F.col(c).alias(f"{c}_a") for c in ("node", "n", "rank", "bits", "about", "root")))
+    two = first.select("token", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "rank", "bits", "about", "root")))
+    need = F.ceil((F.col("n_a") + F.col("n_b")) * (least / (1 + least)) - 1e-9)
+    count = lambda f: sum((F.bit_count(f(F.col("bits_a")[i], F.col("bits_b")[i])) for i in range(WORDS)), F.lit(0))
+    alike = count(lambda x, y: x.bitwiseAND(y)) >= (least - SLACK) * count(lambda x, y: x.bitwiseOR(y))
+    return (one.join(two, "token").where("node_a > node_b and root_a <> root_b")
+            .where((F.col("rank_a") <= F.col("n_a") - need + 1) & (F.col("rank_b") <= F.col("n_b") - need + 1))
+            .where(near(F.col("about_a"), F.col("about_b"))).where(alike)
+            .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())

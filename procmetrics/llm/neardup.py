@@ -187,6 +187,14 @@ def _verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([out.column("a"), out.column("b")], names=["a", "b"])
 
 
+def _tokens(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hashed, rolling = Words(), Rolling()
+    for b in batches:
+        for node, t in zip(b.column("node").to_pylist(), b.column("text"), strict=True):
+            v = labelled(shingles_of(split_words(t.as_py()), hashed, rolling)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), node)), pa.array(v)], names=["node", "token"])
+
+
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose texts are similar enough."""
     one = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
@@ -216,7 +224,9 @@ def classes(docs: DataFrame) -> DataFrame:
     # of rows that repeat an id, all texts; the others' texts are not moved
     nodes = store(buckets.select("node").distinct(), "nodes")
     texts = store(d.join(small(nodes), d["doc_id"] == nodes["node"]).select("node", "text").distinct(), "near-texts")
-    found = link(buckets, _near, lambda pairs: _verified(pairs, texts))
+    found = link(buckets, _near, lambda pairs: _verified(pairs, texts),
+                 lambda some: texts.join(some.select("node"), "node", "left_semi").mapInArrow(
+                     _tokens, "node long, token long").distinct(), SIMILARITY)
     root = components(found.unionByName(same))
     return (d.select("doc_id").distinct().join(root, F.col("doc_id") == F.col("node"), "left")
             .select("doc_id", F.coalesce("root", "doc_id").alias("class_id")))
