@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from .common import components, sized, small, store
 
 Verify = Callable[[DataFrame], DataFrame]
-#: Turns with one central member a bucket.
-TURNS = 4
+#: Turns with one central member a bucket; the last one is the first that links less than this share of its pairs.
+TURNS, WORTH = 4, 0.1
 #: Of a node's tokens the pattern tells of the lowest ones, in so many words of 64 bits; similar
 #: sets fall short of ``least`` by SLACK there with a probability under 0.0001.
 LOWEST, WORDS, SLACK = 256, 8, 0.1
@@ -70,6 +70,8 @@ def link(buckets: DataFrame, near: Near, verify: Verify, tokens: Tokens, least:
         tried = sized(pairs if tried is None else store(tried.unionByName(pairs), "tried"))
         links = sized(found if links is None else store(links.unionByName(found), "links"))
         left = _open(buckets, store(components(links), "roots"))
+        if found.count() < WORTH * pairs.count():
+            break
     if left.isEmpty():
         return links
     nodes = store(left.groupBy("node").agg(F.first("root").alias("root"), F.first("about").alias("about")), "open-nodes")
