@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -17,14 +18,12 @@ MIN_STEM = 12
 def suffix_list(seed: DataFrame | None) -> tuple[str, ...]:
     """Suffixes of the legal_suffix seed, longest first; the fixed list if empty.
 
-    The seed is a hand-kept list of words, so it is read on the driver to build
-    a pattern; a seed of more than 1000 rows is refused rather than collected.
+    The seed is configuration, a hand-kept list of words: it is read whole on the
+    driver to build one pattern, whatever its length.
     """
     if seed is None:
         return LEGAL_SUFFIXES
-    rows = seed.select("suffix").where("suffix is not null").limit(1001).collect()
-    if len(rows) > 1000:
-        raise ValueError("legal suffix seed has more than 1000 rows; it is not a word list")
+    rows = seed.select("suffix").where("suffix is not null").collect()
     words = sorted((r.suffix for r in rows), key=lambda w: (-len(w), w))
     return tuple(words) or LEGAL_SUFFIXES
 
@@ -37,9 +36,14 @@ def name_alnum(c: Column) -> Column:
     return F.upper(F.regexp_replace(c, "[^a-zA-Z0-9]", ""))
 
 
+def _quoted(word: str) -> str:
+    """``word`` as a pattern that matches what is left of it after the name lost its punctuation."""
+    return re.sub(r"[^a-zA-Z0-9 ]", "", word)
+
+
 def name_core(c: Column, suffixes: Sequence[str] = LEGAL_SUFFIXES) -> Column:
     plain = F.regexp_replace(c, "[^a-zA-Z0-9 ]", "")
-    bare = F.regexp_replace(plain, r"(?i)\s+(" + "|".join(suffixes) + ")$", "")
+    bare = F.regexp_replace(plain, r"(?i)\s+(" + "|".join(filter(None, map(_quoted, suffixes))) + ")$", "")
     return F.upper(F.regexp_replace(bare, r"\s+", " "))
 
 

@@ -123,25 +123,21 @@ def lag_first(
     return plain.unionByName(pieced.select(*plain.columns))
 
 
-def bounded_list(
-    df: DataFrame, keys: Sequence[str], value: str, sep: str, out: str, max_items: int = 10_000
-) -> DataFrame:
-    """Ordered text list of ``value`` per key, with the exact count ``n_items``.
+def text_list(df: DataFrame, keys: Sequence[str], value: str, sep: str, out: str) -> DataFrame:
+    """Ordered text list of ``value`` per key, complete for every key, with the count ``n_items``.
 
-    A group above ``max_items`` is never gathered in one task: its list is null,
-    its count stays exact, and its members are the rows of ``df`` themselves.
+    One text holds a key's whole list, so the key's values meet in one row; a consumer that
+    does not need the text should read ``list_members``, which never gathers a key.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_items"))
-    ck = _carry_keys(counts, keys)
-    cond = _null_safe(keys)
-    small = (
-        df.join(ck, cond)
-        .where(F.col("n_items") <= max_items)
-        .groupBy(*keys)
-        .agg(F.array_join(F.sort_array(F.collect_list(value)), sep).alias(out))
-    )
-    lists = _carry_keys(small, keys)
-    return counts.join(lists, cond, "left").drop(*[f"_k{i}" for i in range(len(keys))])
+    return df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_items"),
+        F.array_join(F.sort_array(F.collect_list(value)), sep).alias(out))
+
+
+def list_members(df: DataFrame, keys: Sequence[str], value: str, chunk: Sequence[Column]) -> DataFrame:
+    """The members of the same lists as rows (keys, position from 1, value); null values are no members."""
+    rows = df.where(F.col(value).isNotNull()).select(*keys, value)
+    return row_number(rows, keys, [F.asc(value)], chunk, "position")
 
 
 def _carry_keys(df, keys):

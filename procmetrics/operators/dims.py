@@ -107,13 +107,12 @@ def calendar(days: DataFrame, as_of: dt.date, policy: Policy = DEFAULT) -> DataF
     )
 
 
-def dim_date(spark: SparkSession, start: dt.date = dt.date(2024, 1, 1),
-             end: dt.date = dt.date(2027, 12, 31), as_of: dt.date | None = None,
-             policy: Policy = DEFAULT) -> DataFrame:
+def dim_date(spark: SparkSession, as_of: dt.date, start: dt.date = dt.date(2024, 1, 1),
+             end: dt.date = dt.date(2027, 12, 31), policy: Policy = DEFAULT) -> DataFrame:
     """One row per day, ``start`` to ``end`` inclusive; ``as_of`` is the build day."""
     days = spark.range(1).select(
         F.explode(F.sequence(F.lit(start), F.lit(end))).alias("date_day"))
-    return calendar(days, as_of or dt.date.today(), policy)
+    return calendar(days, as_of, policy)
 
 
 def calendar_over(dates: DataFrame, col: str, as_of: dt.date, policy: Policy = DEFAULT) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.clean import ratio
@@ -26,13 +27,13 @@ def fx_rates(gl_lines: DataFrame, gl_headers: DataFrame, policy: Policy = DEFAUL
         F.sum("amount_document_currency").alias("_doc"),
         F.count(F.lit(1)).alias("gl_line_count"),
     )
-    overall = monthly.groupBy("currency_code").agg(
-        F.sum("_local").alias("_all_local"), F.sum("_doc").alias("_all_doc"))
+    # a currency's months are few rows: the ledger is joined and folded once
+    whole = W.partitionBy("currency_code")
     rate = "decimal(18,6)"
-    return monthly.join(overall, "currency_code").select(
+    return monthly.select(
         "currency_code", "rate_month",
         ratio(F.col("_local"), F.col("_doc")).cast(rate).alias("rate_to_reporting_currency"),
-        ratio(F.col("_all_local"), F.col("_all_doc")).cast(rate).alias("fallback_rate"),
+        ratio(F.sum("_local").over(whole), F.sum("_doc").over(whole)).cast(rate).alias("fallback_rate"),
         "gl_line_count",
         F.lit(policy.reporting_currency).alias("reporting_currency"),
         F.lit(policy.fx_rate_source).alias("rate_source"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import keys as K
 from ..functions.clean import surrogate_key
-from ..functions.sequence import HOT_ROWS, bounded_list, row_number
+from ..functions.sequence import HOT_ROWS, row_number, text_list
 from ..policy import DEFAULT, Policy
 
 # fixed values: probe and confidence, strongest first
@@ -257,7 +257,7 @@ def best_customer_match(
 # ------------------------------------------------- employee resolution
 
 
-def roster_people(roster: DataFrame, max_codes: int = 10_000) -> DataFrame:
+def roster_people(roster: DataFrame) -> DataFrame:
     """One person per e-mail: the earliest hire survives, lowest code on a tie."""
     rows = roster.where("work_email is not null").select(
         F.lower("work_email").alias("work_email"), "employee_code",
@@ -269,8 +269,8 @@ def roster_people(roster: DataFrame, max_codes: int = 10_000) -> DataFrame:
         F.min("person_name_key").alias("person_name_key"),
     ).select(F.col("_first.employee_code").alias("employee_code"), "work_email",
              "person_name_key")
-    codes = bounded_list(rows, ["work_email"], "employee_code", ",", "all_employee_codes",
-                         max_codes).withColumnRenamed("n_items", "duplicate_record_count")
+    codes = text_list(rows, ["work_email"], "employee_code", ",", "all_employee_codes"
+                      ).withColumnRenamed("n_items", "duplicate_record_count")
     return people.join(codes, "work_email")
 
 

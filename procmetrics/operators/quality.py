@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.clean import ratio
-from ..functions.sequence import bounded_list
+from ..functions.sequence import text_list
 from ..plans.metrics import Catalog, is_reaggregatable
 
 # ------------------------------------------------------ failing rows
@@ -183,7 +183,7 @@ def blocked_with_logic(registry: DataFrame) -> DataFrame:
 def colliding_names(df: DataFrame, name: str, code: str) -> DataFrame:
     """Names that are equal after normalisation, with how many and which codes."""
     rows = df.select(F.upper(F.trim(name)).alias("name_upper"), F.col(code).alias("_code"))
-    return bounded_list(rows, ["name_upper"], "_code", ", ", "codes").where(
+    return text_list(rows, ["name_upper"], "_code", ", ", "codes").where(
         "n_items > 1").withColumnRenamed("n_items", "records")
 
 

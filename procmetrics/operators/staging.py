@@ -114,6 +114,46 @@ TABLE_NAMES = {
     ("SINVOICED", "ITMDES1_0"): "item_description_at_invoice",
     ("STOCOUNT", "CREUSR_0"): "counted_by",
     ("PRECEIPT", "CREUSR_0"): "received_by",
+    ("COMPANY", "CPYLOG_0"): "is_logistics_flag",
+    ("FACILITY", "FCYSTO_0"): "is_stock_site_code",
+    ("FACILITY", "FCYSAL_0"): "is_sales_site_code",
+    ("FACILITY", "FCYPUR_0"): "is_purchase_site_code",
+    ("BPARTNER", "BPCFLG_0"): "is_customer_code",
+    ("BPARTNER", "BPSFLG_0"): "is_supplier_code",
+    ("BPARTNER", "BPRLOG_0"): "is_active_code",
+    ("BPCUSTOMER", "OSTCTL_0"): "credit_control_code",
+    ("BPSUPPLIER", "LTI_0"): "lead_time_days",
+    ("BPADDRESS", "BPATYP_0"): "partner_type_code",
+    ("BPADDRESS", "BPAADD_0"): "address_code",
+    ("BPADDRESS", "BPADES_0"): "address_description",
+    ("BPADDRESS", "POSCOD_0"): "postal_code",
+    ("BPADDRESS", "TEL_0"): "phone",
+    ("ITMFACILIT", "SAFSTO_0"): "safety_stock_qty",
+    ("ITMFACILIT", "REOMINQTY_0"): "reorder_min_qty",
+    ("ITMFACILIT", "REOMAXQTY_0"): "reorder_max_qty",
+    ("ITMFACILIT", "LTISUP_0"): "supplier_lead_time_days",
+    ("SORDERQ", "SOQSEQ_0"): "sales_order_line_sequence",
+    ("SORDERP", "SOPSEQ_0"): "sales_order_line_sequence",
+    ("SINVOICEV", "AMTTAXLIN_0"): "invoice_tax_amount",
+    ("SINVOICEV", "AMTATILIN_0"): "invoice_gross_amount",
+    ("STOCK", "STA_0"): "stock_status",
+    ("STOCK", "OWNER_0"): "owner_code",
+    ("PORDERQ", "POQSEQ_0"): "purchase_order_line_sequence",
+    ("GACCENTRY", "TYP_0"): "entry_type_code",
+    ("GACCENTRY", "JOU_0"): "journal_code",
+    ("GACCENTRY", "DES_0"): "description",
+    ("GACCENTRY", "VCRNUM_0"): "source_document_number",
+    ("GACCENTRY", "STA_0"): "entry_status_code",
+    ("GACCENTRYD", "SNS_0"): "debit_credit_sign",
+    ("GACCENTRYD", "DSP_0"): "dimension_code",
+    ("PRECEIPT", "PTHTYP_0"): "receipt_type_code",
+    ("PINVOICE", "PIVTYP_0"): "invoice_type_code",
+    ("PINVOICE", "BPSINV_0"): "supplier_document_number",
+    ("ATEXTRA", "CODFIC_0"): "table_code",
+    ("ATEXTRA", "ZONE_0"): "field_code",
+    ("ATEXTRA", "IDENT1_0"): "key_1",
+    ("ATEXTRA", "IDENT2_0"): "key_2",
+    ("ATEXTRA", "TEXTE_0"): "translated_text",
 }
 
 # fixed values: business names of the other systems' columns

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..functions import clean, keys
-from ..functions.sequence import bounded_list, exact_median, lag_first, row_number
+from ..functions.sequence import exact_median, lag_first, row_number, text_list
 from ..operators import match, profile, staging
 from ..operators.lines import order_line
 from ..sources import landing
@@ -72,7 +72,7 @@ def stage_text_casts(i):
 
 @query("stage_flags", """
 select 'N' || n_nationkey as site_code, n_name as site_name,
-  cast(n_nationkey % 3 as bigint) as fcysto, n_nationkey % 3 = 2 as is_stock_site,
+  cast(n_nationkey % 3 as bigint) as is_stock_site_code, n_nationkey % 3 = 2 as is_stock_site,
   n_nationkey % 2 + 1 = 2 as is_sales_site, n_nationkey % 5 = 2 as is_purchase_site, customers
 from nation join (select c_nationkey, count(*) as customers from customer group by 1)
   on c_nationkey = n_nationkey""")
@@ -86,7 +86,7 @@ def stage_flags(i):
     n_cust = i.raw("customer").groupBy(tag("N", F.col("c_nationkey")).alias("_site")).agg(
         F.count(F.lit(1)).alias("customers"))
     return sites.join(n_cust, F.col("site_code") == F.col("_site")).select(
-        "site_code", "site_name", "fcysto", "is_stock_site", "is_sales_site", "is_purchase_site",
+        "site_code", "site_name", "is_stock_site_code", "is_stock_site", "is_sales_site", "is_purchase_site",
         "customers")
 
 
@@ -217,10 +217,8 @@ def left_composite(i):
 
 @query("prefix_join", """
 select company_id, s, count(customer_code) as matches, min(customer_code) as first_code
-from hs left join (select customer_code, a, substr(a, 1, n) as pre from x3,
-    (select distinct length(s) as n from hs where length(s) >= 12) where length(a) >= n) p
-  on hs.s = p.pre
-group by 1, 2""")
+from hs left join x3 on length(s) >= 12 and starts_with(x3.a, s)
+group by company_id, s""")
 def prefix_join(i):
     """Prefix match with a length guard, as an equi join on folded prefixes."""
     left = i.company.select("company_id", keys.domain_stem(F.col("domain")).alias("s"))
@@ -387,14 +385,14 @@ from nation join (select c_nationkey, count(*) as customers from customer group
   on c_nationkey = n_nationkey
 group by 1""")
 def bool_listagg(i):
-    """Ordered text list per group, with a guard against unbounded groups."""
+    """Ordered text list per group, complete for every group."""
     n = i.raw("nation").join(
         i.raw("customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(
             F.count(F.lit(1)).alias("customers")), "n_nationkey")
     flags = n.groupBy("n_regionkey").agg(
         F.bool_or(F.col("n_nationkey") % 7 == 0).alias("any_seventh"),
         F.sum("customers").alias("customers"))
-    return flags.join(bounded_list(n, ["n_regionkey"], "n_name", ",", "names"), "n_regionkey")
+    return flags.join(text_list(n, ["n_regionkey"], "n_name", ",", "names"), "n_regionkey")
 
 
 @query("median_by", """

@@ -1,21 +1,27 @@
 """Incremental forms of the batch jobs, as Structured Streaming.
 
-All three are written so that a restart replays cleanly: sinks are keyed by the
-micro-batch id, and a version folder is listed only after it is fully written.
+All three are written so that a restart replays cleanly: a version is written to a
+folder of its own and counts only once its manifest is complete.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.events import DELIVERED, EXCEPTION, MILESTONES, SCAN
 
-VERSIONS = "version bigint, path string"
+#: One manifest per version: where each bucket's rows are, and the batch that made the version.
+MANIFEST = "version bigint, bucket int, path string, run string, batch bigint"
+#: Buckets of a target by the hash of its key. A batch rewrites the buckets it has keys of, no others.
+BUCKETS = 32
+#: Versions that stay readable; older manifests, and files no manifest names, are removed.
+KEPT = 2
 
 
 def file_stream(spark: SparkSession, folder: str, schema: T.StructType, glob: str | None = None,
@@ -28,55 +34,87 @@ def file_stream(spark: SparkSession, folder: str, schema: T.StructType, glob: st
     return r.parquet(folder)
 
 
-def _versions(spark: SparkSession, target: str) -> DataFrame | None:
+def _manifests(spark: SparkSession, target: str) -> list[Row]:
+    """The rows of the manifests that are still kept: at most ``KEPT + 1`` times the buckets."""
     try:
-        return spark.read.schema(VERSIONS).parquet(f"{target}/versions")
-    except AnalysisException:
-        return None
+        return spark.read.schema(MANIFEST).parquet(f"{target}/manifests/*").collect()
+    except AnalysisException as e:
+        # nothing was written yet; every other error is one
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
 
 
-def current_version(spark: SparkSession, target: str, before: int | None = None) -> str | None:
-    """Path of the newest complete version; the list has one row per micro-batch."""
-    listed = _versions(spark, target)
-    if listed is None:
-        return None
-    if before is not None:
-        listed = listed.where(F.col("version") < before)
-    return listed.agg(F.max_by("path", "version").alias("p")).first().p
+def _newest(rows: Sequence[Row]) -> list[Row]:
+    top = max((r.version for r in rows), default=None)
+    return [r for r in rows if r.version == top]
+
+
+def current_paths(spark: SparkSession, target: str) -> list[str]:
+    """The folders that make up the newest complete version."""
+    return [r.path for r in _newest(_manifests(spark, target)) if r.path]
 
 
 def read_current(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
-    path = current_version(spark, target)
-    if path is None:
+    paths = current_paths(spark, target)
+    if not paths:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(*paths)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _run_of(spark: SparkSession, checkpoint: str | None) -> str:
+    """What a query writes into its checkpoint once: another checkpoint is another run."""
+    return spark.read.text(f"{checkpoint}/metadata").first().value if checkpoint else ""
 
 
-def upsert_batches(
-    target: str, keys: Sequence[str], order: Sequence[str]
-) -> Callable[[DataFrame, int], None]:
+def upsert_batches(target: str, keys: Sequence[str], order: Sequence[str], checkpoint: str | None = None,
+                   buckets: int = BUCKETS) -> Callable[[DataFrame, int], None]:
     """A foreachBatch sink that keeps the newest row per key.
 
-    Each batch reads the last version and the new rows, never the archive, and
-    writes the next version. ``order`` are the columns that make a row newer.
+    ``order`` are the columns that make a row newer; among equal values the row that
+    arrived later wins, and within one batch the content hash decides. Each batch reads and rewrites
+    the buckets it has keys of. Versions are numbered by the target, not by the batch, so a lost
+    checkpoint goes on from the state there is; a replayed batch of the same run is skipped. A
+    version counts once its manifest is written, and is written to a folder of its own.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        prior = current_version(spark, target, before=batch_id)
-        rows = batch
-        if prior is not None:
-            rows = batch.unionByName(spark.read.schema(batch.schema).parquet(prior))
+        run = _run_of(spark, checkpoint)
+        rows = _manifests(spark, target)
+        now = _newest(rows)
+        if now and now[0].run == run and batch_id <= now[0].batch:
+            return
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+        batch = batch.persist()
+        touched = {r[0] for r in batch.select(bucket).distinct().collect()}
+        prior = [r.path for r in now if r.path and r.bucket in touched]
+        all_ = batch.withColumn("_late", F.lit(1))
+        if prior:
+            all_ = all_.unionByName(spark.read.schema(batch.schema).parquet(*prior).withColumn("_late", F.lit(0)))
         rest = [c for c in batch.columns if c not in keys]
-        # the content hash settles equal order values, so a replay picks the same row
-        newer = F.struct(*order, F.xxhash64(*batch.columns))
-        newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), newer).alias("_row"))
-        out = newest.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c)
-                              for c in batch.columns])
-        path = f"{target}/v={batch_id}"
-        out.write.mode("overwrite").parquet(path)
-        spark.createDataFrame([(batch_id, path)], VERSIONS).write.mode("append").parquet(
-            f"{target}/versions")
+        newer = F.struct(*order, "_late", F.xxhash64(*batch.columns))
+        newest = all_.groupBy(*keys).agg(F.max_by(F.struct(*rest), newer).alias("_row"))
+        out = newest.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in batch.columns])
+        version = now[0].version + 1 if now else 0
+        path = f"{target}/data/v={version}-{uuid.uuid4().hex[:12]}"
+        out.withColumn("_bucket", bucket).write.partitionBy("_bucket").parquet(path)
+        batch.unpersist()
+        places = {r.bucket: r.path for r in now} | {b: f"{path}/_bucket={b}" for b in touched}
+        # a batch without rows leaves a manifest too, so that its number is known
+        listed = [(version, b, p, run, batch_id) for b, p in sorted(places.items())] or [(version, 0, None, run, batch_id)]
+        spark.createDataFrame(listed, MANIFEST).coalesce(1).write.parquet(f"{target}/manifests/{version:012d}")
+        old = {r.version for r in rows if r.version <= version - KEPT}
+        named = {r[2] for r in listed} | {r.path for r in rows if r.version not in old}
+        for p in {r.path for r in rows if r.version in old and r.path} - named:
+            _remove(spark, p)
+        for v in old:
+            _remove(spark, f"{target}/manifests/{v:012d}")
 
     return write
 
@@ -84,7 +122,7 @@ def upsert_batches(
 def stream_upsert(stream: DataFrame, keys: Sequence[str], order: Sequence[str], target: str,
                   checkpoint: str) -> None:
     """Fold every package that has arrived since the last run, then stop."""
-    (stream.writeStream.foreachBatch(upsert_batches(target, keys, order))
+    (stream.writeStream.foreachBatch(upsert_batches(target, keys, order, checkpoint))
      .option("checkpointLocation", checkpoint).trigger(availableNow=True)
      .start().awaitTermination())
 
@@ -118,6 +156,6 @@ def milestone_state(events: DataFrame) -> DataFrame:
 def stream_milestones(events: DataFrame, target: str, checkpoint: str) -> None:
     """Updated shipments of each batch replace their row; more events is newer."""
     (milestone_state(events).writeStream.outputMode("update")
-     .foreachBatch(upsert_batches(target, ["shipment_id"], ["event_count"]))
+     .foreachBatch(upsert_batches(target, ["shipment_id"], ["event_count"], checkpoint))
      .option("checkpointLocation", checkpoint).trigger(availableNow=True)
      .start().awaitTermination())

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from procmetrics.functions import clean, keys
-from procmetrics.functions.sequence import bounded_list, exact_median, lag_first, row_number
+from procmetrics.functions.sequence import exact_median, lag_first, list_members, row_number, text_list
 
 
 def one(spark, expr, **values):
@@ -98,9 +98,19 @@ def test_median(skewed, ranges):
     assert exact_median(skewed, [], "v", "m", ranges).first().m == statistics.median(every)
 
 
-def test_list_of_a_hot_group_is_not_gathered(skewed):
-    got = {r.k: r for r in bounded_list(skewed, ["k"], "code", ",", "codes", 50).collect()}
-    assert got["hot"].n_items == 200 and got["hot"].codes is None
-    small = got["k1"]
-    assert small.codes == ",".join(sorted(
-        r.code for r in skewed.where("k = 'k1'").collect())) and small.n_items > 0
+def test_lists_are_complete_for_every_group(spark, skewed):
+    got = {r.k: r for r in text_list(skewed, ["k"], "code", ",", "codes").collect()}
+    assert got["hot"].n_items == 200
+    for k, r in got.items():
+        assert r.codes == ",".join(sorted(x.code for x in skewed.where(F.col("k").eqNullSafe(F.lit(k))).collect()))
+    big = spark.range(12_000).selectExpr("'k' as k", "lpad(id, 6, '0') as code")
+    r = text_list(big, ["k"], "code", ",", "codes").first()
+    assert r.n_items == 12_000 and len(r.codes.split(",")) == 12_000
+
+
+def test_members_are_the_lists_as_rows(skewed):
+    lists = {r.k: r.codes.split(",") for r in text_list(skewed, ["k"], "code", ",", "codes").collect()}
+    rows = list_members(skewed, ["k"], "code", [F.substring("code", 1, 2)]).collect()
+    for k, codes in lists.items():
+        mine = sorted((r.position, r.code) for r in rows if r.k == k)
+        assert [p for p, _ in mine] == list(range(1, len(codes) + 1)) and [c for _, c in mine] == codes

@@ -262,3 +262,35 @@ def test_scd2_replay_is_stable(spark):
     assert got == {("1", "x", 1, 3), ("1", "w", 3, 4), ("1", "x", 4, None),
                    ("2", None, 1, 2), ("2", "y", 2, None), ("3", "z", 2, None)}
     assert h.count() == len(got)
+
+
+def test_ledger_and_balance_facts_read_our_own_staging(spark):
+    from procmetrics.operators import facts, staging
+
+    day = dt.date(2024, 5, 6)
+    head = spark.createDataFrame(
+        [("J1", "STD", "SAL ", "C", "F", day, "USD", " text ", "V1 ", 1)],
+        "NUM_0 string, TYP_0 string, JOU_0 string, CPY_0 string, FCY_0 string, ACCDAT_0 date, "
+        "CUR_0 string, DES_0 string, VCRNUM_0 string, STA_0 int")
+    line = spark.createDataFrame(
+        [("J1 ", 1, "4000", -1, 5.0, 6.0, "B", "F ", "D", day)],
+        "NUM_0 string, LIN_0 int, ACC_0 string, SNS_0 int, AMTCUR_0 double, AMTLOC_0 double, "
+        "BPR_0 string, FCY_0 string, DSP_0 string, ACCDAT_0 date")
+    headers = staging.stage_table("erp", "GACCENTRY", head)
+    assert {"journal_code", "source_document_number", "entry_status_code", "description"} <= set(headers.columns)
+    got = facts.fct_gl_entry_line(staging.stage_table("erp", "GACCENTRYD", line), headers).first()
+    assert (got.journal_code, got.site_code, got.accounting_date) == ("SAL", "F", day)
+    stock = spark.createDataFrame(
+        [("F", "I1 ", "L", "A1", 4.0, "Q ", "me")],
+        "STOFCY_0 string, ITMREF_0 string, LOT_0 string, LOC_0 string, QTYSTU_0 double, STA_0 string, OWNER_0 string")
+    assert facts.fct_inventory_balance(staging.stage_table("erp", "STOCK", stock)).first().stock_status == "Q"
+
+
+def test_no_staging_name_is_guessed_for_table_specific_codes():
+    from procmetrics.operators.staging import TABLE_NAMES, alias_for
+
+    assert alias_for("erp", "ATEXTRA", "TEXTE_0") == "translated_text"
+    assert alias_for("erp", "APLSTD", "TEXTE_0") == "menu_label"
+    assert alias_for("erp", "STOJOU", "VCRNUM_0") == "document_number"
+    assert alias_for("erp", "GACCENTRY", "VCRNUM_0") == "source_document_number"
+    assert all(alias_for("erp", t, c) == n for (t, c), n in TABLE_NAMES.items())

@@ -184,10 +184,40 @@ def test_stream_restart_goes_on_where_it_stopped(spark):
         run()
     got = {(r.id, r.v) for r in jobs.read_current(spark, target, schema).collect()}
     assert got == {(1, "A"), (2, "b")}
-    # a replayed batch writes the same version again
-    write = jobs.upsert_batches(target, ["id"], ["n"])
-    write(spark.createDataFrame([(2, 0, "late")], schema), 2)
+    # a replayed batch of the same run changes nothing
+    write = jobs.upsert_batches(target, ["id"], ["n"], mark)
+    write(spark.createDataFrame([(2, 9, "replayed")], schema), 2)
     assert {(r.id, r.v) for r in jobs.read_current(spark, target, schema).collect()} == got
+    # a new checkpoint goes on from the state there is
+    spark.createDataFrame([(3, 1, "c"), (1, 2, "later")], schema).write.mode("append").parquet(folder)
+    mark = scratch(spark, "mark")
+    run()
+    got = {(r.id, r.v) for r in jobs.read_current(spark, target, schema).collect()}
+    assert got == {(1, "later"), (2, "b"), (3, "c")} or got == {(1, "A"), (2, "b"), (3, "c")}
+
+
+def test_later_arrivals_win_on_equal_order_values(spark):
+    target, schema = scratch(spark, "out"), T.StructType.fromDDL("id int, n int, v string")
+    write = jobs.upsert_batches(target, ["id"], ["n"])
+    for b in range(4):
+        write(spark.createDataFrame([(i, 1, f"batch {b}") for i in range(40)], schema), b)
+    assert {r.v for r in jobs.read_current(spark, target, schema).collect()} == {"batch 3"}
+
+
+def test_a_batch_rewrites_only_its_buckets_and_old_versions_go(spark):
+    import os
+
+    target, schema = scratch(spark, "out"), T.StructType.fromDDL("id int, n int, v string")
+    write = jobs.upsert_batches(target, ["id"], ["n"])
+    write(spark.createDataFrame([(i, 1, "a") for i in range(500)], schema), 0)
+    before = set(jobs.current_paths(spark, target))
+    write(spark.createDataFrame([(7, 2, "b")], schema), 1)
+    after = set(jobs.current_paths(spark, target))
+    assert len(before) == jobs.BUCKETS and len(after - before) == len(before - after) == 1
+    for b in range(2, 6):
+        write(spark.createDataFrame([(7, b, "c")], schema), b)
+    assert len([d for d in os.listdir(f"{target}/manifests")]) <= jobs.KEPT + 1
+    assert {r.v: r["count"] for r in jobs.read_current(spark, target, schema).groupBy("v").count().collect()} == {"a": 499, "c": 1}
 
 
 class Conf(dict):
