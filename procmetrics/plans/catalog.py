@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("queries_sql", "queries_jobs", "queries_metrics", "queries_quality", "queries_io")
+MODULES = ("queries_sql", "queries_staging", "queries_jobs", "queries_metrics", "queries_quality",
+           "queries_io")
 
 
 def load():

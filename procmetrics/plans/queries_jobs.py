@@ -7,8 +7,10 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..functions.clean import MONEY
+from ..functions.keys import suffix_list
 from ..operators import events, facts, fx, match, scd2
 from ..policy import Policy
+from ..sources.publish import load_seed
 from .inputs import tag, txt
 from .models import Models
 from .registry import query
@@ -23,6 +25,12 @@ def customer_xref(i):
     return match.customer_xref(i.company, i.bpcustomer)
 
 
+@query("customer_xref_seed", "select * from xref")
+def customer_xref_seed(i):
+    """The same with the legal forms of the packaged seed table."""
+    return match.customer_xref(i.company, i.bpcustomer, suffix_list(load_seed(i.spark, "legal_suffix")))
+
+
 @query("customer_best_match", """
 select crm_company_id, erp_customer_code, match_method, confidence, is_ambiguous
 from xref where is_selected""")

@@ -86,6 +86,38 @@ def dq_suite(i):
     ])
 
 
+@query("registry_blocked_logic", """
+select 'metric ' || p_partkey as metric_name, 'blocked' as status, 'model ' || p_size as sql_model
+from part where p_partkey % 3 = 0 and p_partkey % 4 <> 1 and p_partkey % 5 <> 0""")
+def registry_blocked_logic(i):
+    """Blocked metrics that carry logic, planted among parts read as a registry."""
+    k = F.col("p_partkey")
+    logic = F.when(k % 4 == 1, F.lit("")).when(k % 5 != 0, tag("model ", F.col("p_size")))
+    return quality.blocked_with_logic(i.raw("part").select(
+        tag("metric ", k).alias("metric_name"),
+        F.when(k % 3 == 0, "blocked").otherwise("live").alias("status"), logic.alias("sql_model")))
+
+
+@query("registry_unmapped", """
+select 'P' || (s_suppkey % 7) as process_code from supplier
+where s_suppkey % 7 not in (select n_nationkey from nation where n_nationkey % 2 = 0)""")
+def registry_unmapped(i):
+    """Slots of processes that do not exist."""
+    slots = i.raw("supplier").select(tag("P", F.col("s_suppkey") % 7).alias("process_code"))
+    known = i.raw("nation").where("n_nationkey % 2 = 0").select(
+        tag("P", F.col("n_nationkey")).alias("process_code"))
+    return quality.unmapped_processes(slots, known)
+
+
+@query("registry_crowded", """
+select 'P' || c_nationkey as process_code, count(*) as metric_count from customer
+where c_custkey % 9 = 0 group by c_nationkey having count(*) > 4""")
+def registry_crowded(i):
+    """Processes with more than four metrics."""
+    return quality.crowded_processes(i.raw("customer").where("c_custkey % 9 = 0").select(
+        tag("P", F.col("c_nationkey")).alias("process_code")))
+
+
 @query("colliding_names", """
 select upper(trim(customer_name)) as name_upper, count(*) as records,
   string_agg(customer_code, ', ' order by customer_code) as codes

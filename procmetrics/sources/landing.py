@@ -167,6 +167,9 @@ def late_window(mark: Column, lookback_days: int) -> Column:
 # ---------------------------------------------------------------- archive
 
 
+_LOAD_DATE = re.compile(r"/load_date=(\d{4}-\d\d-\d\d)/")
+
+
 def landing_path(root: str, spec: TableSpec) -> str:
     return f"{root}/{spec.source}/{spec.name}"
 
@@ -206,8 +209,19 @@ def scan_landing(
     return df if since is None else df.where(F.col("load_date") >= F.lit(since))
 
 
+def newest_folder(df: DataFrame) -> DataFrame:
+    """The rows in the newest ``load_date`` folder, told from the folders' names; all rows where there are none."""
+    dates = {m[1] for f in df.inputFiles() if (m := _LOAD_DATE.search(f))}
+    return df.where(F.col("load_date") == F.lit(dt.date.fromisoformat(max(dates)))) if dates else df
+
+
 def project_replace(df: DataFrame) -> DataFrame:
-    """Rows of the newest load only. The newest id is one row, so it is broadcast."""
+    """Rows of the newest load only.
+
+    The newest load is in the newest folder, so older packages are not opened. The
+    newest id in there is one row, so it is broadcast.
+    """
+    df = newest_folder(df)
     newest = df.agg(F.max("load_id").alias("_newest"))
     return df.join(F.broadcast(newest), F.col("load_id") == F.col("_newest")).drop(
         "_newest", *BOOKKEEPING

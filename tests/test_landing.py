@@ -173,6 +173,19 @@ def test_seeds_keep_their_types(spark):
     assert publish.load_seed(spark, "legal_suffix").where("note is not null").count() == 2
 
 
+def test_projection_opens_the_newest_folder_only(spark):
+    root, spec = scratch(spark, "archive"), catalog.table_spec("erp", "COMPANY")
+    for day in range(1, 9):
+        rows = spark.createDataFrame([(f"C{i}", day) for i in range(day)], "CPY_0 string, n int")
+        landing.land(rows, root, spec, f"L{day:03d}", dt.date(2024, 1, day))
+    df = landing.scan_landing(spark, root, spec)
+    got = landing.project_replace(df)
+    assert {(r.CPY_0, r.n) for r in got.collect()} == {(f"C{i}", 8) for i in range(8)}
+    assert landing.newest_folder(df).rdd.getNumPartitions() <= 8
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("load_date") and "2024-01-08" in plan
+
+
 def test_stream_restart_goes_on_where_it_stopped(spark):
     folder, target, mark = (scratch(spark, n) for n in ("in", "out", "mark"))
     schema = T.StructType.fromDDL("id int, n int, v string")

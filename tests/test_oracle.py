@@ -22,7 +22,9 @@ return_line fx_lookup milestones_split shipment_order three_way_match dim_custom
 dim_item fct_shipment fct_shipment_event fct_sales_order_line fct_invoice_line fct_count_line scd2
 scd2_composite mtr_on_time mtr_cost_per_order mtr_return_rate ask_period ask_not_additive mart_i2d
 dq_suite dim_relationships parity lossless profile_dso profile_links project_merge project_replace
-file_drop reconcile_keys export stream_upsert stream_milestones
+file_drop reconcile_keys export stream_upsert stream_milestones stg_erp_sreturn stg_erp_facility
+stg_crm_deal stg_payroll_employee stg_planning_item_location stg_freight_shipment
+registry_blocked_logic registry_unmapped registry_crowded customer_xref_seed prefix_join
 """.split()
 
 
@@ -42,4 +44,5 @@ def test_entry(spark):
 
     rows = e.entry(spark).collect()
     assert rows and set(rows[0].asDict()) == {"site_site_name", "numerator", "denominator", "value"}
-    assert set(e.queries()) == set(e.oracle_sql())
+    # optional parts of the library may register queries that SQL cannot state
+    assert set(QUERIES) <= set(e.oracle_sql()) <= set(e.queries())
