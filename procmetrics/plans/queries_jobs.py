@@ -406,12 +406,12 @@ SCD_COLS = ["primary_rep_code", "secondary_rep_code", "payment_term_code", "cred
 @query("scd2", """
 with v1 as (select customer_code as c, primary_rep_code as r, payment_term_code as p,
               credit_limit_amount as l, customer_group_code as g from bpcustomer
-            where cast(customer_code as bigint) % 13 <> 0),
+            where cast(split_part(customer_code, '-', 1) as bigint) % 13 <> 0),
 v2 as (select customer_code as c,
-         case when cast(customer_code as bigint) % 7 = 0 then '99' else primary_rep_code end as r,
-         payment_term_code as p, case when cast(customer_code as bigint) % 11 = 0 then null
+         case when cast(split_part(customer_code, '-', 1) as bigint) % 7 = 0 then '99' else primary_rep_code end as r,
+         payment_term_code as p, case when cast(split_part(customer_code, '-', 1) as bigint) % 11 = 0 then null
            else credit_limit_amount end as l, customer_group_code as g from bpcustomer
-       where cast(customer_code as bigint) % 17 <> 0)
+       where cast(split_part(customer_code, '-', 1) as bigint) % 17 <> 0)
 select v1.c as customer_code, v1.r as primary_rep_code, v1.l as credit_limit_amount,
   date '2024-01-01' as valid_from, case when v2.c is not null and (v1.r is distinct from v2.r
     or v1.l is distinct from v2.l) then date '2024-02-01' end as valid_to
@@ -421,7 +421,7 @@ select v2.c, v2.r, v2.l, date '2024-02-01', null from v2 left join v1 on v1.c =
 where v1.c is null or v1.r is distinct from v2.r or v1.l is distinct from v2.l""")
 def scd2_customers(i):
     """Two looks at the customers: new, changed, unchanged and vanished keys."""
-    n = F.col("customer_code").cast("bigint")
+    n = F.split_part("customer_code", F.lit("-"), F.lit(1)).cast("bigint")
     cols = ["customer_code", *SCD_COLS]
     first = i.bpcustomer.select(*cols).where(n % 13 != 0)
     second = i.bpcustomer.select(*cols).where(n % 17 != 0).withColumns({
