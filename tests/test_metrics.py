@@ -22,7 +22,7 @@ def fact(spark):
 SHIPPED = marts.shipped_metrics()
 
 
-def test_the_shipped_definitions_are_sound():
+def test_the_shipped_definitions_are_sound(spark):
     assert len(SHIPPED) == 10
     for m in SHIPPED.values():
         metrics.check(m)
