@@ -39,14 +39,22 @@ def counts(text):
 
 
 def common(a, b):
-    """Length of the longest common subsequence, by the textbook table."""
+    """Length of the longest common subsequence, by the textbook table between equal ends."""
+    n, ends = min(len(a), len(b)), 0
+    while ends < n and a[ends] == b[ends]:
+        ends += 1
+    a, b = a[ends:], b[ends:]
+    tail = 0
+    while tail < min(len(a), len(b)) and a[-1 - tail] == b[-1 - tail]:
+        tail += 1
+    a, b, ends = a[:len(a) - tail], b[:len(b) - tail], ends + tail
     row = [0] * (len(b) + 1)
     for x in a:
         new = [0]
         for j, y in enumerate(b):
             new.append(row[j] + 1 if x == y else max(new[-1], row[j + 1]))
         row = new
-    return row[-1]
+    return ends + row[-1]
 
 
 def shingles(text):
