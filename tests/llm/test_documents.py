@@ -56,6 +56,15 @@ def test_fuzzy_lines_of_a_table(small):
     assert dict(rows_of(lines.dedup_digests(small), "doc_id", "kept_sha256")) == want
 
 
+def test_short_lines_and_lines_of_few_tokens_meet(spark):
+    base = ["subscribe_to_our_newsletter_for_more", "https://example.com/a/rather/long/path/to/some/page.html", "Zeile eins, kurz und gut gesagt"]
+    rows = [(i, t, t[1:] + "s") for i, t in enumerate(base)]
+    rows = [(2 * i + k, t) for i, *pair in rows for k, t in enumerate(pair)]
+    got = dict(rows_of(lines.dedup_digests(spark.createDataFrame(rows, "doc_id long, text string")), "doc_id", "n_removed"))
+    assert got == {i: int(not t) for i, t in brute.line_cuts(rows)}
+    assert sum(got.values()) == 3
+
+
 def test_line_dedup_returns_documents(hard):
     kept = lines.dedup(hard)
     out = {r.doc_id: r for r in kept.collect()}
