@@ -65,6 +65,12 @@ def test_short_lines_and_lines_of_few_tokens_meet(spark):
     assert sum(got.values()) == 3
 
 
+def test_repetitive_lines_of_different_lengths_are_one(spark):
+    rows = [(0, "-" * 20), (1, "-" * 60), (2, "-----"), (3, "one phrase again, " * 3), (4, "one phrase again, " * 12)]
+    got = dict(rows_of(lines.dedup_digests(spark.createDataFrame(rows, "doc_id long, text string")), "doc_id", "n_removed"))
+    assert got == {i: int(not t) for i, t in brute.line_cuts(rows)} == {0: 0, 1: 1, 2: 1, 3: 0, 4: 1}
+
+
 def test_line_dedup_returns_documents(hard):
     kept = lines.dedup(hard)
     out = {r.doc_id: r for r in kept.collect()}
