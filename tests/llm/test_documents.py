@@ -43,6 +43,35 @@ def test_alignment_equals_the_table():
         assert neardup.similarity(a, b) == (pytest.approx(s) if s >= 0.8 else 0.0)
 
 
+def test_appended_text_with_an_unlucky_bit_pattern_is_near(spark):
+    import numpy as np
+
+    hashed, rolling = neardup.Words(), neardup.Rolling()
+
+    def share(words):
+        one, two = (neardup.pattern(neardup.labelled(neardup.shingles_of([x.encode() for x in w], hashed, rolling))) for w in (words[:404], words))
+        count = lambda f: sum(int(np.bitwise_count(np.uint64(f(x, y) & (2**64 - 1)))) for x, y in zip(one, two, strict=True))
+        return count(lambda x, y: x & y) / count(lambda x, y: x | y)
+
+    texts = ([f"s{seed}w{i}" for i in range(500)] for seed in range(20_000))
+    unlucky = next(w for w in texts if share(w) < 0.5)
+    docs = spark.createDataFrame([(0, " ".join(unlucky[:404])), (1, " ".join(unlucky))], "doc_id long, text string")
+    assert dict(rows_of(neardup.classes(docs), "doc_id", "class_id")) == brute.near_classes(rows_of(docs)) == {0: 0, 1: 0}
+
+
+def test_the_prefix_filter_keeps_sets_that_hold_each_other(spark):
+    from pyspark.sql import functions as F
+
+    from procmetrics.llm.linking import _rarest_in_common
+
+    # 60 pairs of 800 tokens and the same with 200 more: similarity 0.8
+    rows = spark.range(60 * 1000).selectExpr("id div 1000 as p", "id % 1000 as i", "id as token")
+    tokens = rows.selectExpr("2 * p as node", "token").unionByName(rows.where("i < 800").selectExpr("2 * p + 1 as node", "token"))
+    nodes = spark.range(120).selectExpr("id as node", "id as root", "struct(id) as about")
+    pairs = _rarest_in_common(tokens, nodes, lambda x, y: F.lit(True), 0.8)
+    assert sorted(tuple(r) for r in pairs.collect()) == [(2 * p + 1, 2 * p) for p in range(60)]
+
+
 @pytest.mark.parametrize("name", ["hard", "odd", "small"])
 def test_repeated_phrases(request, name):
     docs = request.getfixturevalue(name)
