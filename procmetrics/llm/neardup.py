@@ -98,14 +98,14 @@ def _near(x: Column, y: Column) -> Column:
     return (F.least(x["n"], y["n"]) >= SIMILARITY * F.greatest(x["n"], y["n"])) & (common >= BITS * some)
 
 
-SKETCH = "doc_id long, text_key long, n long, b1 long, b2 long, keys array<long>"
+SKETCH = "doc_id long, text_hash long, text_key long, n long, b1 long, b2 long, keys array<long>"
 
 
 def _sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashed, rolling = Words(), Rolling()
     for b in batches:
         text, size, bits, keys = [], [], [], []
-        for t in b.column(1):
+        for t in b.column("text"):
             w = split_words(t.as_py())
             s = shingles_of(w, hashed, rolling)
             text.append(text_key(hashlib.sha256(b" ".join(w)).digest()) if w else None)
@@ -116,9 +116,9 @@ def _sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  if low <= len(s) and (high is None or len(s) <= high)]
             keys.append(np.concatenate(k).view(np.int64).tolist() if k else [])
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array(text, pa.int64()), pa.array(size, pa.int64()),
+            [b.column("doc_id"), b.column("text_hash"), pa.array(text, pa.int64()), pa.array(size, pa.int64()),
              pa.array([x for x, _ in bits], pa.int64()), pa.array([x for _, x in bits], pa.int64()),
-             pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "text_key", "n", "b1", "b2", "keys"])
+             pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "text_hash", "text_key", "n", "b1", "b2", "keys"])
 
 
 def common_length(a: list, b: list, band: int) -> int:
@@ -214,20 +214,26 @@ def classes(docs: DataFrame) -> DataFrame:
     """
     d = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"),
                                                 F.coalesce("text", F.lit("")).alias("text"))
-    sketch = store(d.mapInArrow(_sketch, SKETCH), "near-sketch")
+    d = d.withColumn("text_hash", F.xxhash64("text"))
+    sketch = store(d.select("doc_id", "text", "text_hash").mapInArrow(_sketch, SKETCH), "near-sketch")
     worded = sketch.where("text_key is not null")
-    first = worded.groupBy("text_key").agg(F.min("doc_id").alias("node"))
+    # what is compared are texts; the first row of each stands for it
+    first = store(worded.groupBy("text_key").agg(F.min(F.struct("doc_id", "text_hash")).alias("f"))
+                  .select("text_key", F.col("f.doc_id").alias("node"), F.col("f.text_hash").alias("node_hash")), "first-texts")
+    # also joins the texts of rows that repeat an id
     same = worded.select("doc_id", "text_key").join(first, "text_key").select(
         F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    own = worded.join(first, "text_key").where("doc_id = node")
-    rows = own.select(F.explode("keys").alias("k"), "node", F.struct("n", "b1", "b2").alias("about"))
+    own = worded.join(first, "text_key").where("doc_id = node and text_hash = node_hash")
+    rows = own.select(F.explode("keys").alias("k"), F.col("text_key").alias("node"), F.struct("n", "b1", "b2").alias("about"))
     buckets = shared_buckets(rows)
-    # of rows that repeat an id, all texts; the others' texts are not moved
-    nodes = store(buckets.select("node").distinct(), "nodes")
-    texts = store(d.join(small(nodes), d["doc_id"] == nodes["node"]).select("node", "text").distinct(), "near-texts")
+    nodes = first.join(buckets.select(F.col("node").alias("text_key")).distinct(), "text_key", "left_semi")
+    nodes = store(nodes.select("text_key", F.col("node").alias("doc_id"), F.col("node_hash").alias("text_hash")), "nodes")
+    texts = store(d.join(small(nodes), ["doc_id", "text_hash"]).select(F.col("text_key").alias("node"), "text").distinct(), "near-texts")
     found = link(buckets, _near, lambda pairs: _verified(pairs, texts),
                  lambda some: texts.join(some.select("node"), "node", "left_semi").mapInArrow(
                      _tokens, "node long, token long").distinct(), SIMILARITY)
+    ids = lambda end: first.select(F.col("text_key").alias(end), F.col("node").alias(f"id_{end}"))
+    found = found.join(ids("a"), "a").join(ids("b"), "b").select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
     root = components(found.unionByName(same))
     return (d.select("doc_id").distinct().join(root, F.col("doc_id") == F.col("node"), "left")
             .select("doc_id", F.coalesce("root", "doc_id").alias("class_id")))

@@ -59,6 +59,14 @@ def test_appended_text_with_an_unlucky_bit_pattern_is_near(spark):
     assert dict(rows_of(neardup.classes(docs), "doc_id", "class_id")) == brute.near_classes(rows_of(docs)) == {0: 0, 1: 0}
 
 
+def test_every_text_of_a_repeated_id_is_compared(spark):
+    texts = [[f"t{i}w{j}" for j in range(200)] for i in range(6)]
+    # every text of id 0 has a near copy of its own, and copies come before and after it
+    rows = [(0, " ".join(t)) for t in texts] + [(i + 1, " ".join([*t, "end"])) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert dict(rows_of(neardup.classes(docs), "doc_id", "class_id")) == dict.fromkeys(range(7), 0)
+
+
 def test_the_prefix_filter_keeps_sets_that_hold_each_other(spark):
     from pyspark.sql import functions as F
 
