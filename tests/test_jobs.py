@@ -218,7 +218,7 @@ def test_fx_falls_back_to_the_currency_then_to_one(spark):
 
 
 def test_needed_columns_leave_out_whole_sides(spark):
-    from conftest import SMALL
+    from small import SMALL
     from procmetrics.plans.inputs import Inputs
     from procmetrics.plans.models import Models
     m = Models(Inputs(spark, SMALL))

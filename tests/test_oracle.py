@@ -6,8 +6,8 @@ A part of them by default; PROCMETRICS_ALL=1 runs every one.
 import os
 
 import pytest
-from conftest import SMALL
 from oracle import compare
+from small import SMALL
 
 from procmetrics.plans.catalog import load
 
