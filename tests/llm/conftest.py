@@ -1,11 +1,7 @@
-import os
 import random
-import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, _row string, kept string, node long, n long"
 
 
