@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import balltree, chat, lines, mixing, neardup, phrases, pieces, quality, sharding, toxicity
+from . import balltree, chat, lines, mixing, neardup, periodic, phrases, pieces, quality, sharding, toxicity, whitening, wordbpe
 from .common import documents
 
 
@@ -52,6 +52,21 @@ def op10_chat_grammar(spark: SparkSession, root: str) -> DataFrame:
     return chat.read_back(chat.format_turns(chat.with_hostile(table(spark, root, "conversations"))))
 
 
+def op11_baier_runs(spark: SparkSession, root: str) -> DataFrame:
+    return periodic.digests(periodic.collapse(periodic.with_repeats(documents(spark, root))))
+
+
+def op12_word_bpe(spark: SparkSession, root: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = documents(spark, root).select("doc_id", "text")
+    return wordbpe.digests(wordbpe.encode(docs, public_tokenizers.path("word_bpe_49k.json")))
+
+
+def op13_jacobi_davidson(spark: SparkSession, root: str) -> DataFrame:
+    return whitening.whiten(table(spark, root, "embeddings"))
+
+
 def model_path() -> str:
     import public_tokenizers
 
@@ -61,7 +76,8 @@ def model_path() -> str:
 QUERIES = {f.__name__: f for f in (
     op1_host_quality, op2_order_minhash, op3_kneser_ney_toxicity, op4_phrase_automata,
     op5_fuzzy_lines, op6_piece_encoding, op7_ball_tree,
-    op8_rendezvous_shards, op9_poisson_mix, op10_chat_grammar)}
+    op8_rendezvous_shards, op9_poisson_mix, op10_chat_grammar,
+    op11_baier_runs, op12_word_bpe, op13_jacobi_davidson)}
 ORACLES = {
     "op7_ball_tree": balltree.ORACLE,
     "op1_host_quality": quality.ORACLE,
