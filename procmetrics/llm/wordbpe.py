@@ -28,6 +28,8 @@ CHUNK = 1 << 21
 
 # how ASCII words are cut, case already lowered; all other chunks are cut by the library's own rules
 _ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9\s]+", re.ASCII)
+# letters that the library keeps as one word and lowers one by one; all are in composed form
+_LETTERS = re.compile("[a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
 # white space but for what Python counts as such and Unicode does not
 _SPACE, _NO_SPACE = re.compile(r"[^\S\x1c-\x1f]+"), re.compile(r"[\x1c-\x1f]")
 _NO_RANK = np.iinfo(np.int64).max
@@ -77,7 +79,9 @@ class WordBpe:
         keys = left * self.size + right
         order = np.argsort(keys, kind="stable")
         self.keys, self.ranks, self.made = keys[order], rank[order], made[order]
-        self.cache: dict[str, tuple[bytes, bytes]] = {}
+        #: Packed ids and decoded text of chunks.
+        self.ids: dict[str, bytes] = {}
+        self.text: dict[str, bytes] = {}
 
     def merged(self, symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The symbols of words of ``sizes`` symbols each, fully merged: (symbols, sizes)."""
@@ -126,11 +130,17 @@ class WordBpe:
                 out += [bytes(self.byte[c] for c in w) for w, _ in self.cut(self.normalize(part))]
         return out
 
-    def learn(self, chunks: Iterable[str]) -> dict[str, tuple[bytes, bytes]]:
+    def learn(self, chunks: Iterable[str]) -> tuple[dict[str, bytes], dict[str, bytes]]:
         """Packed ids and decoded text of each of the chunks."""
-        cut = {c: self.words_of(c) for c in chunks}
-        words = list({w: None for ws in cut.values() for w in ws if not isinstance(w, int)})
-        ids: dict[bytes | int, tuple[bytes, bytes]] = {}
+        whole, cut = {}, {}
+        for c in chunks:
+            if _LETTERS.fullmatch(c):
+                whole[c] = c.lower().encode()
+            else:
+                cut[c] = self.words_of(c)
+        words = list({*whole.values(), *(w for ws in cut.values() for w in ws if not isinstance(w, int))})
+        ids: dict[bytes | int, bytes] = {i: i.to_bytes(4, "little") for i in self.special.values()}
+        text: dict[bytes | int, bytes] = {i: self.tokens[i] for i in self.special.values()}
         if words:
             sizes = np.array([len(w) for w in words], np.int64)
             raw = np.frombuffer(b"".join(words), np.uint8)
@@ -138,35 +148,34 @@ class WordBpe:
             ends = np.cumsum(sizes)
             symbols[ends - 1] = self.last[raw[ends - 1]]
             symbols, sizes = self.merged(symbols, sizes)
-            packed, tokens = symbols.astype("<u4").tobytes(), [self.tokens[i] for i in symbols]
-            lo = 0
-            for w, n in zip(words, sizes.tolist(), strict=True):
-                ids[w] = packed[4 * lo:4 * (lo + n)], b" ".join(tokens[lo:lo + n])
-                lo += n
-        for i in self.special.values():
-            ids[i] = i.to_bytes(4, "little"), self.tokens[i]
-        return {c: (b"".join([ids[w][0] for w in ws]), b" ".join([ids[w][1] for w in ws])) for c, ws in cut.items()}
+            packed, tokens = symbols.astype("<u4").tobytes(), [self.tokens[i] for i in symbols.tolist()]
+            hi = np.cumsum(sizes)
+            for w, a, b in zip(words, (hi - sizes).tolist(), hi.tolist(), strict=True):
+                ids[w], text[w] = packed[4 * a:4 * b], b" ".join(tokens[a:b])
+        out_ids, out_text = {c: ids[w] for c, w in whole.items()}, {c: text[w] for c, w in whole.items()}
+        for c, ws in cut.items():
+            out_ids[c], out_text[c] = b"".join([ids[w] for w in ws]), b" ".join([text[w] for w in ws])
+        return out_ids, out_text
 
     def encode_batch(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """Packed ids and decoded text of each text."""
         chunks = [[c for c in _SPACE.split(t) if c] if _NO_SPACE.search(t) else t.split() for t in texts]
-        cache = self.cache
-        fresh = {c for cs in chunks for c in cs}.difference(cache)
-        known = cache
+        fresh = set().union(*chunks).difference(self.ids)
+        ids, text = self.ids, self.text
         if fresh:
-            learnt = self.learn(fresh)
-            if len(cache) + len(learnt) > CACHED:
-                known = cache | learnt
-                self.cache = {c: v for c, v in learnt.items() if len(c) <= CACHED_CHARS} if len(learnt) <= CACHED else {}
+            new_ids, new_text = self.learn(fresh)
+            if len(ids) + len(fresh) > CACHED:
+                # what is kept starts anew with the chunks of this batch
+                ids, text = ids | new_ids, text | new_text
+                short = [c for c in fresh if len(c) <= CACHED_CHARS] if len(fresh) <= CACHED else []
+                self.ids, self.text = {c: new_ids[c] for c in short}, {c: new_text[c] for c in short}
             else:
-                cache.update(learnt)
-        out = []
-        for cs in chunks:
-            both = [known[c] for c in cs]
-            out.append((b"".join([b[0] for b in both]), b" ".join([b[1] for b in both if b[1]])))
-        if known is cache:
+                ids.update(new_ids)
+                text.update(new_text)
+        out = [(b"".join(map(ids.__getitem__, cs)), b" ".join(filter(None, map(text.__getitem__, cs)))) for cs in chunks]
+        if ids is self.ids:
             for c in [c for c in fresh if len(c) > CACHED_CHARS]:
-                del cache[c]
+                del ids[c], text[c]
         return out
 
     def decode(self, packed: bytes) -> str:
