@@ -1,27 +1,27 @@
 """Incremental forms of the batch jobs, as Structured Streaming.
 
-All three are written so that a restart replays cleanly: a version is written to a
-folder of its own and counts only once its manifest is complete.
+All of them are written so that a restart replays cleanly: a batch folds into the same
+target rows however often it runs, and what it replaces is staged in full before the swap.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.events import DELIVERED, EXCEPTION, MILESTONES, SCAN
 
-#: One manifest per version: where each bucket's rows are, and the batch that made the version.
-MANIFEST = "version bigint, bucket int, path string, run string, batch bigint"
-#: Buckets of a target by the hash of its key. A batch rewrites the buckets it has keys of, no others.
+#: Buckets of a target by the hash of its key, a partition column. A batch rewrites the buckets it has keys of, no others.
 BUCKETS = 32
-#: Versions that stay readable; older manifests, and files no manifest names, are removed.
-KEPT = 2
+#: What the sink adds to a row: the run and the batch that wrote its bucket last.
+STAMP = "_run string, _batch bigint, _bucket int"
+#: Sequence numbers of a shipment whose events are kept together as one state.
+CHUNK = 10_000
 
 
 def file_stream(spark: SparkSession, folder: str, schema: T.StructType, glob: str | None = None,
@@ -34,37 +34,27 @@ def file_stream(spark: SparkSession, folder: str, schema: T.StructType, glob: st
     return r.parquet(folder)
 
 
-def _manifests(spark: SparkSession, target: str) -> list[Row]:
-    """The rows of the manifests that are still kept: at most ``KEPT + 1`` times the buckets."""
+def _is_there(spark: SparkSession, path: str) -> bool:
     try:
-        return spark.read.schema(MANIFEST).parquet(f"{target}/manifests/*").collect()
+        spark.read.schema("value string").text(path)
     except AnalysisException as e:
         # nothing was written yet; every other error is one
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return []
+        return False
+    return True
 
 
-def _newest(rows: Sequence[Row]) -> list[Row]:
-    top = max((r.version for r in rows), default=None)
-    return [r for r in rows if r.version == top]
-
-
-def current_paths(spark: SparkSession, target: str) -> list[str]:
-    """The folders that make up the newest complete version."""
-    return [r.path for r in _newest(_manifests(spark, target)) if r.path]
+def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    stamps = T.StructType.fromDDL(STAMP)
+    return spark.read.schema(T.StructType([*schema.fields, *stamps.fields])).parquet(path)
 
 
 def read_current(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
-    paths = current_paths(spark, target)
-    if not paths:
+    """The newest row per key. To be read between batches: a swap replaces one bucket after the other."""
+    if not _is_there(spark, target):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*paths)
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return _stored(spark, target, schema).select(*schema.names)
 
 
 def _run_of(spark: SparkSession, checkpoint: str | None) -> str:
@@ -77,44 +67,44 @@ def upsert_batches(target: str, keys: Sequence[str], order: Sequence[str], check
     """A foreachBatch sink that keeps the newest row per key.
 
     ``order`` are the columns that make a row newer; among equal values the row that
-    arrived later wins, and within one batch the content hash decides. Each batch reads and rewrites
-    the buckets it has keys of. Versions are numbered by the target, not by the batch, so a lost
-    checkpoint goes on from the state there is; a replayed batch of the same run is skipped. A
-    version counts once its manifest is written, and is written to a folder of its own.
+    arrived later wins, and within one batch the content hash decides. Each batch folds into
+    the buckets it has keys of; their new content is written to a staging folder first and then put in
+    their place by a dynamic partition overwrite. A batch that is run again after a loss in the middle of the swap
+    is swapped from the staging folder, which is then complete and stamped with this run and batch; lost
+    before that, the target is untouched and the batch is folded anew. Folding a batch twice changes nothing, so a
+    lost checkpoint goes on from the state there is.
     """
+    staging = f"{target}-staging"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        spark, schema = batch.sparkSession, batch.schema
         run = _run_of(spark, checkpoint)
-        rows = _manifests(spark, target)
-        now = _newest(rows)
-        if now and now[0].run == run and batch_id <= now[0].batch:
-            return
-        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-        batch = batch.persist()
-        touched = {r[0] for r in batch.select(bucket).distinct().collect()}
-        prior = [r.path for r in now if r.path and r.bucket in touched]
-        all_ = batch.withColumn("_late", F.lit(1))
-        if prior:
-            all_ = all_.unionByName(spark.read.schema(batch.schema).parquet(*prior).withColumn("_late", F.lit(0)))
-        rest = [c for c in batch.columns if c not in keys]
-        newer = F.struct(*order, "_late", F.xxhash64(*batch.columns))
-        newest = all_.groupBy(*keys).agg(F.max_by(F.struct(*rest), newer).alias("_row"))
-        out = newest.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in batch.columns])
-        version = now[0].version + 1 if now else 0
-        path = f"{target}/data/v={version}-{uuid.uuid4().hex[:12]}"
-        out.withColumn("_bucket", bucket).write.partitionBy("_bucket").parquet(path)
-        batch.unpersist()
-        places = {r.bucket: r.path for r in now} | {b: f"{path}/_bucket={b}" for b in touched}
-        # a batch without rows leaves a manifest too, so that its number is known
-        listed = [(version, b, p, run, batch_id) for b, p in sorted(places.items())] or [(version, 0, None, run, batch_id)]
-        spark.createDataFrame(listed, MANIFEST).coalesce(1).write.parquet(f"{target}/manifests/{version:012d}")
-        old = {r.version for r in rows if r.version <= version - KEPT}
-        named = {r[2] for r in listed} | {r.path for r in rows if r.version not in old}
-        for p in {r.path for r in rows if r.version in old and r.path} - named:
-            _remove(spark, p)
-        for v in old:
-            _remove(spark, f"{target}/manifests/{v:012d}")
+        staged = None
+        if _is_there(spark, f"{staging}/_SUCCESS"):
+            stamp = _stored(spark, staging, schema).select("_run", "_batch").first()
+            staged = stamp and (stamp._run, stamp._batch)
+        if staged != (run, batch_id):
+            bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+            batch = batch.withColumn("_bucket", bucket).persist()
+            # at most as many numbers as there are buckets
+            touched = [r[0] for r in batch.select("_bucket").distinct().collect()]
+            if not touched:
+                batch.unpersist()
+                return
+            every = batch.withColumn("_late", F.lit(1))
+            if _is_there(spark, target):
+                prior = _stored(spark, target, schema).where(F.col("_bucket").isin(touched))
+                every = every.unionByName(prior.drop("_run", "_batch").withColumn("_late", F.lit(0)))
+            rest = [c for c in schema.names if c not in keys]
+            newer = F.struct(*order, "_late", F.xxhash64(*schema.names))
+            newest = every.groupBy(*keys, "_bucket").agg(F.max_by(F.struct(*rest), newer).alias("_row"))
+            newest.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in schema.names],
+                          F.lit(run).alias("_run"), F.lit(batch_id).cast("bigint").alias("_batch"), "_bucket",
+                          ).write.mode("overwrite").parquet(staging)
+            batch.unpersist()
+        # large buckets are split over tasks, small ones share one
+        (_stored(spark, staging, schema).hint("rebalance", F.col("_bucket")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(target))
 
     return write
 
@@ -136,26 +126,61 @@ def stream_dedup(stream: DataFrame, keys: Sequence[str], time_col: str, lookback
      .start().awaitTermination())
 
 
-def milestone_state(events: DataFrame) -> DataFrame:
-    """Milestones as a fold that Spark can keep as streaming state.
+def _chunk(seq: Column) -> Column:
+    return F.floor(seq / F.lit(CHUNK))
+
 
-    The out-of-sequence count needs each event's neighbours and stays with the
-    batch job.
+def milestone_state(events: DataFrame, chunk: Callable[[Column], Column] = _chunk) -> DataFrame:
+    """Milestones of each stretch of a shipment's sequence, as a fold that Spark can keep as streaming state.
+
+    A state holds the (sequence, time) of its stretch's events in order, wherever they arrived, so an event that
+    comes late moves in between its neighbours and the out-of-sequence count follows. ``chunk`` numbers the
+    stretches by the sequence, which bounds a state and spreads a shipment with very many events. The times at both
+    ends of the stretch are what ``shipment_milestones`` needs to compare it with the stretches beside it.
     """
     code, seq = F.col("event_code"), F.col("event_sequence")
-    return events.groupBy("shipment_id").agg(
+    folded = events.groupBy("shipment_id", chunk(seq).cast("bigint").alias("chunk")).agg(
         *[F.min_by("event_at", F.when((code == c) & F.col("event_at").isNotNull(), seq)).alias(name)
           for c, name in MILESTONES.items()],
         F.count_if(code == SCAN).alias("in_transit_scan_count"),
         F.count(F.lit(1)).alias("event_count"),
         F.bool_or(code == EXCEPTION).alias("had_exception"),
         F.bool_or(code == DELIVERED).alias("is_delivered"),
+        F.collect_list(F.struct(seq.alias("seq"), F.col("event_at").alias("at"))).alias("_line"),
     )
-
-
-def stream_milestones(events: DataFrame, target: str, checkpoint: str) -> None:
-    """Updated shipments of each batch replace their row; more events is newer."""
-    (milestone_state(events).writeStream.outputMode("update")
-     .foreachBatch(upsert_batches(target, ["shipment_id"], ["event_count"], checkpoint))
+    line = F.transform(F.sort_array("_line"), lambda e: e["at"])
+    rest = folded.columns[:-1]
+    folded = folded.select(*rest, line.alias("_line"))
+    late = F.zip_with(F.slice("_line", F.lit(2), F.size("_line")), F.slice("_line", F.lit(1), F.size("_line") - 1),
+                      lambda at, before: F.when(at < before, 1).otherwise(0))
+    return folded.select(
+        *rest, F.aggregate(late, F.lit(0).cast("bigint"), lambda n, x: n + x).alias("out_of_sequence_event_count"),
+        F.get("_line", F.lit(0)).alias("first_at"), F.get("_line", F.size("_line") - 1).alias("last_at"))
+
+
+def shipment_milestones(stretches: DataFrame) -> DataFrame:
+    """One row per shipment from the rows of ``milestone_state``: stretches are compared at their ends and folded."""
+    along = W.partitionBy("shipment_id").orderBy(F.col("chunk").asc_nulls_last())
+    s = stretches.withColumn("_before", F.lag("last_at").over(along))
+    return s.groupBy("shipment_id").agg(
+        *[F.min_by(name, F.when(F.col(name).isNotNull(), F.col("chunk"))).alias(name) for name in MILESTONES.values()],
+        *[F.sum(c).alias(c) for c in ("in_transit_scan_count", "event_count")],
+        *[F.bool_or(c).alias(c) for c in ("had_exception", "is_delivered")],
+        (F.sum("out_of_sequence_event_count") + F.count_if(F.col("first_at") < F.col("_before"))
+         ).alias("out_of_sequence_event_count"),
+    ).withColumn("has_out_of_sequence_events", F.col("out_of_sequence_event_count") > 0)
+
+
+def stream_milestones(events: DataFrame, target: str, checkpoint: str,
+                      chunk: Callable[[Column], Column] = _chunk) -> None:
+    """Updated stretches of each batch replace their row; more events is newer."""
+    (milestone_state(events, chunk).writeStream.outputMode("update")
+     .foreachBatch(upsert_batches(target, ["shipment_id", "chunk"], ["event_count"], checkpoint))
      .option("checkpointLocation", checkpoint).trigger(availableNow=True)
      .start().awaitTermination())
+
+
+def read_milestones(spark: SparkSession, target: str, events: T.StructType) -> DataFrame:
+    """The milestones a stream over ``events`` keeps in ``target``."""
+    state = milestone_state(spark.createDataFrame([], events)).schema
+    return shipment_milestones(read_current(spark, target, state))

@@ -1,12 +1,14 @@
 import datetime as dt
 import os
+import random
 import re
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from procmetrics.operators import staging
+from procmetrics.operators import events, staging
 from procmetrics.session import scratch, shared_dir
 from procmetrics.sources import catalog, contract, landing, publish
 from procmetrics.streaming import jobs
@@ -217,22 +219,83 @@ def test_later_arrivals_win_on_equal_order_values(spark):
     assert {r.v for r in jobs.read_current(spark, target, schema).collect()} == {"batch 3"}
 
 
-def test_a_batch_rewrites_only_its_buckets_and_old_versions_go(spark):
-    import os
+def contents(spark, target, schema):
+    return {(r.id, r.v) for r in jobs.read_current(spark, target, schema).collect()}
 
+
+def test_a_batch_rewrites_only_its_buckets(spark):
     target, schema = scratch(spark, "out"), T.StructType.fromDDL("id int, n int, v string")
     write = jobs.upsert_batches(target, ["id"], ["n"])
     write(spark.createDataFrame([(i, 1, "a") for i in range(500)], schema), 0)
-    before = set(jobs.current_paths(spark, target))
     write(spark.createDataFrame([(7, 2, "b")], schema), 1)
-    after = set(jobs.current_paths(spark, target))
-    assert len(before) == jobs.BUCKETS and len(after - before) == len(before - after) == 1
+    written = jobs._stored(spark, target, schema).groupBy("_batch").agg(
+        F.count_distinct("_bucket").alias("n")).collect()
+    assert {r._batch: r.n for r in written} == {0: jobs.BUCKETS - 1, 1: 1}
     for b in range(2, 6):
         write(spark.createDataFrame([(7, b, "c")], schema), b)
-    assert len([d for d in os.listdir(f"{target}/manifests")]) <= jobs.KEPT + 1
+    write(spark.createDataFrame([], schema), 6)
     assert {r.v: r["count"] for r in jobs.read_current(spark, target, schema).groupBy("v").count().collect()} == {"a": 499, "c": 1}
 
 
+def test_a_batch_lost_in_the_swap_is_swapped_from_staging(spark):
+    target, schema = scratch(spark, "out"), T.StructType.fromDDL("id int, n int, v string")
+    write = jobs.upsert_batches(target, ["id"], ["n"])
+    write(spark.createDataFrame([(i, 1, "a") for i in range(300)], schema), 0)
+    second = spark.createDataFrame([(i, 2, "b") for i in range(0, 300, 3)], schema)
+    write(second, 1)
+    want = contents(spark, target, schema)
+    for part in sorted(os.listdir(target))[:9]:
+        if part.startswith("_bucket="):
+            shutil.rmtree(f"{target}/{part}")
+    assert contents(spark, target, schema) != want
+    write(second, 1)
+    assert contents(spark, target, schema) == want
+    # staged but not finished: the target is untouched, the batch is folded anew
+    third = spark.createDataFrame([(1, 3, "c")], schema)
+    write(third, 2)
+    os.remove(f"{target}-staging/_SUCCESS")
+    write(third, 2)
+    assert contents(spark, target, schema) == (want - {(1, "a")}) | {(1, "c")}
+
+
+def test_staging_of_another_run_is_not_taken(spark):
+    target, schema = scratch(spark, "out"), T.StructType.fromDDL("id int, n int, v string")
+    marks = [scratch(spark, "mark") for _ in range(2)]
+    for n, mark in enumerate(marks):
+        spark.createDataFrame([(f"run {n}",)], "value string").write.text(f"{mark}/metadata")
+        jobs.upsert_batches(target, ["id"], ["n"], mark)(spark.createDataFrame([(n, 1, "x")], schema), 0)
+    assert contents(spark, target, schema) == {(0, "x"), (1, "x")}
+
+
+def test_milestones_stream_follows_late_events(spark):
+    """Events in any order over several batches, one shipment with most of them, equal the batch job."""
+    rnd = random.Random(5)
+    codes = ["PU", "DP", "IT", "IT", "AR", "OD", "DL", "EX"]
+    rows = []
+    for n in range(600):
+        s = "hot" if n % 3 else f"s{n % 20}"
+        rows.append((s, None if n % 97 == 0 and s != "hot" else n, rnd.choice(codes),
+                     None if n % 13 == 0 else dt.date(2024, 1, 1) + dt.timedelta(days=n // 4 + rnd.randrange(-4, 5)), None))
+    # one event without a place in the sequence a shipment: among several the order is open
+    seen = set()
+    rows = [r for r in rows if r[1] is not None or not (r[0] in seen or seen.add(r[0]))]
+    schema = T.StructType.fromDDL("shipment_id string, event_sequence bigint, event_code string, event_at date, event_location string")
+    folder, target, mark = (scratch(spark, n) for n in ("in", "miles", "mark"))
+    names = ["shipment_id", *events.MILESTONES.values(), "event_count", "had_exception", "out_of_sequence_event_count",
+             "has_out_of_sequence_events"]
+    rnd.shuffle(rows)
+    for at in range(0, len(rows), 150):
+        spark.createDataFrame(rows[at:at + 150], schema).coalesce(2).write.mode("append").parquet(folder)
+        jobs.stream_milestones(jobs.file_stream(spark, folder, schema), target, mark, lambda s: F.floor(s / 40))
+        want = events.milestones(spark.createDataFrame(rows[:at + 150], schema))
+        got = jobs.read_milestones(spark, target, schema)
+        assert sorted(map(str, got.select(*names).collect())) == sorted(map(str, want.select(*names).collect()))
+    # a lost checkpoint reads all events again and ends at the same rows
+    jobs.stream_milestones(jobs.file_stream(spark, folder, schema), target, scratch(spark, "mark"), lambda s: F.floor(s / 40))
+    assert sorted(map(str, jobs.read_milestones(spark, target, schema).select(*names).collect())) == sorted(
+        map(str, want.select(*names).collect()))
+
+
 class Conf(dict):
     @property
     def conf(self):
