@@ -1,15 +1,13 @@
 """Ordered per-key operators (row_number, lag, first) that survive hot keys.
 
 A plain window sorts all rows of a key in one task, so a key holding a third of
-the table is one task sorting a third of the table. Keys above ``hot_rows`` rows
-therefore go their own way: they are cut into chunks, a chunk being a value that
-never decreases along the wanted order, the window runs per (key, chunk), and
-the totals of the chunks are carried forward along each key. All other keys take
-the plain window with its one shuffle. With no hot key the second branch is
-empty, and the optimizer drops it at run time.
-
-The hot-key list holds at most rows/hot_rows keys, whatever the data, so it is
-broadcast.
+the table is one task sorting a third of the table. These operators work as a
+prefix scan. A sample of a fixed number of rows, in the order of (key, order), gives as many cut points as
+there are tasks; a key that holds several of them is cut there into pieces of about one task's rows. The window runs
+per (key, piece) with one shuffle, and what a piece has to know of the pieces before it, its
+count and its end values, is one row per piece, carried along on the driver and joined back. There are no more
+pieces than cut points, whatever the data, so both lists are broadcast. Keys without cuts, usually all,
+are one piece each and carry nothing. Rows of equal order values stay in one piece.
 """
 
 from __future__ import annotations
@@ -19,108 +17,149 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-HOT_ROWS = 5_000_000
-SPAN = 1_000_000
+from .joins import measured_join, stored
 
+#: Sampled rows per cut point.
+PER_CUT = 20
+#: Cut points of a key are searched in two steps, over groups of so many.
+GROUP = 64
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows. Partial counts, then a filter."""
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > hot_rows)
-        .select(*keys)
-    )
 
+def _direction(term: str) -> tuple[str, bool]:
+    return (term[1:], True) if term.startswith("-") else (term, False)
 
-def _null_safe(keys: Sequence[str], prefix: str = "_k") -> list[Column]:
-    # a null key is a group of its own in a window
-    return [F.col(k).eqNullSafe(F.col(f"{prefix}{i}")) for i, k in enumerate(keys)]
+
+def _sorted(order: Sequence[str]) -> list[Column]:
+    """``order`` as sort columns: a leading minus is descending, nulls are last."""
+    return [F.col(c).desc_nulls_last() if down else F.col(c).asc_nulls_last() for c, down in map(_direction, order)]
+
+
+def _before(cut: Column, order: Sequence[str]) -> Column:
+    """Whether the order values in ``cut`` come before those of the row."""
+    found = F.lit(False)
+    for c, down in reversed([_direction(t) for t in order]):
+        x, y = cut[c], F.col(c)
+        less = F.coalesce(x > y if down else x < y, x.isNotNull() & y.isNull())
+        found = less | (x.eqNullSafe(y) & found)
+    return found
 
 
-def _split(df: DataFrame, keys: Sequence[str], hot_rows: int, size: Column | None):
-    """The rows of the ordinary keys and those of the hot ones."""
-    if size is not None:
-        return df.where(size <= hot_rows), df.where(size > hot_rows)
-    hot = F.broadcast(_carry_keys(hot_keys(df, keys, hot_rows), keys))
-    on = _null_safe(keys)
-    return df.join(hot, on, "left_anti"), df.join(hot, on, "left_semi")
+def _cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str], parts: int) -> dict[tuple, list[tuple]]:
+    """Order values at which a key is to be cut, for the keys that hold two and more of ``parts`` even cuts."""
+    names = [_direction(t)[0] for t in order]
+    rows = df.select(*keys, *names)
+    wanted = PER_CUT * parts
+    share = min(1.0, wanted / max(1, rows.count()))
+    sample = rows if share == 1.0 else rows.sample(share, seed=11)
+    # a sample has as many rows as were asked for, give or take; every step-th is a cut
+    ordered = sample.orderBy(*[F.col(k).asc_nulls_last() for k in keys], *_sorted(order)).collect()
+    step = max(1, len(ordered) // parts)
+    cuts: dict[tuple, list[tuple]] = {}
+    for r in ordered[step::step]:
+        mine = cuts.setdefault(tuple(r[:len(keys)]), [])
+        value = tuple(r[len(keys):])
+        if not mine or mine[-1] != value:
+            mine.append(value)
+    return {k: v for k, v in cuts.items() if len(v) > 1}
 
 
-def _attach(rows: DataFrame, chunks: DataFrame, keys: Sequence[str]) -> DataFrame:
-    c = _carry_keys(chunks, keys).withColumnRenamed("_chunk", "_c")
-    on = [*_null_safe(keys), F.col("_chunk").eqNullSafe(F.col("_c"))]
-    return rows.join(c, on).drop(*[f"_k{i}" for i in range(len(keys))], "_c")
+def _parts_of(df: DataFrame, parts: int | None) -> int:
+    return parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def row_number(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    chunk: Sequence[Column],
-    out: str,
-    hot_rows: int = HOT_ROWS,
-    size: Column | None = None,
-) -> DataFrame:
+def _join_keys(keys: Sequence[str]) -> list[Column]:
+    # a null key is a group of its own in a window
+    return [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+
+
+def _local(df: DataFrame, keys: Sequence[str], rows: list, more: Sequence[T.StructField]) -> DataFrame:
+    fields = [T.StructField(f"_k{i}", df.schema[k].dataType) for i, k in enumerate(keys)]
+    return F.broadcast(df.sparkSession.createDataFrame(rows, T.StructType([*fields, *more])))
+
+
+def _cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: dict[tuple, list[tuple]]) -> DataFrame:
+    """``df`` with ``_piece``: the number of its key's cuts before the row, null for a key without cuts."""
+    point = T.StructType([T.StructField(c, df.schema[c].dataType) for c, _ in map(_direction, order)])
+    groups = T.ArrayType(T.ArrayType(point))
+    rows = [(*k, [v[i:i + GROUP] for i in range(0, len(v), GROUP)]) for k, v in cuts.items()]
+    known = _local(df, keys, rows, [T.StructField("_cuts", groups)])
+    joined = df.join(known, _join_keys(keys), "left")
+    at = F.size(F.filter("_cuts", lambda g: _before(F.get(g, F.lit(0)), order)))
+    joined = joined.withColumn("_group", F.when(F.col("_cuts").isNotNull(), at))
+    inside = F.size(F.filter(F.get("_cuts", F.col("_group") - 1), lambda c: _before(c, order)))
+    piece = F.when(F.col("_group") > 0, (F.col("_group") - 1) * GROUP + inside).otherwise(F.col("_group"))
+    return joined.select(*df.columns, piece.alias("_piece"))
+
+
+def _carried(df: DataFrame, cut: DataFrame, keys: Sequence[str], summary: Sequence[Column], carry, fields: Sequence[T.StructField]) -> DataFrame:
+    """``cut`` with what ``carry`` makes of the summaries of the pieces before a row's piece."""
+    found = cut.where("_piece is not null").groupBy(*keys, "_piece").agg(*summary).collect()
+    by_key: dict[tuple, list] = {}
+    for r in found:
+        by_key.setdefault(tuple(r[:len(keys)]), []).append(r[len(keys):])
+    rows = [(*k, piece, *values) for k, pieces in by_key.items()
+            for piece, values in carry(sorted(pieces, key=lambda p: p[0]))]
+    known = _local(df, keys, rows, [T.StructField("_p", T.IntegerType()), *fields])
+    on = [*_join_keys(keys), F.col("_piece") == F.col("_p")]
+    return cut.join(known, on, "left").drop("_p", *[f"_k{i}" for i in range(len(keys))])
+
+
+def row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str,
+               parts: int | None = None) -> DataFrame:
     """``row_number() over (partition by keys order by order)`` as column ``out``.
 
-    ``order`` must be total within a key. ``chunk`` are columns that never
-    decrease along ``order``. ``size`` gives a key's number of rows where the
-    caller already knows it, and saves counting them.
+    ``order`` are column names, descending with a leading minus; nulls are last. Rows of a key with equal order values
+    get their numbers in any order. A key is cut if it holds several of ``parts`` (by default the number
+    of shuffle partitions) equal shares of the rows.
     """
-    cold, hot = _split(df, keys, hot_rows, size)
-    plain = cold.withColumn(
-        out, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("bigint"))
-    hot = hot.withColumn("_chunk", F.struct(*[c.alias(f"c{i}") for i, c in enumerate(chunk)]))
-    sizes = hot.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_size"))
-    before = W.partitionBy(*keys).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select(
-        *keys, "_chunk", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
-    rows = hot.withColumn(
-        "_rn", F.row_number().over(W.partitionBy(*keys, "_chunk").orderBy(*order)))
-    pieced = _attach(rows, offsets, keys).withColumn(
-        out, (F.col("_rn") + F.col("_before")).cast("bigint"))
-    return plain.unionByName(pieced.select(*plain.columns))
-
-
-def lag_first(
-    df: DataFrame,
-    keys: Sequence[str],
-    seq: str,
-    value: str,
-    lag_out: str | None = None,
-    first_out: str | None = None,
-    hot_rows: int = HOT_ROWS,
-    span: int = SPAN,
-) -> DataFrame:
-    """Previous and first ``value`` per key along the integer ``seq``."""
-    cold, hot = _split(df, keys, hot_rows, None)
-
-    def windows(rows, w, lag_name, first_name):
-        made = {lag_name: F.lag(value).over(w), first_name: F.first(value).over(w)}
+    cuts = _cuts(df, keys, order, _parts_of(df, parts))
+    if not cuts:
+        return df.withColumn(out, F.row_number().over(W.partitionBy(*keys).orderBy(*_sorted(order))).cast("bigint"))
+
+    def counts_before(pieces):
+        total = 0
+        for piece, n in pieces:
+            yield piece, (total,)
+            total += n
+
+    cut = _cut(df, keys, order, cuts)
+    rows = _carried(df, cut, keys, [F.count(F.lit(1)).alias("_n")], counts_before, [T.StructField("_ahead", T.LongType())])
+    own = F.row_number().over(W.partitionBy(*keys, "_piece").orderBy(*_sorted(order)))
+    return rows.withColumn(out, (own + F.coalesce("_ahead", F.lit(0))).cast("bigint")).drop("_piece", "_ahead")
+
+
+def lag_first(df: DataFrame, keys: Sequence[str], seq: str, value: str, lag_out: str | None = None,
+              first_out: str | None = None, parts: int | None = None) -> DataFrame:
+    """Previous and first ``value`` per key along ``seq``; nulls in ``seq`` are last, equal ones go by ``value``."""
+    cuts = _cuts(df, keys, [seq], _parts_of(df, parts))
+    in_order = [F.col(seq).asc_nulls_last(), F.col(value).asc()]
+
+    def windows(rows, w, lag, first):
+        made = {lag_out: lag(w), first_out: first(w)}
         return rows.withColumns({n: c for n, c in made.items() if n})
 
-    in_order = F.col(seq).asc_nulls_last()
-    plain = windows(cold, W.partitionBy(*keys).orderBy(in_order), lag_out, first_out)
-    hot = hot.withColumn("_chunk", F.floor(F.col(seq) / F.lit(span)))
-    ends = hot.groupBy(*keys, "_chunk").agg(
-        F.max_by(F.struct(value), F.struct(seq)).alias("__last"),
-        F.min_by(F.struct(value), F.struct(seq)).alias("__head"),
-    )
-    along = W.partitionBy(*keys).orderBy(F.col("_chunk").asc_nulls_last())
-    carried = ends.select(
-        *keys, "_chunk", F.lag("__last").over(along).alias("__prev"),
-        F.first("__head").over(along).alias("__start"))
-    w = W.partitionBy(*keys, "_chunk").orderBy(in_order)
-    rows = hot.withColumns({"__lag": F.lag(value).over(w), "__pos": F.row_number().over(w)})
-    rows = _attach(rows, carried, keys)
-    add = {
-        lag_out: F.when(F.col("__pos") == 1, F.col(f"__prev.{value}")).otherwise(F.col("__lag")),
-        first_out: F.col(f"__start.{value}"),
-    }
-    pieced = rows.withColumns({n: c for n, c in add.items() if n})
-    return plain.unionByName(pieced.select(*plain.columns))
+    if not cuts:
+        return windows(df, W.partitionBy(*keys).orderBy(*in_order), lambda w: F.lag(value).over(w), lambda w: F.first(value).over(w))
+
+    def ends_before(pieces):
+        first, last = pieces[0][1], None
+        for piece, head, tail in pieces:
+            yield piece, (last, first)
+            last = tail
+
+    kind = df.schema[value].dataType
+    place = F.struct(F.col(seq).isNull(), seq, value)
+    ends = [F.min_by(F.struct(value), place)[value].alias("_head"), F.max_by(F.struct(value), place)[value].alias("_tail")]
+    rows = _carried(df, _cut(df, keys, [seq], cuts), keys, ends, ends_before,
+                    [T.StructField("_last", kind), T.StructField("_start", kind)])
+    w = W.partitionBy(*keys, "_piece").orderBy(*in_order)
+    rows = rows.withColumn("_place", F.row_number().over(w))
+    return windows(rows, w,
+                   lambda w: F.when(F.col("_place") == 1, F.col("_last")).otherwise(F.lag(value).over(w)),
+                   lambda w: F.when(F.col("_piece").isNull(), F.first(value).over(w)).otherwise(F.col("_start")),
+                   ).drop("_piece", "_place", "_last", "_start")
 
 
 def text_list(df: DataFrame, keys: Sequence[str], value: str, sep: str, out: str) -> DataFrame:
@@ -134,56 +173,43 @@ def text_list(df: DataFrame, keys: Sequence[str], value: str, sep: str, out: str
         F.array_join(F.sort_array(F.collect_list(value)), sep).alias(out))
 
 
-def list_members(df: DataFrame, keys: Sequence[str], value: str, chunk: Sequence[Column]) -> DataFrame:
+def list_members(df: DataFrame, keys: Sequence[str], value: str, parts: int | None = None) -> DataFrame:
     """The members of the same lists as rows (keys, position from 1, value); null values are no members."""
     rows = df.where(F.col(value).isNotNull()).select(*keys, value)
-    return row_number(rows, keys, [F.asc(value)], chunk, "position")
+    return row_number(rows, keys, [value], "position", parts)
 
 
-def _carry_keys(df, keys):
-    for i, k in enumerate(keys):
-        df = df.withColumnRenamed(k, f"_k{i}")
-    return df
+#: Errors of the sketch's ranks, as a share of a key's rows, are below 1 / ACCURACY; the middle lies between the quantiles
+#: MARGIN such errors below and above it.
+ACCURACY, MARGIN = 10_000, 4
 
 
-def exact_median(
-    df: DataFrame, keys: Sequence[str], value: str, out: str, ranges: int = 10_000
-) -> DataFrame:
-    """Exact median per key (mean of the two middle values), without a per-key sort.
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str, count_out: str | None = None) -> DataFrame:
+    """Exact median per key (mean of the two middle values) by selection, without a per-key sort.
 
-    Rows are folded to counts per distinct value, and those to counts per value
-    range; a key has at most ``ranges`` + 1 ranges. Running totals over the
-    ranges show which of them holds the middle, and only the values of that
-    range are put in order.
+    A mergeable sketch per key gives two values that hold the middle between them with about a thousandth of the key's
+    rows, wherever values are dense, and however far outliers lie. Rows are folded to counts per
+    distinct value; values below the two are only counted, and those between them are put in order. A null value is none.
+    ``count_out`` names the number of values, if that is wanted too.
     """
     v = F.col(value).cast("double")
-    have = df.where(F.col(value).isNotNull())
-    ends = have.agg(F.min(v).alias("_lo"), F.max(v).alias("_hi"))
-    place = F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * ranges)
-    counts = (
-        have.groupBy(*keys, v.alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .join(F.broadcast(ends))
-        .withColumn("_range", F.when(F.col("_hi") > F.col("_lo"), place).otherwise(F.lit(0)))
-        .drop("_lo", "_hi")
-    )
-    by_key = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(1))
-    upto = by_key.orderBy("_range").rowsBetween(W.unboundedPreceding, 0)
-    per_range = counts.groupBy(*keys, "_range").agg(F.sum("_n").alias("_rn")).select(
-        *keys, "_range",
-        (F.sum("_rn").over(upto) - F.col("_rn")).alias("_below"),
-        F.sum("_rn").over(upto).alias("_upto"),
-        F.sum("_rn").over(by_key).alias("_total"),
-    )
-    lo = F.floor((F.col("_total") + 1) / 2)
-    hi = F.floor((F.col("_total") + 2) / 2)
-    middle = per_range.where((F.col("_below") < hi) & (F.col("_upto") >= lo)).drop("_upto")
-    m = _carry_keys(middle, keys).withColumnRenamed("_range", "_r")
-    on = [*_null_safe(keys), F.col("_range") == F.col("_r")]
-    inside = W.partitionBy(*keys, "_range").orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
-    near = counts.join(m, on).withColumn(
-        "_to", F.col("_below") + F.sum("_n").over(inside)
-    ).withColumn("_from", F.col("_to") - F.col("_n") + 1)
-    low = F.max(F.when((F.col("_from") <= lo) & (F.col("_to") >= lo), F.col("_v")))
-    high = F.max(F.when((F.col("_from") <= hi) & (F.col("_to") >= hi), F.col("_v")))
-    return near.groupBy(*keys).agg(((low + high) / 2).alias(out))
+    have = df.where(F.col(value).isNotNull()).select(*keys, v.alias("_v"))
+    off = MARGIN / ACCURACY
+    cut = F.percentile_approx("_v", [0.5 - off, 0.5 + off], ACCURACY)
+    ends = have.groupBy(*keys).agg(cut.alias("_c"), F.count(F.lit(1)).alias("_total")).select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+        F.get("_c", F.lit(0)).alias("_lo"), F.get("_c", F.lit(1)).alias("_hi"), "_total")
+    counts = have.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    if keys:
+        ends = stored(ends, "median-ends")
+    near = measured_join(counts, ends, [(k, f"_k{i}") for i, k in enumerate(keys)], F.col("_v")).where(F.col("_v") <= F.col("_hi"))
+    # one row a key for all that lies below, one a value for the rest
+    folded = near.groupBy(*keys, F.when(F.col("_v") >= F.col("_lo"), F.col("_v")).alias("_v")).agg(
+        F.sum("_n").alias("_n"), F.first("_total").alias("_total"))
+    upto = (W.partitionBy(*keys) if keys else W.partitionBy(F.lit(1))).orderBy(
+        F.col("_v").asc_nulls_first()).rowsBetween(W.unboundedPreceding, 0)
+    placed = folded.withColumn("_to", F.sum("_n").over(upto))
+    lo, hi = F.floor((F.col("_total") + 1) / 2), F.floor((F.col("_total") + 2) / 2)
+    at = lambda rank: F.max(F.when((F.col("_to") - F.col("_n") < rank) & (F.col("_to") >= rank), F.col("_v")))
+    wanted = [((at(lo) + at(hi)) / 2).alias(out), *([F.max("_total").alias(count_out)] if count_out else [])]
+    return placed.groupBy(*keys).agg(*wanted) if keys else placed.agg(*wanted)

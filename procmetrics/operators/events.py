@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import date_key, fk
-from ..functions.sequence import HOT_ROWS, SPAN, lag_first
+from ..functions.sequence import lag_first
 
 # fixed values: event code and the milestone it dates
 MILESTONES = {"PU": "picked_up_date", "DP": "departed_facility_date",
@@ -15,7 +15,7 @@ MILESTONES = {"PU": "picked_up_date", "DP": "departed_facility_date",
 SCAN, DELIVERED, EXCEPTION = "IT", "DL", "EX"
 
 
-def milestones(events: DataFrame, hot_rows: int = HOT_ROWS, span: int = SPAN) -> DataFrame:
+def milestones(events: DataFrame, parts: int | None = None) -> DataFrame:
     """First event per code by sequence, never by time, plus sequence integrity.
 
     After the lag, one fold per shipment yields every column; ``min_by`` is
@@ -25,7 +25,7 @@ def milestones(events: DataFrame, hot_rows: int = HOT_ROWS, span: int = SPAN) ->
     ev = lag_first(
         events.select("shipment_id", "event_sequence", "event_code", "event_at", "event_location"),
         ["shipment_id"], "event_sequence", "event_at", lag_out="_previous",
-        hot_rows=hot_rows, span=span,
+        parts=parts,
     )
     code, seq = F.col("event_code"), F.col("event_sequence")
 
@@ -48,12 +48,12 @@ def milestones(events: DataFrame, hot_rows: int = HOT_ROWS, span: int = SPAN) ->
 
 
 def shipment_event(
-    events: DataFrame, shipments: DataFrame, hot_rows: int = HOT_ROWS, span: int = SPAN
+    events: DataFrame, shipments: DataFrame, parts: int | None = None
 ) -> DataFrame:
     """One row per tracking event, with its place in the sequence and its shipment."""
     ev = lag_first(
         events, ["shipment_id"], "event_sequence", "event_at",
-        lag_out="_previous", first_out="_first", hot_rows=hot_rows, span=span)
+        lag_out="_previous", first_out="_first", parts=parts)
     ctx = shipments.select(
         "shipment_id", "customer_key", "customer_code", "site_code", "carrier_scac",
         "sales_order_number", "service_level", "transport_mode")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -129,12 +129,12 @@ def returned_per_line(returns: DataFrame) -> DataFrame:
 
 def fct_sales_order_line(
     order_lines: DataFrame, order_headers: DataFrame, invoice_lines: DataFrame,
-    invoice_headers: DataFrame, returns: DataFrame, fx: DataFrame, policy: Policy = DEFAULT,
+    invoice_headers: DataFrame, returns: DataFrame, fx: DataFrame | Callable[[], DataFrame], policy: Policy = DEFAULT,
     need: Collection[str] | None = None,
 ) -> DataFrame:
     """Order lines with what was invoiced and returned folded in, both currencies.
 
-    ``need`` as for shipments.
+    ``need`` as for shipments; ``fx``, a stored table, may be given by a function, which is called if rates are needed.
     """
     head = order_headers.select(
         "sales_order_number", "sales_site_code", "ordering_customer_code",
@@ -150,7 +150,7 @@ def fct_sales_order_line(
     j = j.join(head, "sales_order_number")
     if wants(need, "line_net_amount_usd", "discount_amount_usd", "invoiced_amount_usd",
              "returned_amount_usd", "fx_rate", "fx_rate_is_fallback"):
-        j = with_fx(j, fx, "currency_code", "order_date")
+        j = with_fx(j, fx() if callable(fx) else fx, "currency_code", "order_date")
     if folded:
         j = j.withColumns({f: F.coalesce(F.col(f), F.lit(0)) for f in folded})
     c = F.col
@@ -185,7 +185,8 @@ def fct_sales_order_line(
 
 
 def fct_invoice_line(
-    invoice_lines: DataFrame, invoice_headers: DataFrame, customers: DataFrame, fx: DataFrame,
+    invoice_lines: DataFrame, invoice_headers: DataFrame, customers: DataFrame,
+    fx: DataFrame | Callable[[], DataFrame],
     policy: Policy = DEFAULT, need: Collection[str] | None = None,
 ) -> DataFrame:
     """Invoice lines with settlement; days to pay stay null while unpaid."""
@@ -197,7 +198,7 @@ def fct_invoice_line(
         terms = customers.select(F.col("customer_code").alias("_code"), "payment_term_code")
         j = j.join(terms, F.col("customer_code") == F.col("_code"), "left")
     if wants(need, "line_net_amount_usd", "fx_rate", "fx_rate_is_fallback"):
-        j = with_fx(j, fx, "currency_code", "invoice_date")
+        j = with_fx(j, fx() if callable(fx) else fx, "currency_code", "invoice_date")
     c = F.col
     paid = c("payment_date")
     return pick(j, {

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.clean import ratio
+from ..functions.joins import BROADCAST_ROWS, measured_join
 from ..policy import DEFAULT, Policy
 
 
@@ -40,25 +41,25 @@ def fx_rates(gl_lines: DataFrame, gl_headers: DataFrame, policy: Policy = DEFAUL
     )
 
 
-def with_fx(df: DataFrame, fx: DataFrame, currency: str, date_col: str) -> DataFrame:
+def with_fx(df: DataFrame, fx: DataFrame, currency: str, date_col: str, most: int = BROADCAST_ROWS) -> DataFrame:
     """Adds ``fx_rate`` (month, else currency, else 1) and ``fx_rate_is_fallback``.
 
-    The months of a currency are folded into one map, so a single join on the
-    currency serves both the month and the fallback. The side has one row per
-    currency and the map one entry per calendar month.
+    The months of a currency are folded into one map, so a single join serves both the month and the fallback.
+    A few currencies carry most lines, so ``df`` is never dealt by currency alone: ``fx``, a stored table, is
+    measured, and either broadcast or met by (currency, month).
     """
-    rates = fx.groupBy(F.col("currency_code").alias("_cur")).agg(
+    month = F.trunc(F.col(date_col), "MM")
+    rates = fx.where("currency_code is not null").groupBy(F.col("currency_code").alias("_cur")).agg(
         F.map_from_entries(F.collect_list(
             F.struct("rate_month", "rate_to_reporting_currency"))).alias("_rates"),
         F.max("fallback_rate").alias("_fallback"),
     )
-    month = F.try_element_at("_rates", F.trunc(F.col(date_col), "MM"))
+    joined = measured_join(df, rates, [(currency, "_cur")], month, "left", rows=fx.count(), most=most)
     return (
-        df.join(rates, F.col(currency) == F.col("_cur"), "left")
-        .withColumn("_rate", month)
+        joined.withColumn("_rate", F.try_element_at("_rates", month))
         .withColumns({
             "fx_rate": F.coalesce("_rate", "_fallback", F.lit(1).cast("decimal(18,6)")),
             "fx_rate_is_fallback": F.col("_rate").isNull(),
         })
-        .drop("_cur", "_rates", "_fallback", "_rate")
+        .drop("_rates", "_fallback", "_rate")
     )

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions import keys as K
 from ..functions.clean import surrogate_key
-from ..functions.sequence import HOT_ROWS, row_number, text_list
+from ..functions.joins import stored
+from ..functions.sequence import row_number, text_list
 from ..policy import DEFAULT, Policy
 
 # fixed values: probe and confidence, strongest first
@@ -126,7 +127,7 @@ def customer_xref(
     customers: DataFrame,
     suffixes: Sequence[str] = K.LEGAL_SUFFIXES,
     min_stem: int = K.MIN_STEM,
-    hot_rows: int = HOT_ROWS,
+    parts: int | None = None,
 ) -> DataFrame:
     """Every (company, customer) candidate with its best probe, rank and ambiguity.
 
@@ -161,29 +162,21 @@ def customer_xref(
     per_conf = {f"n{i}": F.lit(f"{v:.2f}").cast("decimal(4,2)")
                 for i, v in enumerate(CUSTOMER_PROBES.values())}
     sizes = names.groupBy(*[F.col(x).alias(f"_{x}") for x in l_name]).agg(
-        F.sum("members").alias("_total"),
         *[F.sum(F.when(F.col("confidence") == v, F.col("members"))).alias(n)
           for n, v in per_conf.items()])
     tied = F.coalesce(*[F.when(F.col("confidence") == v, F.col(n)) for n, v in per_conf.items()])
     names = names.join(
         sizes, [F.col(x).eqNullSafe(F.col(f"_{x}")) for x in l_name]
-    ).select(*l_name, *r_name, "confidence", "match_method", "probes_agreeing", "_total",
-             tied.alias("_tied"))
+    ).select(*l_name, *r_name, "confidence", "match_method", "probes_agreeing", tied.alias("_tied"))
     on_left = [comp[x].eqNullSafe(names[f"l_{x}"]) for x in "uacs"]
     on_right = [cust[x].eqNullSafe(names[f"r_{x}"]) for x in "uac"]
     pairs = comp.join(names, on_left).join(cust, on_right).select(
         "company_id", "company_name", "domain", "is_archived", "customer_code", "customer_name",
-        "match_method", "confidence", "probes_agreeing", "_total", "_tied",
+        "match_method", "confidence", "probes_agreeing", "_tied",
     )
     ranked = row_number(
-        pairs,
-        ["company_id"],
-        [F.desc("confidence"), F.desc("probes_agreeing"), F.asc("customer_code")],
-        [-F.col("confidence"), -F.col("probes_agreeing"), F.substring("customer_code", 1, 6)],
-        "candidate_rank",
-        hot_rows,
-        size=F.col("_total"),
-    )
+        stored(pairs, "candidates"), ["company_id"], ["-confidence", "-probes_agreeing", "customer_code"],
+        "candidate_rank", parts)
     return ranked.select(
         surrogate_key(F.col("company_id"), F.col("customer_code")).alias("customer_xref_key"),
         F.col("company_id").alias("crm_company_id"),
@@ -275,7 +268,7 @@ def roster_people(roster: DataFrame) -> DataFrame:
 
 
 def employee_xref(
-    roster: DataFrame, reps: DataFrame, owners: DataFrame, hot_rows: int = HOT_ROWS
+    roster: DataFrame, reps: DataFrame, owners: DataFrame, parts: int | None = None
 ) -> DataFrame:
     """CRM owners by e-mail and ERP reps by LAST FIRST name against the roster."""
     people = roster_people(roster)
@@ -303,11 +296,8 @@ def employee_xref(
         .withColumn("confidence", _confidence(F.col("match_method"), EMPLOYEE_PROBES))
     )
     ranked = row_number(
-        pairs, ["source_system", "source_key"],
-        [F.desc("confidence"), F.asc("employee_code")],
-        [-F.col("confidence"), F.substring("employee_code", 1, 6)],
-        "candidate_rank", hot_rows, size=F.col("_n"),
-    )
+        stored(pairs, "candidates"), ["source_system", "source_key"], ["-confidence", "employee_code"],
+        "candidate_rank", parts)
     return ranked.select(
         surrogate_key(F.col("source_system"), F.col("source_key"), F.col("employee_code"))
         .alias("employee_xref_key"),

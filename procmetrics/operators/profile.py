@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import ratio
-from ..functions.sequence import HOT_ROWS, SPAN, exact_median, lag_first
+from ..functions.sequence import exact_median, lag_first
 
 
 def share(part: Column, whole: Column, digits: int = 1) -> Column:
@@ -136,10 +136,9 @@ def implied_rates(gl_lines: DataFrame, gl_headers: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("lines"))
 
 
-def out_of_sequence_share(events: DataFrame, hot_rows: int = HOT_ROWS, span: int = SPAN
-                          ) -> DataFrame:
+def out_of_sequence_share(events: DataFrame, parts: int | None = None) -> DataFrame:
     ev = lag_first(events.select("shipment_id", "event_sequence", "event_at"), ["shipment_id"],
-                   "event_sequence", "event_at", lag_out="_prev", hot_rows=hot_rows, span=span)
+                   "event_sequence", "event_at", lag_out="_prev", parts=parts)
     late = F.count_if(F.col("event_at") < F.col("_prev"))
     return ev.agg(F.count(F.lit(1)).alias("events"), late.alias("out_of_sequence")).withColumn(
         "pct", share(F.col("out_of_sequence"), F.col("events"), 2))
@@ -164,8 +163,7 @@ def forecast_error_by_class(
     """Median absolute percentage error per planning class."""
     group = list(group)
     j = accuracy.where("abs_pct_error is not null").join(classes.select(*keys, *group), keys)
-    n = j.groupBy(*group).agg(F.count("abs_pct_error").alias("periods"))
-    return n.join(exact_median(j, group, "abs_pct_error", "median_error"), group)
+    return exact_median(j, group, "abs_pct_error", "median_error", "periods")
 
 
 def lead_time(orders: DataFrame, site: str, ordered: str, shipped: str, sentinel) -> DataFrame:

@@ -7,6 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.joins import stored
 from ..operators import dims, events, facts, fx, lines, match
 from ..policy import DEFAULT, Policy
 from .inputs import AS_OF, Inputs
@@ -24,6 +25,11 @@ class Models:
     def fx(self) -> DataFrame:
         return fx.fx_rates(self.i.gl_line, self.i.gl_header, self.policy)
 
+    @cached_property
+    def stored_fx(self) -> DataFrame:
+        """The rates as a table, so that the ledger is read once for all facts that convert amounts."""
+        return stored(self.fx, "fx")
+
     @cached_property
     def int_line(self) -> DataFrame:
         return lines.order_line(self.i.sorderq, self.i.sorderp)
@@ -109,11 +115,11 @@ class Models:
             return events.shipment_event(i.event, self.model("fct_shipment", context))
         if name == "fct_sales_order_line":
             return facts.fct_sales_order_line(
-                self.int_line, i.sorder, i.sinvoiced, i.sinvoicev, self.returns, self.fx, pol,
-                need)
+                self.int_line, i.sorder, i.sinvoiced, i.sinvoicev, self.returns,
+                lambda: self.stored_fx, pol, need)
         if name == "fct_invoice_line":
-            return facts.fct_invoice_line(i.sinvoiced, i.sinvoicev, i.bpcustomer, self.fx, pol,
-                                          need)
+            return facts.fct_invoice_line(i.sinvoiced, i.sinvoicev, i.bpcustomer,
+                                          lambda: self.stored_fx, pol, need)
         if name == "fct_supplier_invoice_line":
             return facts.fct_supplier_invoice_line(self.matched)
         if name == "fct_inventory_count_line":

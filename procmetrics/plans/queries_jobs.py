@@ -102,7 +102,7 @@ select h.sales_order_number, {RATE} as fx_rate,
   fx.rate_to_reporting_currency is null as fx_rate_is_fallback
 from sorder h {FX_JOIN.format(d='order_date')}""")
 def fx_lookup(i):
-    rates = Models(i).fx
+    rates = Models(i).stored_fx
     orders = i.sorder.select("sales_order_number", "currency_code", "order_date")
     return fx.with_fx(orders, rates, "currency_code", "order_date").select(
         "sales_order_number", "fx_rate", "fx_rate_is_fallback")
@@ -121,7 +121,7 @@ def milestones(i):
 @query("milestones_split", "select * from mile")
 def milestones_split(i):
     """Milestones with every shipment cut into pieces, as a hot one would be."""
-    return events.milestones(i.event, hot_rows=20, span=900)
+    return events.milestones(i.event, parts=400)
 
 
 @query("shipment_order", "select * from ship_order")

@@ -480,12 +480,10 @@ select o_orderkey, o_custkey, row_number() over w as order_rank, row_number() ov
   as is_selected
 from orders window w as (partition by o_custkey order by o_orderdate desc, o_orderkey)""")
 def rank_flag(i):
-    """All orders kept, ranked per customer; hot customers are ranked in pieces."""
-    days = F.datediff(F.lit(dt.date(2100, 1, 1)), "o_orderdate")
+    """All orders kept, ranked per customer; a customer with several tasks' share of the orders is ranked in pieces."""
     ranked = row_number(
         i.raw("orders").select("o_orderkey", "o_custkey", "o_orderdate"), ["o_custkey"],
-        [F.desc("o_orderdate"), F.asc("o_orderkey")],
-        [days, F.floor(F.col("o_orderkey") / 1_000_000)], "order_rank")
+        ["-o_orderdate", "o_orderkey"], "order_rank")
     return ranked.select("o_orderkey", "o_custkey", "order_rank",
                          (F.col("order_rank") == 1).alias("is_selected"))
 
@@ -494,12 +492,10 @@ def rank_flag(i):
 select o_orderkey, o_custkey, row_number() over w as order_rank
 from orders window w as (partition by o_custkey order by o_orderdate desc, o_orderkey)""")
 def rank_flag_split(i):
-    """The same ranking with every customer of more than five orders cut by date."""
-    days = F.datediff(F.lit(dt.date(2100, 1, 1)), "o_orderdate")
+    """The same ranking with so many cuts that most customers are ranked in pieces."""
     return row_number(
         i.raw("orders").select("o_orderkey", "o_custkey", "o_orderdate"), ["o_custkey"],
-        [F.desc("o_orderdate"), F.asc("o_orderkey")], [F.floor(days / 365)], "order_rank",
-        hot_rows=5).select("o_orderkey", "o_custkey", "order_rank")
+        ["-o_orderdate", "o_orderkey"], "order_rank", parts=i.raw("orders").count() // 4).select("o_orderkey", "o_custkey", "order_rank")
 
 
 @query("latest_per_key", """
@@ -541,7 +537,7 @@ def lag_gap_split(i):
     """The same with every key cut into short pieces; the pieces must join up."""
     ev = i.event.select("shipment_id", "event_sequence", "event_at")
     return lag_first(ev, ["shipment_id"], "event_sequence", "event_at", "previous_at", "first_at",
-                     hot_rows=20, span=700)
+                     parts=400)
 
 
 @query("first_in_key", """

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from procmetrics.functions import clean, keys
+from procmetrics.functions import clean, keys, sequence
 from procmetrics.functions.sequence import exact_median, lag_first, list_members, row_number, text_list
 
 
@@ -71,31 +71,84 @@ def rows(df, *cols):
     return sorted((tuple(r) for r in df.select(*cols).collect()), key=str)
 
 
-@pytest.mark.parametrize("hot", [3, 100, 10**6])
-def test_row_number_in_pieces_equals_the_window(skewed, hot):
-    got = row_number(skewed, ["k"], [F.asc("code")], [F.substring("code", 1, 2)], "rn", hot)
-    want = skewed.withColumn("rn", F.row_number().over(W.partitionBy("k").orderBy("code")))
-    assert rows(got, "k", "code", "rn") == rows(want, "k", "code", "rn")
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
 
 
-@pytest.mark.parametrize("hot, span", [(3, 7), (100, 50), (10**6, 10)])
-def test_lag_and_first_in_pieces_equal_the_window(skewed, hot, span):
-    got = lag_first(skewed, ["k"], "seq", "v", "p", "f", hot_rows=hot, span=span)
+@pytest.mark.parametrize("parts", [None, 7, 100, 600])
+def test_row_number_in_pieces_equals_the_window(skewed, parts):
+    got = row_number(skewed, ["k"], ["code"], "rn", parts)
+    want = skewed.withColumn("rn", F.row_number().over(W.partitionBy("k").orderBy("code")))
+    assert rows(got, "k", "code", "rn") == rows(want, "k", "code", "rn")
+    assert exchanges(got) == 1
+    down = row_number(skewed, ["k"], ["-v", "code"], "rn", parts)
+    want = skewed.withColumn("rn", F.row_number().over(W.partitionBy("k").orderBy(F.desc_nulls_last("v"), "code")))
+    assert rows(down, "k", "code", "rn") == rows(want, "k", "code", "rn")
+
+
+def test_row_number_over_repeated_order_values(skewed):
+    """Equal order values share their numbers in any order; no number is missing or given twice."""
+    got = {}
+    for r in row_number(skewed, ["k"], ["v"], "rn", 300).collect():
+        got.setdefault(r.k, []).append((r.rn, 10**9 if r.v is None else r.v))
+    for mine in got.values():
+        mine.sort()
+        assert [n for n, _ in mine] == list(range(1, len(mine) + 1))
+        assert [v for _, v in mine] == sorted(v for _, v in mine)
+
+
+def test_a_hot_key_is_cut_into_even_pieces(spark):
+    """A key with a third of the rows, and one order value with half of those."""
+    df = spark.range(30_000).selectExpr("if(id % 3 = 0, 'hot', concat('k', id)) as k", "if(id % 6 = 0, 7, id) as v")
+    cuts = sequence._cuts(df, ["k"], ["v"], 30)
+    assert set(cuts) == {("hot",)} and len(cuts["hot",]) >= 4
+    sizes = {r._piece: r["count"] for r in sequence._cut(df, ["k"], ["v"], cuts).groupBy("_piece").count().collect()}
+    # rows of one order value stay together
+    assert sorted(sizes.values())[-3] < 2_500 and sizes[None] == 20_000
+    got = row_number(df, ["k"], ["v"], "rn", 30).where("k = 'hot'")
+    assert got.agg(F.count_distinct("rn"), F.max("rn")).first()[:] == (10_000, 10_000)
+
+
+@pytest.mark.parametrize("parts", [None, 7, 100, 600])
+def test_lag_and_first_in_pieces_equal_the_window(skewed, parts):
+    got = lag_first(skewed, ["k"], "seq", "v", "p", "f", parts)
     w = W.partitionBy("k").orderBy("seq")
     want = skewed.withColumns({"p": F.lag("v").over(w), "f": F.first("v").over(w)})
     assert rows(got, "k", "seq", "p", "f") == rows(want, "k", "seq", "p", "f")
+    assert exchanges(got) == 1
+    # equal and missing places in the order: those go by value, nulls come last
+    loose = skewed.withColumn("seq", F.when(F.col("seq") % 17 > 0, F.floor(F.col("seq") / 9)))
+    got = lag_first(loose, ["k"], "seq", "v", "p", "f", parts)
+    w = W.partitionBy("k").orderBy(F.asc_nulls_last("seq"), "v")
+    want = loose.withColumns({"p": F.lag("v").over(w), "f": F.first("v").over(w)})
+    assert rows(got, "k", "seq", "v", "p", "f") == rows(want, "k", "seq", "v", "p", "f")
 
 
-@pytest.mark.parametrize("ranges", [1, 7, 10_000])
-def test_median(skewed, ranges):
+def test_median(skewed):
     data = {}
     for r in skewed.collect():
         if r.v is not None:
             data.setdefault(r.k, []).append(r.v)
-    got = {r.k: r.m for r in exact_median(skewed, ["k"], "v", "m", ranges).collect()}
+    got = {r.k: r.m for r in exact_median(skewed, ["k"], "v", "m").collect()}
     assert got == {k: statistics.median(v) for k, v in data.items()}
     every = [x for v in data.values() for x in v]
-    assert exact_median(skewed, [], "v", "m", ranges).first().m == statistics.median(every)
+    assert exact_median(skewed, [], "v", "m", "n").first()[:] == (statistics.median(every), len(every))
+    assert exact_median(skewed.where("v is null"), [], "v", "m").first().m is None
+
+
+def test_an_outlier_leaves_the_middle_narrow(spark):
+    """Values that all lie close together beside one far away: hardly any are put in order."""
+    df = spark.range(200_001).selectExpr("id % 5 as k", "if(id = 77, 1e15, (id * 7919) % 200001 / 1e6) as v")
+    by_key = {}
+    for r in df.collect():
+        by_key.setdefault(r.k, []).append(r.v)
+    got = exact_median(df, ["k"], "v", "m")
+    assert {r.k: r.m for r in got.collect()} == {k: statistics.median(v) for k, v in by_key.items()}
+    whole = exact_median(df, [], "v", "m")
+    assert whole.first().m == statistics.median([x for v in by_key.values() for x in v])
+    off = sequence.MARGIN / sequence.ACCURACY
+    lo, hi = df.selectExpr(f"percentile_approx(v, array({0.5 - off}, {0.5 + off}), {sequence.ACCURACY})").first()[0]
+    assert 1 <= df.where((F.col("v") >= lo) & (F.col("v") <= hi)).count() < 1_000
 
 
 def test_lists_are_complete_for_every_group(spark, skewed):
@@ -110,7 +163,7 @@ def test_lists_are_complete_for_every_group(spark, skewed):
 
 def test_members_are_the_lists_as_rows(skewed):
     lists = {r.k: r.codes.split(",") for r in text_list(skewed, ["k"], "code", ",", "codes").collect()}
-    rows = list_members(skewed, ["k"], "code", [F.substring("code", 1, 2)]).collect()
+    rows = list_members(skewed, ["k"], "code", 200).collect()
     for k, codes in lists.items():
         mine = sorted((r.position, r.code) for r in rows if r.k == k)
         assert [p for p, _ in mine] == list(range(1, len(codes) + 1)) and [c for _, c in mine] == codes

@@ -64,13 +64,13 @@ def brute_force(companies, customers):
     return out
 
 
-@pytest.mark.parametrize("hot", [2, 10**6])
-def test_customer_xref_equals_brute_force(spark, hot):
+@pytest.mark.parametrize("parts", [None, 100])
+def test_customer_xref_equals_brute_force(spark, parts):
     companies, customers = parties(spark)
     want = brute_force(companies, customers)
     got = {(r.crm_company_id, r.erp_customer_code):
            (r.match_method, float(r.confidence), r.probes_agreeing, r.candidate_rank, r.is_ambiguous)
-           for r in match.customer_xref(companies, customers, hot_rows=hot).collect()}
+           for r in match.customer_xref(companies, customers, parts=parts).collect()}
     assert got == want
     best = {r.crm_company_id: (r.erp_customer_code, r.match_method, r.is_ambiguous)
             for r in match.best_customer_match(companies, customers).collect()}
@@ -183,8 +183,8 @@ def test_milestones_follow_the_sequence(spark):
          ("s", 5, "DL", D(2024, 1, 9), None), ("s", 6, "EX", D(2024, 1, 8), "b")],
         "shipment_id string, event_sequence bigint, event_code string, event_at date, "
         "event_location string")
-    for hot, span in ((10**6, 10), (2, 2)):
-        r = events.milestones(ev, hot_rows=hot, span=span).first()
+    for parts in (None, 3):
+        r = events.milestones(ev, parts=parts).first()
         assert r.picked_up_date == D(2024, 1, 3) and r.delivered_event_date == D(2024, 1, 9)
         assert (r.delivery_location, r.transit_days, r.in_transit_scan_count) == ("a", 6, 1)
         assert (r.out_of_sequence_event_count, r.had_exception, r.event_count) == (3, True, 6)
@@ -215,6 +215,10 @@ def test_fx_falls_back_to_the_currency_then_to_one(spark):
     got = {r.id: (float(r.fx_rate), r.fx_rate_is_fallback)
            for r in fx.with_fx(df, rates, "cur", "d").collect()}
     assert got == {1: (0.7, False), 2: (0.75, True), 3: (1.0, True), 4: (0.75, True)}
+    # rates that are too many to be broadcast give the same
+    dealt = fx.with_fx(df, rates, "cur", "d", most=0)
+    assert "_salt" in dealt._jdf.queryExecution().toString()
+    assert {r.id: (float(r.fx_rate), r.fx_rate_is_fallback) for r in dealt.collect()} == got
 
 
 def test_needed_columns_leave_out_whole_sides(spark):
