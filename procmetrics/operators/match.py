@@ -409,14 +409,14 @@ def with_order(
     order = orders.select(
         "sales_order_number", "ordering_customer_code", "order_date",
         F.col("currency_code").alias("order_currency_code"), "primary_rep_code")
-    j = shipments.join(order, F.col("reference_number") == F.col("sales_order_number"), "left")
     if order_lines is not None:
-        requested = order_lines.where("requested_delivery_date is not null").groupBy(
-            F.col("sales_order_number").alias("_req_order")
-        ).agg(F.max("requested_delivery_date").alias("customer_requested_delivery_date"))
-        j = j.join(requested, F.col("sales_order_number") == F.col("_req_order"), "left")
+        # folded onto the orders first, so that shipments meet their order in one join
+        requested = order_lines.where("requested_delivery_date is not null").groupBy("sales_order_number").agg(
+            F.max("requested_delivery_date").alias("customer_requested_delivery_date"))
+        order = order.join(requested, "sales_order_number", "left")
     else:
-        j = j.withColumn("customer_requested_delivery_date", F.lit(None).cast("date"))
+        order = order.withColumn("customer_requested_delivery_date", F.lit(None).cast("date"))
+    j = shipments.join(order, F.col("reference_number") == F.col("sales_order_number"), "left")
     found = F.col("sales_order_number").isNotNull()
     named = F.coalesce("_named", F.lit(0))
     return (

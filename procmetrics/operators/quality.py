@@ -113,19 +113,21 @@ def metric_parity(catalog: Catalog, tolerance: float = 1e-6) -> DataFrame:
     """Rolled-up metric rows against the aggregates on the fact, per metric.
 
     A metric that does not re-aggregate cannot fail: its rows are expected to
-    differ, and whether they do is reported. Metrics of one fact share a pass.
+    differ, and whether they do is reported. Rows and aggregates of all metrics of a fact come from one pass over it.
     """
     live = [m for m in catalog.metrics.values() if not m.is_blocked]
-    names = [m.name for m in live]
-    a = catalog.rows(names).groupBy("metric_name").agg(
-        ratio(F.sum("numerator"), F.sum("denominator")).alias("from_rows"))
-    b = catalog.totals(names).select("metric_name", F.col("metric_value").alias("from_fact"))
+    both = catalog.rows_and_totals([m.name for m in live])
+    side = lambda c: F.sum(F.when(F.col("grain") == "declared", F.col(c)))
+    found = both.groupBy("metric_name").agg(
+        ratio(side("numerator"), side("denominator")).alias("from_rows"),
+        F.max(F.when(F.col("grain") == "total", F.col("metric_value"))).alias("from_fact"))
+    names = both.sparkSession.createDataFrame([(m.name,) for m in live], "metric_name string")
     adds = F.col("metric_name").isin([m.name for m in live if is_reaggregatable(m)])
     gap = F.abs(F.col("from_rows") - F.col("from_fact"))
     agrees = F.coalesce(
         gap <= F.greatest(F.abs("from_rows"), F.abs("from_fact"), F.lit(1.0)) * tolerance,
         F.col("from_rows").isNull() & F.col("from_fact").isNull())
-    return b.join(a, "metric_name", "left").select(
+    return names.join(found, "metric_name", "left").select(
         "metric_name", "from_rows", "from_fact", adds.alias("is_reaggregatable"),
         agrees.alias("agrees"), (agrees | ~adds).alias("passes"))
 

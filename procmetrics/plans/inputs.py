@@ -17,8 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.clean import MONEY
+from ..functions.joins import stored
 from ..functions.keys import name_alnum
-from ..session import scratch, table
+from ..session import table
 
 AS_OF = dt.date(2000, 1, 1)
 SENTINEL = dt.date(1753, 1, 1)
@@ -65,7 +66,7 @@ def pad8(c: Column) -> Column:
 
 
 class Inputs:
-    """``store_lines`` writes the derived order lines to the shared folder once.
+    """``store_lines`` writes the derived order headers and lines to the shared folder once.
 
     Jobs that read them many times then scan a table, as they would in a
     deployment, in place of folding the line items again for each use.
@@ -109,7 +110,7 @@ class Inputs:
             self.raw("customer").select("c_custkey", "c_name", "c_nationkey"),
             F.col("o_custkey") == F.col("c_custkey"))
         n6 = F.col("c_nationkey") % 6
-        return o.select(
+        heads = o.select(
             F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("custkey"),
             F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"),
             tag("SO", F.col("o_orderkey")).alias("order_no"),
@@ -119,16 +120,13 @@ class Inputs:
             F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"),
             F.col("o_totalprice").cast(MONEY).alias("total"),
         )
+        return stored(heads, "order") if self.store_lines else heads
 
     @cached_property
     def order_line(self) -> DataFrame:
         head = self.order.select("order_id", "custkey", "nation", "order_date", "site", "cur")
         df = self._line.join(head, "order_id")
-        if not self.store_lines:
-            return df
-        path = scratch(self.spark, "order_line")
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return stored(df, "order_line") if self.store_lines else df
 
     @cached_property
     def sorder(self) -> DataFrame:

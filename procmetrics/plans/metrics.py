@@ -309,19 +309,22 @@ def columns_of(metric: Metric, by: Sequence[str] = (), date_key: str | None = No
     return used
 
 
-def together(metrics: Sequence[Metric], fact: DataFrame, grain: str = "declared") -> DataFrame:
+def together(metrics: Sequence[Metric], fact: DataFrame, grains: Sequence[str] = ("declared",)) -> DataFrame:
     """Several metrics of one fact in one pass, as long rows.
 
-    ``declared``: at their dimensions, which must be the same for all. ``total``:
-    one row per metric. A metric's own filters move inside its aggregates, and a
-    group none of whose rows pass them gives no row, as if filtered before.
+    ``declared``: at their dimensions, which may differ, as grouping sets. ``total``: one row per
+    metric over all rows. With both, a column ``grain`` tells which row is which. A metric's own filters move inside its
+    aggregates, and a group none of whose rows pass them gives no row, as if filtered before.
     Values are decimal(38,6), the type of the process marts.
     """
-    bases = {(m.base, m.dimensions if grain == "declared" else ()) for m in metrics}
-    if len(bases) != 1:
-        raise MetricError("metrics evaluated together must share base and dimensions")
-    keys = [] if grain == "total" else [
-        (DIMENSIONS[d].key, BINDINGS[metrics[0].base][d]) for d in metrics[0].dimensions]
+    if len({m.base for m in metrics}) != 1:
+        raise MetricError("metrics evaluated together must share their base")
+    bound = BINDINGS[metrics[0].base]
+    dims = list(dict.fromkeys(d for m in metrics for d in m.dimensions)) if "declared" in grains else []
+    keys = [DIMENSIONS[d].key for d in dims]
+    sets = list(dict.fromkeys(m.dimensions for m in metrics)) if "declared" in grains else []
+    if "total" in grains and () not in sets:
+        sets.append(())
     aggs = []
     for n, m in enumerate(metrics):
         check(m, fact)
@@ -337,28 +340,40 @@ def together(metrics: Sequence[Metric], fact: DataFrame, grain: str = "declared"
             aggs.append(AGGS[side.agg](c).alias(f"{name}{n}"))
         seen = F.count(F.lit(1)) if own is None else F.count_if(own)
         aggs.append(seen.alias(f"seen{n}"))
-    cols = [F.col(c).alias(k) for k, c in keys]
-    folded = fact.groupBy(*cols).agg(*aggs) if cols else fact.agg(*aggs)
+    if len(sets) == 1:
+        # one grain needs no grouping sets
+        cols = [F.col(bound[d]).alias(k) for d, k in zip(dims, keys, strict=True)]
+        folded = (fact.groupBy(*cols).agg(*aggs) if cols else fact.agg(*aggs)).withColumn("_set", F.lit(0))
+        number = {sets[0]: 0}
+    else:
+        named = fact.select("*", *[F.col(bound[d]).alias(f"_by_{d}") for d in dims])
+        by = [f"_by_{d}" for d in dims]
+        folded = named.groupingSets([[F.col(f"_by_{d}") for d in s] for s in sets], *by).agg(
+            F.grouping_id(*by).alias("_set"), *aggs)
+        folded = folded.withColumnsRenamed(dict(zip(by, keys, strict=True)))
+        # a bit for each dimension that a set leaves out
+        number = {s: sum(1 << (len(dims) - 1 - i) for i, d in enumerate(dims) if d not in s) for s in sets}
     wide = "decimal(38,6)"
-    rows = F.array(*[
-        F.struct(
-            F.lit(m.name).alias("metric_name"), F.lit(m.status).alias("metric_status"),
-            F.col(f"num{n}").cast(wide).alias("numerator"),
-            F.col(f"den{n}").cast(wide).alias("denominator"),
-            ratio(F.col(f"num{n}"), F.col(f"den{n}")).alias("metric_value"),
-            F.col(f"seen{n}").alias("_seen"))
-        for n, m in enumerate(metrics)])
-    out = folded.select(*[k for k, _ in keys], F.explode(rows).alias("r")).select(
-        *[k for k, _ in keys], "r.*")
-    return (out if grain == "total" else out.where("_seen > 0")).drop("_seen")
-
-
-def by_base(metrics: Sequence[Metric], split_dimensions: bool) -> list[list[Metric]]:
+
+    def row(n: int, m: Metric, grain: str) -> Column:
+        here = F.col("_set") == number[m.dimensions if grain == "declared" else ()]
+        seen = F.lit(True) if grain == "total" else F.col(f"seen{n}") > 0
+        return F.when(here & seen, F.struct(
+            F.lit(m.name).alias("metric_name"), F.lit(m.status).alias("metric_status"), F.lit(grain).alias("grain"),
+            F.col(f"num{n}").cast(wide).alias("numerator"), F.col(f"den{n}").cast(wide).alias("denominator"),
+            ratio(F.col(f"num{n}"), F.col(f"den{n}")).alias("metric_value")))
+
+    rows = F.explode(F.array_compact(F.array(*[row(n, m, g) for g in grains for n, m in enumerate(metrics)])))
+    out = folded.select(*keys, rows.alias("r")).select(*keys, "r.*")
+    return out if len(grains) > 1 else out.drop("grain")
+
+
+def by_base(metrics: Sequence[Metric]) -> list[list[Metric]]:
     """Metrics that can share one pass, in order of first appearance."""
-    groups: dict = {}
+    groups: dict[str, list[Metric]] = {}
     for m in metrics:
         if not m.is_blocked:
-            groups.setdefault((m.base, m.dimensions if split_dimensions else ()), []).append(m)
+            groups.setdefault(m.base, []).append(m)
     return list(groups.values())
 
 
@@ -490,19 +505,25 @@ class Catalog:
         dims = {d.model: self.model(d.model, None) for d in DIMENSIONS.values() if d.name in used}
         return ask(m, self.model(m.base, columns_of(m)), dims, **kw)
 
-    def _pass(self, group: Sequence[Metric], grain: str) -> DataFrame:
-        need = set().union(*[columns_of(m) for m in group])
-        return together(group, self.model(group[0].base, need), grain)
+    def _passes(self, names: Sequence[str], grains: Sequence[str]) -> DataFrame:
+        """One pass over each fact that the metrics stand on."""
+        parts = []
+        for group in by_base([self.metrics[n] for n in names]):
+            need = set().union(*[columns_of(m) for m in group])
+            parts.append(together(group, self.model(group[0].base, need), grains))
+        return _stack(parts)
 
     def rows(self, names: Sequence[str]) -> DataFrame:
         """Long rows of several metrics at their declared dimensions, keys padded."""
-        groups = by_base([self.metrics[n] for n in names], True)
-        return _stack([self._pass(g, "declared") for g in groups])
+        return self._passes(names, ["declared"])
 
     def totals(self, names: Sequence[str]) -> DataFrame:
-        """Each metric over its whole fact: one pass per fact."""
-        groups = by_base([self.metrics[n] for n in names], False)
-        return _stack([self._pass(g, "total") for g in groups])
+        """Each metric over its whole fact."""
+        return self._passes(names, ["total"])
+
+    def rows_and_totals(self, names: Sequence[str]) -> DataFrame:
+        """Both, told apart by ``grain``, from the same pass. A fact without rows gives neither."""
+        return self._passes(names, ["declared", "total"])
 
 
 def _stack(parts: Sequence[DataFrame]) -> DataFrame:

@@ -63,7 +63,8 @@ class Models:
 
     @cached_property
     def dim_customer(self) -> DataFrame:
-        best = match.best_customer_match(self.i.company, self.i.bpcustomer)
+        # the dimension reads the matches twice
+        best = stored(match.best_customer_match(self.i.company, self.i.bpcustomer), "matches")
         return dims.dim_customer(self.i.bpcustomer, self.i.bpartner, self.i.company, best,
                                  self.i.represent, self.policy)
 

@@ -308,12 +308,23 @@ def mart_all(i):
         F.count(F.lit(1)).alias("metric_rows"))
 
 
-@query("registry_totals", "\nunion all\n".join(
-    f"select '{n}' as metric_name, '{m.label}' as metric_label, "
-    f"{'false' if n == 'cost_per_order' else 'true'} as is_reaggregatable, metric_value "
-    f"from ({metric_sql(n, {})})" for n, m in sorted(METRICS.items())), store_lines=True)
+#: The definitions as DuckDB reads them: an account of the registry that shares no code with the library.
+REGISTRY_SQL = f"""
+select name as metric_name, label as metric_label, status, coalesce(is_data_quality, false) as is_data_quality,
+  base_model, grain, coalesce(owner, 'TBD') as owner, coalesce(owner_proposed, '') as owner_proposed, format, direction,
+  status <> 'blocked' and numerator->>'agg' in ('sum', 'count') and denominator->>'agg' in ('sum', 'count')
+    as is_reaggregatable,
+  case when status <> 'blocked' then 'mtr_' || name end as sql_model, description, blocked_reason
+from read_json('{marts.DEFINITIONS}/*.json', columns = {{name: 'varchar', label: 'varchar', status: 'varchar',
+  is_data_quality: 'boolean', base_model: 'varchar', grain: 'varchar', owner: 'varchar', owner_proposed: 'varchar',
+  format: 'varchar', direction: 'varchar', numerator: 'json', denominator: 'json', description: 'varchar',
+  blocked_reason: 'varchar'}})"""
+
+
+@query("registry_totals", f"select r.*, t.metric_value from ({REGISTRY_SQL}) r join (" + " union all ".join(
+    f"select '{n}' as metric_name, metric_value from ({metric_sql(n, {})})" for n in sorted(METRICS))
+    + ") t using (metric_name)", store_lines=True)
 def registry_totals(i):
-    """The registry with each metric's overall value beside it."""
+    """The whole registry with each metric's overall value beside it."""
     values = Models(i).catalog().totals(list(METRICS)).select("metric_name", "metric_value")
-    return registry_df(i.spark, METRICS).join(values, "metric_name").select(
-        "metric_name", "metric_label", "is_reaggregatable", "metric_value")
+    return registry_df(i.spark, METRICS).join(values, "metric_name")
