@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..session import scratch
 from ..sources import landing, publish
 from ..sources.catalog import TableSpec, table_spec
-from ..sources.contract import check_drift, drift_frame, drift_impact, freeze
+from ..sources.contract import check_drift, contract_schema, drift_frame, drift_impact, freeze
 from ..streaming import jobs
 from .inputs import Inputs, tag
 from .models import Models
@@ -106,17 +106,50 @@ def project_replace(i):
     p = i.raw("part")
     landing.land(p, root, PARTS, "0001", DAY1)
     landing.land(p.where("p_partkey % 5 <> 0"), root, PARTS, "0002", DAY2)
-    return landing.project(landing.scan_landing(i.spark, root, PARTS), PARTS)
+    return landing.current(i.spark, root, PARTS)
+
+
+@query("project_replace_late", "select * from part where p_partkey % 5 <> 0")
+def project_replace_late(i):
+    """The newest load lies in the older folder, and was landed twice."""
+    root = scratch(i.spark, "landing")
+    p = i.raw("part")
+    landing.land(p, root, PARTS, "0001", DAY2)
+    for _ in range(2):
+        landing.land(p.where("p_partkey % 5 <> 0"), root, PARTS, "0002", DAY1)
+    return landing.current(i.spark, root, PARTS, p.schema)
 
 
 @query("landing_status", """
-select 'orders' as table_name, (select count(*) from orders) + (select count(*) from orders
+select 'erp' as source_name, 'orders' as table_name, (select count(*) from orders) + (select count(*) from orders
     where o_orderdate >= timestamp '2000-01-01') as rows, 2 as load_packages, 2 as load_dates,
-  date '2024-01-01' as first_load_date, date '2024-01-02' as last_load_date""")
+  date '2024-01-01' as first_load_date, date '2024-01-02' as last_load_date,
+  (select max(o_orderdate)::date from orders) as high_water_mark
+union all
+select 'planning', 'part', (select count(*) from part), 1, 1, date '2024-01-02', date '2024-01-02', null
+union all
+select 'erp', 'customer', 0, 0, 0, null, null, null""")
 def landing_status(i):
-    root, schema = _land_orders(i)
-    return landing.landing_status({
-        "orders": landing.scan_landing(i.spark, root, ORDERS, schema)})
+    """Two packages of the orders, one landed twice of the parts, which have no cursor, none of the customers."""
+    root, _ = _land_orders(i)
+    for _ in range(2):
+        landing.land(i.raw("part"), root, PARTS, "20240102T000000", DAY2)
+    return landing.landing_status(landing.ledger(i.spark, root), [
+        ORDERS, PARTS, TableSpec("erp", "customer", "full_refresh", ("c_custkey",))])
+
+
+@query("land_again", """
+select date '2024-01-01' as load_date, count(*) as rows, 1 as load_packages from part""")
+def land_again(i):
+    """A package that is landed twice is there once; one that was lost on the way and comes under another date too."""
+    root = scratch(i.spark, "landing")
+    p = i.raw("part")
+    lost = p.where("p_partkey % 3 = 0").withColumns({
+        "load_id": F.lit("0001"), "load_date": F.lit(DAY2), "package": F.lit("p-0001")})
+    lost.write.partitionBy("load_date", "package").parquet(landing.landing_path(root, PARTS))
+    for _ in range(2):
+        landing.land(p, root, PARTS, "0001", DAY1)
+    return landing.rows_by_load_date(landing.scan_landing(i.spark, root, PARTS, p.schema))
 
 
 @query("file_drop", """
@@ -137,6 +170,34 @@ def file_drop(i):
     return landing.read_latest_drop(i.spark, folder, "employee", dt.date(2024, 1, 3))
 
 
+@query("file_drop_breaks", """
+select cast(c_custkey as varchar) as employee_code, c_name || chr(10) || '"' || c_mktsegment || '"' || chr(10) || ', end'
+  as note, case when c_custkey % 4 > 0 then c_name end as label from customer""")
+def file_drop_breaks(i):
+    """A drop with quotes and line breaks in its fields, read in ranges."""
+    folder = scratch(i.spark, "drop")
+    note = F.concat("c_name", F.lit('\n"'), "c_mktsegment", F.lit('"\n, end'))
+    rows = i.raw("customer").select(
+        F.col("c_custkey").cast("string").alias("employee_code"), note.alias("note"),
+        F.when(F.col("c_custkey") % 4 > 0, F.col("c_name")).alias("label"))
+    rows.coalesce(1).write.option("header", True).option("escape", '"').csv(f"{folder}/EMPLOYEE_20240102.csv")
+    return landing.read_latest_drop(i.spark, folder, "employee", dt.date(2024, 1, 3))
+
+
+@query("contract_read", """
+select c_custkey, c_name, cast(c_acctbal as decimal(15,2)) as c_acctbal, cast(null as varchar) as c_note,
+  cast(null as date) as c_since from customer""")
+def contract_read(i):
+    """Customers read by a contract that names types, and columns their files do not have yet."""
+    contract = {"erp": {"customer": {
+        "c_custkey": "bigint", "c_name": "text", "c_acctbal": {"data_type": "decimal", "precision": 15, "scale": 2},
+        "c_note": "text", "c_since": "date"}}}
+    path = scratch(i.spark, "customer")
+    i.raw("customer").select("c_custkey", "c_name", F.col("c_acctbal").cast("decimal(15,2)").alias("c_acctbal"),
+                             "c_nationkey").write.parquet(path)
+    return landing.read_full(i.spark, path, contract_schema(contract, "erp", "customer"))
+
+
 @query("drift", """
 select 'erp' as source_name, 'customer' as table_name, * from (
   select 'c_acctbal' as column_name, 'lost' as change, count(c_acctbal) as values_affected
@@ -239,8 +300,8 @@ def lossless_two_paths(i):
         spec = TableSpec("erp", name, "full_refresh", ())
         landing.land(df.limit(0), archive, spec, "0001", DAY1)
         landing.land(df, archive, spec, "0002", DAY2)
-        publish.publish(landing.project(landing.scan_landing(i.spark, archive, spec, df.schema),
-                                        spec), f"raw_{name}", "parquet", f"{current}/{name}.parquet")
+        publish.publish(landing.current(i.spark, archive, spec, df.schema), f"raw_{name}", "parquet",
+                        f"{current}/{name}.parquet")
     rows = [Models(inputs).catalog().metric("cost_per_shipment")
             for inputs in (i, Inputs(i.spark, current))]
     differing = lossless(*rows).agg(F.count(F.lit(1)).alias("differing_rows"))

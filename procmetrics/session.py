@@ -10,6 +10,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -62,6 +63,18 @@ def shared_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def is_there(spark: SparkSession, path: str) -> bool:
+    """Whether something was written at ``path``."""
+    try:
+        spark.read.schema("value string").text(path)
+    except AnalysisException as e:
+        # every other error is one
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A new folder name under the shared folder, never used before."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"

@@ -1,8 +1,9 @@
 """Extract windows, the append-only landing archive, and its projections.
 
-The archive is Parquet under ``<root>/<source>/<table>/load_date=…``; each load
-package carries one ``load_id`` that sorts by time. Nothing in it is rewritten.
-Current-state tables are projections of it and are published as new version
+The archive is Parquet under ``<root>/<source>/<table>/load_date=…/package=…``; each load
+package carries one ``load_id`` that sorts by time. A ledger beside the tables holds one row per
+package, written once the package is complete: a package without a row is not read, and one with a row is not
+landed again. Nothing else is rewritten. Current-state tables are projections of it and are published as new version
 folders, so a table that is being read is never overwritten.
 """
 
@@ -16,6 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import is_there
+from . import drops
 from .catalog import TableSpec
 from .contract import BOOKKEEPING
 
@@ -122,8 +125,7 @@ def read_latest_drop(
     age = (as_of - day).days
     if age > max_age_days:
         raise StaleExportError(f"{newest.path} is {age} days old, limit {max_age_days}")
-    # without inference every CSV column is read as text; empty reads as null
-    return spark.read.option("header", True).option("escape", '"').csv(newest.path)
+    return drops.read_csv(spark, newest.path)
 
 
 # ------------------------------------------------------------- watermarks
@@ -167,20 +169,53 @@ def late_window(mark: Column, lookback_days: int) -> Column:
 # ---------------------------------------------------------------- archive
 
 
-_LOAD_DATE = re.compile(r"/load_date=(\d{4}-\d\d-\d\d)/")
+LEDGER = ("source_name string, table_name string, load_id string, load_date date, rows bigint, "
+          "high_water_mark date")
+STATUS = ("source_name string, table_name string, rows bigint, load_packages bigint, load_dates bigint, "
+          "first_load_date date, last_load_date date, high_water_mark date")
 
 
 def landing_path(root: str, spec: TableSpec) -> str:
     return f"{root}/{spec.source}/{spec.name}"
 
 
+def ledger(spark: SparkSession, root: str, spec: TableSpec | None = None) -> DataFrame:
+    """One row per complete package, of one table or of all: its id, date, rows and newest cursor value."""
+    path = f"{root}/load_ledger"
+    if not is_there(spark, path):
+        return spark.createDataFrame([], LEDGER)
+    # a package whose row was written twice counts once
+    rows = spark.read.schema(LEDGER).parquet(path).dropDuplicates(["source_name", "table_name", "load_id"])
+    return rows if spec is None else rows.where(
+        (F.col("source_name") == spec.source) & (F.col("table_name") == spec.name))
+
+
+def _package(load_id: str) -> str:
+    return f"p-{load_id}"
+
+
 def land(df: DataFrame, root: str, spec: TableSpec, load_id: str, load_date: dt.date) -> str:
-    """Append one load package; values are kept as they came."""
-    path = landing_path(root, spec)
+    """Append one load package; values are kept as they came.
+
+    Landing a package again changes nothing, whether it was complete (the ledger has it, and it is left as it is) or was lost
+    on the way (its folder is written anew; what an earlier attempt left under another date has no row and is not read).
+    """
+    spark, path = df.sparkSession, landing_path(root, spec)
+    if not ledger(spark, root, spec).where(F.col("load_id") == load_id).isEmpty():
+        return path
+    (
+        df.withColumns({"load_id": F.lit(load_id), "load_date": F.lit(load_date), "package": F.lit(_package(load_id))})
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load_date", "package").parquet(path)
+    )
+    mark = spec.cursor_column if spec.cursor_column in df.columns else None
+    counted = [F.count(F.lit(1)).alias("rows"),
+               (F.max(F.col(mark).cast("date")) if mark else F.lit(None).cast("date")).alias("high_water_mark")]
+    own = f"{path}/load_date={load_date}/package={_package(load_id)}"
+    written = (spark.read.schema(df.schema).parquet(own) if is_there(spark, own) else spark.createDataFrame([], df.schema)).agg(*counted)
     (
-        df.withColumn("load_id", F.lit(load_id))
-        .withColumn("load_date", F.lit(load_date))
-        .write.mode("append").partitionBy("load_date").parquet(path)
+        written.select(F.lit(spec.source).alias("source_name"), F.lit(spec.name).alias("table_name"),
+                       F.lit(load_id).alias("load_id"), F.lit(load_date).alias("load_date"), "rows", "high_water_mark")
+        .coalesce(1).write.mode("append").parquet(f"{root}/load_ledger")
     )
     return path
 
@@ -191,8 +226,9 @@ def scan_landing(
     spec: TableSpec,
     schema: T.StructType | None = None,
     since: dt.date | None = None,
+    load_id: str | None = None,
 ) -> DataFrame:
-    """All packages, united by column name; ``since`` prunes load_date folders.
+    """All complete packages, united by column name; ``since`` prunes load_date folders, ``load_id`` leaves one package.
 
     A pinned schema saves reading every footer; without one the footers are
     merged.
@@ -201,31 +237,43 @@ def scan_landing(
     if schema is not None:
         reader = reader.schema(
             T.StructType(schema.fields + [T.StructField("load_id", T.StringType()),
-                                          T.StructField("load_date", T.DateType())])
+                                          T.StructField("load_date", T.DateType()),
+                                          T.StructField("package", T.StringType())])
         )
     else:
         reader = reader.option("mergeSchema", True)
     df = reader.parquet(landing_path(root, spec))
-    return df if since is None else df.where(F.col("load_date") >= F.lit(since))
-
-
-def newest_folder(df: DataFrame) -> DataFrame:
-    """The rows in the newest ``load_date`` folder, told from the folders' names; all rows where there are none."""
-    dates = {m[1] for f in df.inputFiles() if (m := _LOAD_DATE.search(f))}
-    return df.where(F.col("load_date") == F.lit(dt.date.fromisoformat(max(dates)))) if dates else df
-
-
-def project_replace(df: DataFrame) -> DataFrame:
-    """Rows of the newest load only.
-
-    The newest load is in the newest folder, so older packages are not opened. The
-    newest id in there is one row, so it is broadcast.
+    done = ledger(spark, root, spec)
+    if load_id is not None:
+        # one package: its folders are all that is listed against
+        one = done.where(F.col("load_id") == load_id).first()
+        df = df.where((F.col("load_date") == F.lit(one.load_date)) & (F.col("package") == _package(load_id)))
+        return df.drop("package")
+    if since is not None:
+        df = df.where(F.col("load_date") >= F.lit(since))
+    # as many rows as there are packages
+    known = done.select(F.col("load_date").alias("_date"), F.concat(F.lit(_package("")), "load_id").alias("_package"))
+    on = [F.col("load_date") == F.col("_date"), F.col("package") == F.col("_package")]
+    return df.join(known, on, "left_semi").drop("package")
+
+
+def newest_load(spark: SparkSession, root: str, spec: TableSpec) -> str | None:
+    """The highest load id among the packages with rows, read off the ledger."""
+    return ledger(spark, root, spec).where("rows > 0").agg(F.max("load_id").alias("m")).first().m
+
+
+def project_replace(df: DataFrame, newest: str | None = None) -> DataFrame:
+    """Rows of the newest load only, in whatever folder it lies.
+
+    ``newest`` is its id, from the ledger, if ``df`` holds more than that load; an id that the caller does not have
+    is looked for in the rows. It is one row, so it is broadcast.
     """
-    df = newest_folder(df)
-    newest = df.agg(F.max("load_id").alias("_newest"))
-    return df.join(F.broadcast(newest), F.col("load_id") == F.col("_newest")).drop(
-        "_newest", *BOOKKEEPING
-    )
+    if newest is None:
+        top = df.agg(F.max("load_id").alias("_newest"))
+        df = df.join(F.broadcast(top), F.col("load_id") == F.col("_newest")).drop("_newest")
+    else:
+        df = df.where(F.col("load_id") == newest)
+    return df.drop(*BOOKKEEPING)
 
 
 def project_merge(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -249,19 +297,33 @@ def project(df: DataFrame, spec: TableSpec) -> DataFrame:
         df, spec.primary_key)
 
 
-def landing_status(loads: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows, load packages, first and last load date per landed table."""
-    out = None
-    for name, df in loads.items():
-        one = df.agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.countDistinct("load_id").alias("load_packages"),
-            F.countDistinct("load_date").alias("load_dates"),
-            F.min("load_date").alias("first_load_date"),
-            F.max("load_date").alias("last_load_date"),
-        ).select(F.lit(name).alias("table_name"), "*")
-        out = one if out is None else out.unionByName(one)
-    return out
+def current(spark: SparkSession, root: str, spec: TableSpec, schema: T.StructType | None = None) -> DataFrame:
+    """The table as its packages leave it; of a replace table only the newest package is opened."""
+    if spec.disposition != "replace":
+        return project_merge(scan_landing(spark, root, spec, schema), spec.primary_key)
+    newest = newest_load(spark, root, spec)
+    return project_replace(scan_landing(spark, root, spec, schema, load_id=newest), newest)
+
+
+def landing_status(loads: DataFrame, specs: Iterable[TableSpec]) -> DataFrame:
+    """Rows, load packages, first and last load date and watermark of every table, landed or not.
+
+    ``loads`` is the ledger; the archive itself is not opened. A table never landed has no rows and no dates, one without a
+    cursor column, or whose cursor was never filled, has no watermark.
+    """
+    spark = loads.sparkSession
+    every = spark.createDataFrame([(s.source, s.name) for s in specs], "source_name string, table_name string")
+    known = loads.groupBy("source_name", "table_name").agg(
+        F.sum("rows").alias("rows"),
+        F.count_distinct("load_id").alias("load_packages"),
+        F.count_distinct("load_date").alias("load_dates"),
+        F.min("load_date").alias("first_load_date"),
+        F.max("load_date").alias("last_load_date"),
+        F.max("high_water_mark").alias("high_water_mark"),
+    )
+    names = T.StructType.fromDDL(STATUS).names
+    return every.join(known, ["source_name", "table_name"], "left").fillna(
+        0, ["rows", "load_packages", "load_dates"]).select(*names)
 
 
 def rows_by_load_date(df: DataFrame) -> DataFrame:
@@ -322,6 +384,6 @@ def project_all(
 ) -> dict[str, DataFrame]:
     """Lazy current-state frames for every spec; publishing is the caller's step."""
     return {
-        s.name: project(scan_landing(spark, root, s, (schemas or {}).get(s.name)), s)
+        s.name: current(spark, root, s, (schemas or {}).get(s.name))
         for s in specs
     }

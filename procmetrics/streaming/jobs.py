@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.events import DELIVERED, EXCEPTION, MILESTONES, SCAN
+from ..session import is_there
 
 #: Buckets of a target by the hash of its key, a partition column. A batch rewrites the buckets it has keys of, no others.
 BUCKETS = 32
@@ -34,17 +34,6 @@ def file_stream(spark: SparkSession, folder: str, schema: T.StructType, glob: st
     return r.parquet(folder)
 
 
-def _is_there(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.schema("value string").text(path)
-    except AnalysisException as e:
-        # nothing was written yet; every other error is one
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-    return True
-
-
 def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     stamps = T.StructType.fromDDL(STAMP)
     return spark.read.schema(T.StructType([*schema.fields, *stamps.fields])).parquet(path)
@@ -52,7 +41,7 @@ def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 def read_current(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
     """The newest row per key. To be read between batches: a swap replaces one bucket after the other."""
-    if not _is_there(spark, target):
+    if not is_there(spark, target):
         return spark.createDataFrame([], schema)
     return _stored(spark, target, schema).select(*schema.names)
 
@@ -80,7 +69,7 @@ def upsert_batches(target: str, keys: Sequence[str], order: Sequence[str], check
         spark, schema = batch.sparkSession, batch.schema
         run = _run_of(spark, checkpoint)
         staged = None
-        if _is_there(spark, f"{staging}/_SUCCESS"):
+        if is_there(spark, f"{staging}/_SUCCESS"):
             stamp = _stored(spark, staging, schema).select("_run", "_batch").first()
             staged = stamp and (stamp._run, stamp._batch)
         if staged != (run, batch_id):
@@ -92,7 +81,7 @@ def upsert_batches(target: str, keys: Sequence[str], order: Sequence[str], check
                 batch.unpersist()
                 return
             every = batch.withColumn("_late", F.lit(1))
-            if _is_there(spark, target):
+            if is_there(spark, target):
                 prior = _stored(spark, target, schema).where(F.col("_bucket").isin(touched))
                 every = every.unionByName(prior.drop("_run", "_batch").withColumn("_late", F.lit(0)))
             rest = [c for c in schema.names if c not in keys]

@@ -175,19 +175,87 @@ def test_seeds_keep_their_types(spark):
     assert publish.load_seed(spark, "legal_suffix").where("note is not null").count() == 2
 
 
-def test_projection_opens_the_newest_folder_only(spark):
+def test_projection_opens_the_newest_package_only(spark):
     root, spec = scratch(spark, "archive"), catalog.table_spec("erp", "COMPANY")
     for day in range(1, 9):
         rows = spark.createDataFrame([(f"C{i}", day) for i in range(day)], "CPY_0 string, n int")
         landing.land(rows, root, spec, f"L{day:03d}", dt.date(2024, 1, day))
-    df = landing.scan_landing(spark, root, spec)
-    got = landing.project_replace(df)
+    got = landing.current(spark, root, spec)
     assert {(r.CPY_0, r.n) for r in got.collect()} == {(f"C{i}", 8) for i in range(8)}
-    assert landing.newest_folder(df).rdd.getNumPartitions() <= 8
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("load_date") and "2024-01-08" in plan
 
 
+def test_the_newest_load_counts_not_the_newest_folder(spark):
+    root = scratch(spark, "archive")
+    spec = catalog.TableSpec("planning", "t", "snapshot", ("id",))
+    landing.land(spark.createDataFrame([(1, "old", None)], COLS), root, spec, "load-1", D(2024, 1, 2))
+    landing.land(spark.createDataFrame([(1, "new", None)], COLS), root, spec, "load-2", D(2024, 1, 1))
+    landing.land(spark.createDataFrame([], COLS), root, spec, "load-3", D(2024, 1, 3))
+    assert landing.newest_load(spark, root, spec) == "load-2"
+    assert [r.v for r in landing.current(spark, root, spec).collect()] == ["new"]
+    assert {r.v for r in landing.project_replace(landing.scan_landing(spark, root, spec)).collect()} == {"new"}
+
+
+def test_a_package_is_landed_once(spark):
+    root = scratch(spark, "archive")
+    a = spark.createDataFrame([(1, "a", D(2024, 1, 1)), (2, "b", D(2024, 1, 5))], COLS)
+    for _ in range(3):
+        landing.land(a, root, SPEC, "1", D(2024, 1, 6))
+    # complete: a later attempt with other rows is no new package
+    landing.land(a.where("id = 1"), root, SPEC, "1", D(2024, 1, 7))
+    assert landing.scan_landing(spark, root, SPEC, a.schema).count() == 2
+    # lost before its row was written: not read, and replaced by the next attempt
+    (a.withColumns({"load_id": F.lit("2"), "load_date": F.lit(D(2024, 1, 7)), "package": F.lit("p-2")})
+     .write.mode("append").partitionBy("load_date", "package").parquet(landing.landing_path(root, SPEC)))
+    assert landing.scan_landing(spark, root, SPEC, a.schema).count() == 2
+    landing.land(a.where("id = 2"), root, SPEC, "2", D(2024, 1, 7))
+    assert sorted(r.load_id for r in landing.scan_landing(spark, root, SPEC).collect()) == ["1", "1", "2"]
+    # a ledger row that was written twice counts once
+    landing.ledger(spark, root).where("load_id = '2'").write.mode("append").parquet(f"{root}/load_ledger")
+    status = landing.landing_status(landing.ledger(spark, root), [SPEC]).first()
+    assert status[:] == ("erp", "t", 3, 2, 2, D(2024, 1, 6), D(2024, 1, 7), D(2024, 1, 5))
+
+
+def test_status_reads_the_ledger_alone(spark):
+    root = scratch(spark, "archive")
+    rows = [("erp", "t", f"{n:03d}", D(2024, 1, 1) + dt.timedelta(days=n // 2), n, None if n < 3 else D(2023, 1, n % 28 + 1))
+            for n in range(100)]
+    spark.createDataFrame(rows, landing.LEDGER).write.parquet(f"{root}/load_ledger")
+    other = catalog.TableSpec("crm", "never", "full_refresh", ("id",))
+    got = {r.table_name: r[2:] for r in landing.landing_status(landing.ledger(spark, root), [SPEC, other]).collect()}
+    assert got == {"t": (4950, 100, 50, D(2024, 1, 1), D(2024, 2, 19), D(2023, 1, 28)),
+                   "never": (0, 0, 0, None, None, None)}
+    assert landing.ledger(spark, scratch(spark, "nothing")).count() == 0
+
+
+def test_quoted_line_breaks_in_ranges(spark, tmp_path):
+    """Records over several lines and several ranges, against the csv module."""
+    import csv
+
+    rnd = random.Random(4)
+    words = ["plain", 'say "so"', "two\nlines", "a, b", "", '"', "\n\n", "end\n" * 40, "ä"]
+    rows = [[str(n), rnd.choice(words), rnd.choice(words) + rnd.choice(words)] for n in range(700)]
+    folder = tmp_path / "drop" / "EMPLOYEE_20240103.csv"
+    folder.mkdir(parents=True)
+    for part, end in enumerate(("\n", "\r\n")):
+        with open(folder / f"part-{part}.csv", "w", newline="") as fh:
+            out = csv.writer(fh, lineterminator=end)
+            out.writerow(["id", "note", "more"])
+            out.writerows(rows[part::2])
+    want = sorted((a, b or None, c or None) for a, b, c in rows)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("128m", "2k", "300"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            got = landing.read_latest_drop(spark, str(tmp_path / "drop"), "employee", D(2024, 1, 3))
+            assert sorted(tuple(r) for r in got.collect()) == want
+            lines = spark.read.option("lineSep", "\n").text(str(folder))
+            assert (lines.rdd.getNumPartitions() > 10) == (size != "128m")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_stream_restart_goes_on_where_it_stopped(spark):
     folder, target, mark = (scratch(spark, n) for n in ("in", "out", "mark"))
     schema = T.StructType.fromDDL("id int, n int, v string")
