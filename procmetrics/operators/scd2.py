@@ -57,3 +57,9 @@ def snapshot_scd2(
     new = opened.join(was, had_key, "left").where(
         F.col("_was").isNull() | ~F.struct(*check_cols).eqNullSafe(F.col("_was")))
     return closed.unionByName(kept).unionByName(new.select(*history.columns))
+
+
+def snapshot(name: str, current: DataFrame, history: DataFrame | None, as_of: dt.date) -> DataFrame:
+    """One more look at a table whose history is declared in ``SNAPSHOTS``: its key and its checked columns are kept."""
+    key, checked = SNAPSHOTS[name]
+    return snapshot_scd2(current.select(*key, *checked), history, key, checked, as_of)

@@ -258,6 +258,23 @@ def publish_layers(i):
         F.broadcast(counted(files, "as_parquet")))
 
 
+@query("publish_bucketed", """
+select sales_order_number, sales_order_line_number, q.ordered_qty, l.line_net_amount, d.invoiced_amount
+from sorderq q join sorderp l using (sales_order_number, sales_order_line_number)
+left join (select sales_order_number, sales_order_line_number, sum(line_net_amount) as invoiced_amount
+           from sinvoiced group by 1, 2) d using (sales_order_number, sales_order_line_number)""")
+def publish_bucketed(i):
+    """Order lines, their prices and invoice lines published in buckets of the line key; joined and folded without a shuffle."""
+    key = ("sales_order_number", "sales_order_line_number")
+    name = scratch(i.spark, "lines").rsplit("/", 1)[1].replace("-", "_")
+    quantity, price, invoiced = (
+        publish.publish(df.select(*key, *rest), f"{name}_{n}", "table", scratch(i.spark, "bucketed"), bucket_by=key, buckets=8)
+        for n, df, rest in (("q", i.sorderq, ["ordered_qty"]), ("p", i.sorderp, ["line_net_amount"]),
+                            ("d", i.sinvoiced, ["line_net_amount"])))
+    folded = invoiced.groupBy(*key).agg(F.sum("line_net_amount").alias("invoiced_amount"))
+    return quantity.join(price.hint("merge"), list(key)).join(folded.hint("merge"), list(key), "left")
+
+
 @query("seed_crosswalk", """
 select c_custkey, coalesce(p, 'none') as paycom_location_code from customer left join (values
   (0, 'DAL-01'), (1, 'RNO-01'), (2, 'TOR-01')) t(n, p) on n = c_nationkey""")

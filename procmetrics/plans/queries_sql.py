@@ -472,6 +472,21 @@ def hll_rollup(i):
         "exact_customers", (gap <= F.col("exact_customers") * 0.05).alias("within_5_pct"))
 
 
+@query("stage_raw", """
+select c_custkey as part_key, c_acctbal as balance, strftime(date '1992-01-01' + cast(c_custkey % 9 as int), '%Y-%m-%d')
+  as seen_at, c_custkey % 2 = 0 as is_even from customer""")
+def stage_raw(i):
+    """Columns of types that no cleaning rule is for go through as they are, beside cleaned ones."""
+    k = F.col("c_custkey")
+    df = i.raw("customer").select(
+        k.alias("PARTKEY_0"), F.col("c_acctbal").cast("double").alias("BAL_0"),
+        F.to_timestamp(F.date_add(F.lit(dt.date(1992, 1, 1)), (k % 9).cast("int"))).alias("SEEN_0"), (k % 2 == 0).alias("EVEN_0"))
+    spec = staging.spec_for("erp", "CUSTOM", df.schema, {
+        "PARTKEY_0": "part_key", "BAL_0": "balance", "SEEN_0": "seen_at", "EVEN_0": "is_even"})
+    assert [s.kind for s in spec] == ["int", "raw", "raw", "bool"]
+    return staging.stage(df, spec).withColumn("seen_at", F.date_format("seen_at", "yyyy-MM-dd"))
+
+
 # ------------------------------------------------------------- windows
 
 

@@ -43,8 +43,15 @@ def load_seed(spark: SparkSession, name: str, path: str | None = None) -> DataFr
 
 
 def publish(df: DataFrame, name: str, kind: str = "view", path: str | None = None,
-            partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """``view``: a temporary view. ``parquet``: files at ``path``. ``table``: the catalog."""
+            partition_by: tuple[str, ...] = (), bucket_by: tuple[str, ...] = (), buckets: int = 0) -> DataFrame:
+    """``view``: a temporary view. ``parquet``: files at ``path``. ``table``: the catalog.
+
+    A table can be kept in ``buckets`` by the hash of ``bucket_by``, sorted by it: tables with the same number of buckets by
+    the same key are joined, and folded by that key, without a shuffle. Choose the number so that a bucket
+    of the largest table is one task's work.
+    """
+    if bucket_by and (kind != "table" or buckets < 1):
+        raise ValueError("only tables have buckets, and they need a number of them")
     spark = df.sparkSession
     if kind == "view":
         df.createOrReplaceTempView(name)
@@ -60,6 +67,10 @@ def publish(df: DataFrame, name: str, kind: str = "view", path: str | None = Non
         back.createOrReplaceTempView(name)
         return back
     if kind == "table":
+        if bucket_by:
+            # one task a bucket, so that a bucket is one file
+            writer = df.repartition(buckets, *bucket_by).write.mode("overwrite")
+            writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
         if path:
             writer = writer.option("path", path)
         writer.saveAsTable(name)
