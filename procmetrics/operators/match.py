@@ -247,6 +247,73 @@ def best_customer_match(
     )
 
 
+def candidate_tiers(
+    companies: DataFrame,
+    customers: DataFrame,
+    suffixes: Sequence[str] = K.LEGAL_SUFFIXES,
+    min_stem: int = K.MIN_STEM,
+) -> DataFrame:
+    """What ``customer_xref`` lists, by counts: the tiers of each company's candidates, without forming a pair.
+
+    A tier holds the customers that the same probes lead to. Both sides are folded to classes of equal names; the customers
+    are counted once per key and per key with the core name, and a company class takes the sizes of its tiers from
+    at most seven of these counts, since equal names are equal in compact form too. So a core name
+    shared by a third of both sides gives one row per company, however many pairs there are. ``first_rank`` is the rank
+    of the tier's first candidate, its last one has ``first_rank + members - 1``.
+    """
+    comp, cust = company_keys(companies, suffixes), customer_keys(customers, suffixes)
+    classes = comp.select("u", "a", "c", "s").distinct()
+    lengths = stem_lengths(classes, "s", min_stem)
+    both = lambda key: F.concat_ws("\u0001", key, "c")
+
+    def counted(kinds: dict[str, Column]) -> Column:
+        return F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), v.alias("key")) for k, v in kinds.items()]))
+
+    def keys(prefix: Column) -> dict[str, Column]:
+        a, c = F.col("a"), F.col("c")
+        return {"u": F.col("u"), "a": a, "c": c, "uc": F.when(F.col("u").isNotNull() & c.isNotNull(), both(F.col("u"))),
+                "ac": F.when(a.isNotNull() & c.isNotNull(), both(a)),
+                "p": prefix, "pc": F.when(prefix.isNotNull() & c.isNotNull(), both(prefix))}
+
+    folded = cust.groupBy("u", "a", "c").agg(F.count(F.lit(1)).alias("n"))
+    # the five plain keys of a name, and two for each of its prefixes
+    none = F.lit(None).cast("string")
+    plain = folded.select("n", counted({k: v for k, v in keys(none).items() if k not in ("p", "pc")}).alias("k"))
+    prefixed = folded.join(F.broadcast(lengths)).withColumn("p", F.explode(F.transform(
+        F.filter("stem_lengths", lambda n: n <= F.length("a")), lambda n: F.substring(F.col("a"), F.lit(1), n))))
+    prefixed = prefixed.select("n", counted({k: v for k, v in keys(F.col("p")).items() if k in ("p", "pc")}).alias("k"))
+    nodes = plain.unionByName(prefixed).where("k.key is not null").groupBy("k.kind", "k.key").agg(F.sum("n").alias("n"))
+    stem = F.when(F.length("s") >= min_stem, F.col("s"))
+    asked = classes.select("*", counted(keys(stem)).alias("k")).select("u", "a", "c", "s", "k.*").where("key is not null")
+    kinds = ("u", "a", "c", "uc", "ac", "p", "pc")
+    wide = asked.join(nodes, ["kind", "key"]).groupBy("u", "a", "c", "s").agg(
+        *[F.coalesce(F.max(F.when(F.col("kind") == k, F.col("n"))), F.lit(0)).alias(f"n_{k}") for k in kinds])
+    n = {k: F.col(f"n_{k}") for k in kinds}
+    # whether the stem also leads to the names that are equal in compact form
+    inside = F.coalesce(F.col("a").startswith(stem), F.lit(False))
+    more = inside.cast("int")
+    same = F.col("a").isNotNull().cast("int")
+    sizes = [
+        # probe, probes that agree, members
+        ("exact_name", 2 + same + more, n["uc"]),
+        ("exact_name", 1 + same + more, n["u"] - n["uc"]),
+        ("alnum_name", 2 + more, n["ac"] - n["uc"]),
+        ("alnum_name", 1 + more, n["a"] - n["ac"] - (n["u"] - n["uc"])),
+        ("domain_stem", F.lit(2), n["pc"] - F.when(inside, n["ac"]).otherwise(0)),
+        ("domain_stem", F.lit(1), n["p"] - n["pc"] - F.when(inside, n["a"] - n["ac"]).otherwise(0)),
+        ("core_name", F.lit(1), n["c"] - n["pc"] - F.when(inside, F.lit(0)).otherwise(n["ac"])),
+    ]
+    tier = F.explode(F.array(*[F.struct(F.lit(m).alias("match_method"), agree.cast("int").alias("probes_agreeing"),
+                                        size.cast("bigint").alias("members")) for m, agree, size in sizes]))
+    tiers = wide.select("u", "a", "c", "s", tier.alias("t")).select("u", "a", "c", "s", "t.*").where("members > 0")
+    tiers = tiers.withColumn("confidence", _confidence(F.col("match_method"), CUSTOMER_PROBES))
+    # a class has seven tiers at most
+    along = W.partitionBy("u", "a", "c", "s").orderBy(F.desc("confidence"), F.desc("probes_agreeing"))
+    tiers = tiers.withColumn("first_rank", (1 + F.sum("members").over(along) - F.col("members")).cast("bigint"))
+    return comp.join(tiers, [comp[x].eqNullSafe(tiers[x]) for x in "uacs"]).select(
+        F.col("company_id").alias("crm_company_id"), "match_method", "confidence", "probes_agreeing", "members", "first_rank")
+
+
 # ------------------------------------------------- employee resolution
 
 

@@ -25,6 +25,15 @@ def customer_xref(i):
     return match.customer_xref(i.company, i.bpcustomer)
 
 
+@query("customer_xref_tiers", """
+select crm_company_id, match_method, confidence, probes_agreeing, count(*) as members,
+  min(candidate_rank) as first_rank
+from xref group by all""")
+def customer_xref_tiers(i):
+    """The candidate list by counts, without forming the pairs."""
+    return match.candidate_tiers(i.company, i.bpcustomer)
+
+
 @query("customer_xref_seed", "select * from xref")
 def customer_xref_seed(i):
     """The same with the legal forms of the packaged seed table."""

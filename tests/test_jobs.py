@@ -77,6 +77,30 @@ def test_customer_xref_equals_brute_force(spark, parts):
     assert best == {h: (c, v[0], v[4]) for (h, c), v in want.items() if v[3] == 1}
 
 
+def test_candidate_tiers_count_what_the_pairs_list(spark):
+    companies, customers = parties(spark)
+    want = {}
+    for (h, _), (method, conf, agree, rank, _) in brute_force(companies, customers).items():
+        n, first = want.get((h, method, conf, agree), (0, 10**9))
+        want[h, method, conf, agree] = n + 1, min(first, rank)
+    got = {(r.crm_company_id, r.match_method, float(r.confidence), r.probes_agreeing): (r.members, r.first_rank)
+           for r in match.candidate_tiers(companies, customers).collect()}
+    assert got == want
+
+
+def test_a_core_name_of_a_third_of_both_sides_gives_no_pairs(spark):
+    """10,000 names a side with one core: the tiers are one row a company, no step makes more rows than keys."""
+    side = spark.range(30_000).selectExpr("id", "if(id % 3 = 0, 'Acme', concat('Name', id)) as core",
+                                          "element_at(array('Inc', 'Ltd', 'LLC', ''), int(id % 4 + 1)) as form")
+    name = "trim(concat(core, ' ', form))"
+    companies = side.selectExpr("concat('h', id) as company_id", f"{name} as company_name",
+                                "concat('x', id, '.com') as domain", "false as is_archived")
+    customers = side.selectExpr("concat('c', id) as customer_code", f"{name} as customer_name")
+    got = match.candidate_tiers(companies, customers)
+    hot = got.where("crm_company_id = 'h0'").agg(F.sum("members")).first()[0]
+    assert hot == 10_000 and got.count() <= 4 * 30_000
+
+
 def test_best_match_never_forms_the_pairs(spark):
     companies, customers = parties(spark)
     plan = match.best_customer_match(companies, customers)._jdf.queryExecution().toString()
