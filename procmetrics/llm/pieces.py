@@ -52,6 +52,8 @@ class Pieces:
         self.bytes = [lib.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         if lib.unk_id() in self.bytes:
             raise ValueError("the vocabulary has no byte pieces")
+        #: Neighbours that some piece holds; no piece, and so no merge, goes over any other two.
+        self.inside = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.cache: dict[str, tuple[int, ...]] = {}
         self.fresh: list[str] = []
         self.fresh_ids: list[tuple[int, ...]] = []
@@ -95,8 +97,28 @@ class Pieces:
                 out.extend(self.bytes[x] for x in t.encode())
         return tuple(out)
 
+    def parts(self, segment: str) -> list[str]:
+        """The segment, cut where no piece goes on: a word and the punctuation and line ends after it."""
+        inside, out, lo = self.inside, [], 0
+        for i in range(1, len(segment)):
+            if segment[i - 1:i + 1] not in inside:
+                out.append(segment[lo:i])
+                lo = i
+        out.append(segment[lo:])
+        return out
+
     def segment_ids(self, segment: str) -> tuple[int, ...]:
-        ids = self.agenda(segment)
+        if segment[1:].isalpha() or len(parts := self.parts(segment)) == 1:
+            ids = self.agenda(segment)
+        else:
+            ids = ()
+            for p in parts:
+                known = self.cache.get(p)
+                if known is None:
+                    known = self.agenda(p)
+                    if len(p) <= CACHED_CHARS and len(self.cache) < CACHED:
+                        self.cache[p] = known
+                ids += known
         self.fresh.append(segment)
         self.fresh_ids.append(ids)
         self.fresh_chars += len(segment)
@@ -139,10 +161,10 @@ def _digests(model: str):
             rows = []
             for at in range(0, b.num_rows, BATCH_TEXTS):
                 part = b.slice(at, BATCH_TEXTS)
-                for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    ids = pieces.encode(text)
+                known = [pieces.encode(text) for text in part.column(1).to_pylist()]
+                for doc, ids, text in zip(part.column(0).to_pylist(), known, pieces.lib.decode(known), strict=True):
                     rows.append((doc, len(ids), hashlib.sha256(",".join([names[i] for i in ids]).encode()).hexdigest(),
-                                 hashlib.sha256(pieces.decode(ids).encode()).hexdigest()))
+                                 hashlib.sha256(text.encode()).hexdigest()))
             pieces.check()
             if rows:
                 c = list(zip(*rows, strict=True))
@@ -163,7 +185,10 @@ def encode_digests(docs: DataFrame, model: str) -> DataFrame:
 
 
 def encode(docs: DataFrame, model: str) -> DataFrame:
-    """All columns of ``docs`` and ``token_ids``, the ids of ``text``; a column of that name is replaced."""
+    """All columns of ``docs`` and ``token_ids``, the ids of ``text``; a column of that name is replaced.
+
+    Null and empty texts have an empty list.
+    """
     from pyspark.sql import types as T
 
     rest = docs.drop("token_ids")
