@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 #: Segments of up to this many characters are kept, up to so many of them in a task.
-CACHED_CHARS, CACHED = 64, 400_000
+CACHED_CHARS, CACHED = 64, 600_000
 #: Characters of segments given to the library at once.
 CHECK_CHARS = 1 << 20
 #: Rows of a batch; texts are whole, so a batch holds as many texts.
