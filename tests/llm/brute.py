@@ -176,3 +176,42 @@ def turns(rows):
 
 
 WORDS = re.compile(r"\w+")
+
+
+def kneser_ney(labelled, texts, discount=0.95, uniform=0.9):
+    """word -> evidence for every word of ``texts``, from (toxic, text) rows, by the formulas written out."""
+    def stem(w):
+        return w[:5] + "*" if len(w) > 5 else w
+
+    n, of_stem, members = Counter(), Counter(), Counter()
+    for t in texts:
+        n.update(set(WORDS.findall((t or "").lower())))
+    for w, k in n.items():
+        of_stem[stem(w)] += k
+        members[stem(w)] += 1
+    models = {}
+    for toxic in (0, 1):
+        before, before_stem = defaultdict(set), defaultdict(set)
+        for y, t in labelled:
+            words = WORDS.findall(t.lower())
+            for v, w in zip(["", *words], words):
+                if y == toxic:
+                    before[w].add(v)
+                    before_stem[stem(w)].add(v)
+        models[toxic] = before, before_stem
+
+    def p(before, key, back):
+        total = sum(map(len, before.values()))
+        return max(len(before.get(key, ())) - discount, 0) / total + discount * len(before) / total * back
+
+    def word_p(toxic, w):
+        before, before_stem = models[toxic]
+        if w is None:  # a word neither class knows, without the shared part
+            share = below = 1.0
+        else:
+            share = (1 - uniform) * of_stem[stem(w)] / sum(of_stem.values()) + uniform / len(of_stem)
+            below = (1 - uniform) * n[w] / of_stem[stem(w)] + uniform / members[stem(w)]
+        return p(before, w, p(before_stem, w and stem(w), share) * below)
+
+    none = math.log(word_p(1, None) / word_p(0, None))
+    return {w: max(math.log(word_p(1, w) / word_p(0, w)) - none, 0.0) for w in n}

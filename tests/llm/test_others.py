@@ -45,6 +45,44 @@ def test_toxic_held_out_accuracy(spark):
     assert sorted(map(str, again)) == sorted(map(str, got))
 
 
+def test_evidence_equals_the_formulas(spark):
+    r = random.Random(11)
+    words = [f"{a}{b}" for a in ("goodnes", "plainly", "oddly", "é_b", "x") for b in range(60)]
+    bad = [f"vilest{x}" for x in ("", "s", "ly", "er")] + ["bad", "worthless"]
+    rows = []
+    for i in range(240):
+        w = [r.choice(words) for _ in range(r.randrange(0, 25))]
+        for _ in range(2 * (i % 3 == 0)):
+            w.insert(r.randrange(len(w) + 1), r.choice(bad))
+        rows.append((int(i % 3 == 0), r.choice([" ", "\n", ", "]).join(w).upper()))
+    rows += [(0, ""), (1, ""), (0, "!!!")]
+    texts = [t for _, t in rows] + ["vilestness unheard oddlyish", None, "goodnest"]
+    counted = spark.createDataFrame(rows, "toxic int, text string")
+    shared = toxicity.shared_counts(spark.createDataFrame([(t,) for t in texts], "text string"))
+    model = toxicity.Model({x.key: x.value for x in toxicity.evidence(counted, shared).collect()})
+    want = brute.kneser_ney([(y, t) for y, t in rows], texts)
+    for w, v in want.items():
+        assert model.evidence(w) == pytest.approx(v / toxicity.TOP, abs=1e-9), w
+    assert len({round(v, 6) for v in want.values()}) > 5
+    best = sorted(want, key=want.get)[-4:]
+    assert model.evidence(" ".join(best)) == pytest.approx(sum(want[w] for w in best[1:]) / 3)
+    assert model.evidence("") == 0
+    one = toxicity.evidence(counted.where("toxic = 0"), shared)
+    assert one.collect() == []
+
+
+def test_toxicity_of_long_and_repeated_texts(spark):
+    rows = [(i, ("vile " if i % 2 else "") + f"plain words {i % 7} " * 5) for i in range(60)]
+    rows += [(100, "word " * 300_000 + "vile"), (3, rows[3][1]), (3, "another text")]
+    docs = spark.createDataFrame([(*x, "held", 1.0) for x in rows], "doc_id long, text string, held_out string, n double")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] * 2, "doc_id long, toxic int")
+    got = toxicity.score(docs, labels).collect()
+    assert sorted(g.doc_id for g in got) == sorted(x[0] for x in rows)
+    score = {g.doc_id: g.score for g in got if g.doc_id != 3}
+    assert score[100] > score[0] and score[1] > score[0]
+    assert len({g.score for g in got if g.doc_id == 3}) == 2
+
+
 def test_toxicity_without_labels_or_documents(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
