@@ -6,11 +6,12 @@ smaller id. The windows are found in four steps.
 1. Sketch: of the 10-word phrases of each window the least by hash is marked.
    Windows with the same words mark the same phrase, so a window that two documents share
    leaves the same mark in both. Texts with equal words are one from here on.
-2. Recurring phrases: marks found in more than one document.
-3. Automata: every task compiles the recurring phrases of its own documents into
-   Aho-Corasick automata (pyahocorasick), one for each batch of documents, and streams the documents
-   through: a batch's automaton holds all recurring phrases its documents can contain. Each
-   occurrence names up to 41 windows around it.
+2. Recurring phrases: marks found in more than one document; their words are read from the first document that has them.
+3. Automata: documents with recurring phrases are dealt into shards of about ``SHARD_PHRASES`` phrases, documents with
+   the same first owner together, a common owner's in several shards. Each shard's phrases are compiled into an
+   Aho-Corasick automaton (pyahocorasick), and its documents are streamed through it. Where a phrase stands in a
+   document is known from the automaton alone. A document without a recurring phrase shares no window and stays out.
+   Each occurrence names up to 41 windows around it.
 4. Confirm: windows are compared by 128 bits of their words' hashes; the smallest document of
    each window is a partial aggregate, and windows of later documents are removed.
 
@@ -33,8 +34,8 @@ from .wordhash import Rolling, Words, mix, sliding, split_words
 
 WINDOW, PHRASE = 50, 10
 SPREAD = WINDOW - PHRASE + 1
-#: Words of one automaton's documents, at most (a longer document is alone in its automaton).
-BATCH_WORDS = 200_000
+#: Phrases of one automaton, about (a document with more is alone in its shard).
+SHARD_PHRASES = 20_000
 _SECOND = np.uint64(0xA0761D6478BD642F)
 
 SKETCH = "doc_id long, n_words long, sha string, text_key long, marks array<long>, places array<int>"
@@ -93,54 +94,78 @@ def _own_text(b: pa.RecordBatch) -> Iterator[tuple[int, int, list[bytes], list[i
             yield doc.as_py(), key.as_py(), w, ints.as_py()
 
 
-def locate(batch: list[tuple[int, int, list[bytes], list[int]]]) -> Iterator[tuple[int, np.ndarray]]:
-    """(place in the batch, starts of windows around a recurring phrase) of each document."""
+def _phrases(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mark, phrase: the words of the marks a document owns, given as alternating marks and places."""
+    for b in batches:
+        marks, phrases = [], []
+        for _, _, w, ints in _own_text(b):
+            for mark, p in zip(ints[::2], ints[1::2], strict=True):
+                marks.append(mark)
+                phrases.append(b" ".join(w[p:p + PHRASE]).decode())
+        yield pa.RecordBatch.from_arrays([pa.array(marks, pa.int64()), pa.array(phrases, pa.string())], names=["mark", "phrase"])
+
+
+def automaton_of(phrases: Iterable[str]):
     import ahocorasick
 
     automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-    texts, lengths = [], []
-    for _, _, w, places in batch:
-        w = [x.decode() for x in w]
-        texts.append(" " + " ".join(w) + " ")
-        lengths.append(np.fromiter(map(len, w), np.int64, len(w)))
-        for p in places:
-            automaton.add_word(" " + " ".join(w[p:p + PHRASE]) + " ")
+    for p in phrases:
+        automaton.add_word(f" {p} ")
     automaton.make_automaton()
-    for i, (text, length) in enumerate(zip(texts, lengths, strict=True)):
-        n, ends = len(length), np.fromiter((e for e, _ in automaton.iter(text)), np.int64)
-        # the place of the space after each word tells which word an occurrence ends with
-        p = np.unique(np.searchsorted(np.cumsum(length + 1), ends)) - PHRASE + 1
-        edge = np.zeros(n - WINDOW + 2, np.int64)
-        np.add.at(edge, np.maximum(p - SPREAD + 1, 0), 1)
-        np.add.at(edge, np.minimum(p, n - WINDOW) + 1, -1)
-        yield i, np.flatnonzero(np.cumsum(edge[:-1]) > 0)
+    return automaton
+
+
+def locate(automaton, words: list[bytes]) -> np.ndarray:
+    """Starts of the windows around the places where a phrase of ``automaton`` stands, in order."""
+    w = [x.decode() for x in words]
+    length = np.fromiter(map(len, w), np.int64, len(w))
+    n = len(w)
+    if n < WINDOW or not len(automaton):
+        return np.zeros(0, np.int64)
+    ends = np.fromiter((e for e, _ in automaton.iter(" " + " ".join(w) + " ")), np.int64)
+    # the place of the space after each word tells which word an occurrence ends with
+    p = np.unique(np.searchsorted(np.cumsum(length + 1), ends)) - PHRASE + 1
+    edge = np.zeros(n - WINDOW + 2, np.int64)
+    np.add.at(edge, np.maximum(p - SPREAD + 1, 0), 1)
+    np.add.at(edge, np.minimum(p, n - WINDOW) + 1, -1)
+    return np.flatnonzero(np.cumsum(edge[:-1]) > 0)
 
 
 def _windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Windows of documents; rows (shard, doc_id, text_key, text) in order of shards, each shard's phrases (doc_id null) first."""
     words, one, two = Words(), Rolling(), Rolling(0xD1342543DE82EF95)
-
-    def emit(batch):
-        for i, starts in locate(batch):
+    at, phrases, automaton = None, [], None
+    for b in batches:
+        for shard, doc, key, text in zip(*(b.column(c) for c in ("shard", "doc_id", "text_key", "text")), strict=True):
+            if shard.as_py() != at:
+                at, phrases, automaton = shard.as_py(), [], None
+            if not doc.is_valid:
+                phrases.append(text.as_py())
+                continue
+            w = split_words(text.as_py())
+            if text_key(hashlib.sha256(b" ".join(w)).digest()) != key.as_py():
+                continue
+            if automaton is None:
+                automaton, phrases = automaton_of(phrases), []
+            starts = locate(automaton, w)
             if not len(starts):
                 continue
-            doc, key, w, _ = batch[i]
             h = words(w)
             first, second = one(h, WINDOW)[starts], two(mix(h ^ _SECOND), WINDOW)[starts]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(first.view(np.int64)), pa.array(second.view(np.int64)),
-                 pa.array(np.full(len(starts), doc, np.int64)), pa.array(np.full(len(starts), key, np.int64)),
+                 pa.array(np.full(len(starts), doc.as_py(), np.int64)), pa.array(np.full(len(starts), key.as_py(), np.int64)),
                  pa.array(starts.astype(np.int32))], names=["h1", "h2", "doc_id", "text_key", "start"])
 
-    batch, size = [], 0
-    for b in batches:
-        for row in _own_text(b):
-            if batch and size + len(row[2]) > BATCH_WORDS:
-                yield from emit(batch)
-                batch, size = [], 0
-            batch.append(row)
-            size += len(row[2])
-    if batch:
-        yield from emit(batch)
+
+def shards_of(hits: DataFrame, shard_phrases: int) -> DataFrame:
+    """doc_id, text_key and shard for ``hits`` (doc_id, text_key, mark, owner)."""
+    docs = store(hits.groupBy("doc_id", "text_key").agg(F.min("owner").alias("owner"), F.count("*").alias("n")), "hit-documents")
+    sizes = docs.groupBy("owner").agg(F.ceil(F.sum("n") / shard_phrases).alias("parts"))
+    total = docs.agg(F.sum("n")).first()[0] or 0
+    part = F.pmod(F.xxhash64("doc_id", "text_key"), F.col("parts"))
+    shard = F.pmod(F.xxhash64("owner", part, F.lit(3)), F.lit(max(1, -(-total // shard_phrases)))).cast("int")
+    return store(docs.join(small(store(sizes, "owner-sizes")), "owner").select("doc_id", "text_key", shard.alias("shard")), "shards")
 
 
 def _remove(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,12 +187,12 @@ def _remove(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(sha, pa.string())], names=["doc_id", "text_key", "n_removed", "kept_sha256"])
 
 
-def removals(docs: DataFrame) -> DataFrame:
+def removals(docs: DataFrame, shard_phrases: int = SHARD_PHRASES) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 for each row of ``docs`` (doc_id, text).
 
     Null and empty texts have no words, texts under 50 words keep all. A row whose
     doc_id is null neither loses words nor makes others lose them. Rows with the same doc_id are one document:
-    they remove nothing from each other. Other columns are not read; an empty table gives an empty result.
+    they remove nothing from each other. Texts of any length are taken whole. Other columns are not read; an empty table gives an empty result.
     """
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     sketch = store(d.mapInArrow(_sketch, SKETCH), "sketch")
@@ -176,21 +201,32 @@ def removals(docs: DataFrame) -> DataFrame:
     own = (sketch.where("size(marks) > 0 and doc_id is not null").join(first, "sha").where("doc_id = first")
            .select("doc_id", "text_key", F.explode(F.arrays_zip("marks", "places")).alias("m"))
            .select("doc_id", "text_key", F.col("m.marks").alias("mark"), F.col("m.places").alias("place")))
-    again = (own.groupBy("mark").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-             .where("lo < hi").select("mark"))
-    hits = (own.join(small(store(again, "marks")), "mark", "left_semi").groupBy("doc_id", "text_key")
-            .agg(F.collect_set("place").alias("ints")))
-    hits = store(hits, "hits")
+    # the first document of each mark, if there is another one
+    first_of = F.min(F.struct("doc_id", "text_key", "place"))
+    marks = store(own.groupBy("mark").agg(first_of.alias("o"), F.max("doc_id").alias("hi")).where("o.doc_id < hi")
+                  .select("mark", F.col("o.doc_id").alias("owner"), F.col("o.text_key").alias("owner_key"), F.col("o.place").alias("place")),
+                  "marks")
+    hits = store(own.select("doc_id", "text_key", "mark").join(small(marks.select("mark", "owner")), "mark").distinct(), "hits")
+    shards = shards_of(hits, shard_phrases)
     # few documents hold recurring phrases; if they are few enough, the other texts stay where they are
-    some = store(hits.select("doc_id").distinct(), "hit-ids")
-    texts = store(d.join(small(some), "doc_id", "left_semi").join(hits, "doc_id"), "phrase-texts")
-    windows = store(texts.mapInArrow(_windows, "h1 long, h2 long, doc_id long, text_key long, start int"), "windows")
+    texts = store(d.join(small(shards), "doc_id"), "phrase-texts")
+    owned = marks.groupBy(F.col("owner").alias("doc_id"), F.col("owner_key").alias("text_key")).agg(
+        F.flatten(F.collect_list(F.array("mark", F.col("place").cast("long")))).alias("ints"))
+    phrases = store(texts.join(owned, ["doc_id", "text_key"]).mapInArrow(_phrases, "mark long, phrase string")
+                    .dropDuplicates(["mark"]), "phrases")
+    needed = hits.join(small(shards), ["doc_id", "text_key"]).select("shard", "mark").distinct()
+    nobody = F.lit(None).cast("long")
+    rows = (needed.join(phrases, "mark").select("shard", nobody.alias("doc_id"), nobody.alias("text_key"), F.col("phrase").alias("text"))
+            .unionByName(texts.select("shard", "doc_id", "text_key", "text")))
+    # a shard is one task's; its phrases, sorted first, are all that the task keeps
+    rows = rows.repartition("shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first())
+    windows = store(rows.mapInArrow(_windows, "h1 long, h2 long, doc_id long, text_key long, start int"), "windows")
     owner = (windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
              .where("lo < hi").select("h1", "h2", "lo"))
     # stored, so that adaptive execution can split the windows of a hot passage between tasks
     gone = (windows.join(small(store(owner, "owners")), ["h1", "h2"]).where("doc_id > lo").groupBy("doc_id", "text_key")
             .agg(F.collect_set("start").alias("ints")))
-    cut = (texts.drop("ints").join(gone, ["doc_id", "text_key"])
+    cut = (texts.drop("shard").join(gone, ["doc_id", "text_key"])
            .mapInArrow(_remove, "doc_id long, text_key long, n_removed long, kept_sha256 string")
            .dropDuplicates(["doc_id", "text_key"]))
     # a copy of an earlier document loses everything, as all its windows start there

@@ -1,6 +1,9 @@
 """Document operators against plain versions, on awkward texts and on the smallest tables."""
 
+import hashlib
+
 import brute
+import pyarrow as pa
 import pytest
 
 
@@ -88,6 +91,34 @@ def test_repeated_phrases(request, name):
     assert sorted(got, key=key) == sorted(brute.removals(rows_of(docs)), key=key)
 
 
+def test_small_shards_give_the_same_removals(hard):
+    want = rows_of(phrases.removals(hard), "doc_id", "n_removed", "kept_sha256")
+    got = rows_of(phrases.removals(hard, shard_phrases=3), "doc_id", "n_removed", "kept_sha256")
+    assert sorted(got) == sorted(want)
+
+
+def test_automata_alone_tell_where_phrases_stand():
+    words = [b"w%d" % (i % 130) for i in range(400)]
+    phrase = b" ".join(words[70:80]).decode()
+    starts = phrases.locate(phrases.automaton_of([phrase]), words)
+    places = [i for i in range(391) if words[i:i + 10] == words[70:80]]
+    assert places == [70, 200, 330]
+    assert starts.tolist() == [s for s in range(351) if any(s <= p <= s + 40 for p in places)]
+    assert phrases.locate(phrases.automaton_of([phrase[1:]]), words).tolist() == []
+
+    text, key = b" ".join(words).decode(), phrases.text_key(hashlib.sha256(b" ".join(words)).digest())
+
+    def found(*rows):
+        batch = pa.RecordBatch.from_pylist(
+            [dict(zip(("shard", "doc_id", "text_key", "text"), r, strict=True)) for r in rows],
+            pa.schema([("shard", pa.int32()), ("doc_id", pa.int64()), ("text_key", pa.int64()), ("text", pa.string())]))
+        return [(d, s) for b in phrases._windows([batch]) for d, s in zip(b["doc_id"].to_pylist(), b["start"].to_pylist(), strict=True)]
+
+    assert found((0, None, None, phrase), (0, 5, key, text), (1, None, None, "not there"), (1, 6, key, text)) == [
+        (5, s) for s in starts]
+    assert found((0, 5, key, text)) == []
+
+
 def test_fuzzy_lines_of_a_table(small):
     want = {i: brute.sha(t.encode()) for i, t in brute.line_cuts(rows_of(small))}
     assert dict(rows_of(lines.dedup_digests(small), "doc_id", "kept_sha256")) == want
