@@ -81,6 +81,7 @@ QUERIES = {f.__name__: f for f in (
 ORACLES = {
     "op7_ball_tree": balltree.ORACLE,
     "op1_host_quality": quality.ORACLE,
+    "op8_rendezvous_shards": sharding.ORACLE,
     "op9_poisson_mix": mixing.ORACLE,
     "op10_chat_grammar": chat.ORACLE,
 }

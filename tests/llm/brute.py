@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 
@@ -126,6 +127,20 @@ def line_cuts(rows):
                           if not x.encode().split() or where[u.find(x)] == (i, p))) for i, t in rows]
 
 
+def shards(rows, n, cell_rows):
+    """(doc_id, size, checksum, shard, shard of one more, slot) of rows (doc_id, text), weights equal."""
+    def draw(*parts):
+        return int(hashlib.md5("|".join("" if p is None else str(p) for p in parts).encode()).hexdigest()[:13], 16)
+
+    cells, by = max(1, math.ceil(len(rows) / (n * cell_rows))), defaultdict(list)
+    for i, t in rows:
+        b = (t or "").encode()
+        won, more = (max(range(k), key=lambda s: (draw(i, s), -s)) for k in (n, n + 1))
+        crc = zlib.crc32(b)
+        by[won].append((draw(i, crc, "cell") % cells, i is not None, i or 0, crc, len(b) + 16, (i, len(b) + 16, crc, won, more)))
+    return [(*r[-1], slot) for x in by.values() for slot, r in enumerate(sorted(x, key=lambda r: r[:5]))]
+
+
 def poisson_copies(rows, seed=17, power=0.5):
     """doc_id -> copies, for rows (doc_id, text, source)."""
     size = Counter()

@@ -214,6 +214,14 @@ def test_shards(hard, odd):
     assert len({(r.doc_id, r.shard) for r in got}) == len({r.doc_id for r in got})
 
 
+@pytest.mark.parametrize("name", ["hard", "odd"])
+def test_winners_and_slots_equal_brute_force(request, name):
+    docs = request.getfixturevalue(name)
+    want = brute.shards(rows_of(docs), 40, 2)
+    got = rows_of(sharding.assign(docs, slot_rows=2), "doc_id", "size", "text_crc32", "shard", "grown_shard", "slot")
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
 def test_shard_shares_follow_the_weights_and_growth_moves_few(spark):
     docs = spark.range(20_000).selectExpr("id as doc_id", "'t' as text")
     rows = sharding.assign(docs, shards=3, weights=[1, 2, 5]).collect()
