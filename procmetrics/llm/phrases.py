@@ -35,7 +35,7 @@ from .wordhash import Rolling, Words, mix, sliding, split_words
 WINDOW, PHRASE = 50, 10
 SPREAD = WINDOW - PHRASE + 1
 #: Phrases of one automaton, about (a document with more is alone in its shard).
-SHARD_PHRASES = 20_000
+SHARD_PHRASES = 5_000
 _SECOND = np.uint64(0xA0761D6478BD642F)
 
 SKETCH = "doc_id long, n_words long, sha string, text_key long, marks array<long>, places array<int>"
