@@ -8,6 +8,9 @@ per (key, piece) with one shuffle, and what a piece has to know of the pieces be
 count and its end values, is one row per piece, carried along on the driver and joined back. There are no more
 pieces than cut points, whatever the data, so both lists are broadcast. Keys without cuts, usually all,
 are one piece each and carry nothing. Rows of equal order values stay in one piece.
+
+The driver holds ``MOST_CUTS`` cut points at most. ``row_number`` with more of them cuts in two steps: first at so many points
+as above, then each of these pieces at points that are a table, and what these pieces carry is a table too.
 """
 
 from __future__ import annotations
@@ -25,6 +28,8 @@ from .joins import measured_join, stored
 PER_CUT = 20
 #: Cut points of a key are searched in two steps, over groups of so many.
 GROUP = 64
+#: Cut points, and pieces, that the driver holds at most.
+MOST_CUTS = 2_000
 
 
 def _direction(term: str) -> tuple[str, bool]:
@@ -93,15 +98,18 @@ def _cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: dict[tu
     return joined.select(*df.columns, piece.alias("_piece"))
 
 
-def _carried(df: DataFrame, cut: DataFrame, keys: Sequence[str], summary: Sequence[Column], carry, fields: Sequence[T.StructField]) -> DataFrame:
+def _summaries(cut: DataFrame, keys: Sequence[str], summary: Sequence[Column]) -> list:
+    return cut.where("_piece is not null").groupBy(*keys, "_piece").agg(*summary).collect()
+
+
+def _carried(cut: DataFrame, found: list, keys: Sequence[str], carry, fields: Sequence[T.StructField]) -> DataFrame:
     """``cut`` with what ``carry`` makes of the summaries of the pieces before a row's piece."""
-    found = cut.where("_piece is not null").groupBy(*keys, "_piece").agg(*summary).collect()
     by_key: dict[tuple, list] = {}
     for r in found:
         by_key.setdefault(tuple(r[:len(keys)]), []).append(r[len(keys):])
     rows = [(*k, piece, *values) for k, pieces in by_key.items()
             for piece, values in carry(sorted(pieces, key=lambda p: p[0]))]
-    known = _local(df, keys, rows, [T.StructField("_p", T.IntegerType()), *fields])
+    known = _local(cut, keys, rows, [T.StructField("_p", T.IntegerType()), *fields])
     on = [*_join_keys(keys), F.col("_piece") == F.col("_p")]
     return cut.join(known, on, "left").drop("_p", *[f"_k{i}" for i in range(len(keys))])
 
@@ -114,9 +122,22 @@ def row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: st
     get their numbers in any order. A key is cut if it holds several of ``parts`` (by default the number
     of shuffle partitions) equal shares of the rows.
     """
-    cuts = _cuts(df, keys, order, _parts_of(df, parts))
+    parts = _parts_of(df, parts)
+    if parts > MOST_CUTS:
+        return _finely_numbered(df, keys, order, out, parts)
+    cuts = _cuts(df, keys, order, parts)
     if not cuts:
         return df.withColumn(out, F.row_number().over(W.partitionBy(*keys).orderBy(*_sorted(order))).cast("bigint"))
+    cut = _cut(df, keys, order, cuts)
+    own = F.row_number().over(W.partitionBy(*keys, "_piece").orderBy(*_sorted(order)))
+    return _counted_on(cut, keys).withColumn(out, (own + F.coalesce("_ahead", F.lit(0))).cast("bigint")).drop("_piece", "_ahead")
+
+
+def _counted_on(rows: DataFrame, keys: Sequence[str], counted: DataFrame | None = None) -> DataFrame:
+    """``rows`` with ``_ahead``: the rows of the key in the pieces before, null for a key without cuts.
+
+    ``counted`` has the same rows, if they are cheaper to count there.
+    """
 
     def counts_before(pieces):
         total = 0
@@ -124,16 +145,65 @@ def row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: st
             yield piece, (total,)
             total += n
 
-    cut = _cut(df, keys, order, cuts)
-    rows = _carried(df, cut, keys, [F.count(F.lit(1)).alias("_n")], counts_before, [T.StructField("_ahead", T.LongType())])
-    own = F.row_number().over(W.partitionBy(*keys, "_piece").orderBy(*_sorted(order)))
-    return rows.withColumn(out, (own + F.coalesce("_ahead", F.lit(0))).cast("bigint")).drop("_piece", "_ahead")
+    found = _summaries(rows if counted is None else counted, keys, [F.count(F.lit(1)).alias("_n")])
+    return _carried(rows, found, keys, counts_before, [T.StructField("_ahead", T.LongType())])
+
+
+def _points(df: DataFrame, keys: Sequence[str], order: Sequence[str], parts: int) -> DataFrame:
+    """What ``_cuts`` finds, as a table with a row per cut: the sorted sample is numbered by Spark, and stays there."""
+    names = [_direction(t)[0] for t in order]
+    rows = df.select(*keys, *names)
+    share = min(1.0, PER_CUT * parts / max(1, rows.count()))
+    sample = rows if share == 1.0 else rows.sample(share, seed=11)
+    in_order = sample.orderBy(*[F.col(k).asc_nulls_last() for k in keys], *_sorted(order))
+    # the number of the task stands above bit 33, that of its row below
+    placed = stored(in_order.withColumn("_at", F.monotonically_increasing_id()), "sample")
+    task = F.shiftright("_at", 33)
+    starts, total = [], 0
+    for t, n in sorted(placed.groupBy(task.alias("t")).agg(F.count(F.lit(1))).collect()):
+        starts.append((t, total))
+        total += n
+    known = F.broadcast(df.sparkSession.createDataFrame(starts, "_task bigint, _start bigint"))
+    step = max(1, total // parts)
+    at = F.col("_start") + F.col("_at").bitwiseAND((1 << 33) - 1)
+    cuts = placed.join(known, task == F.col("_task")).where((at >= step) & (at % step == 0)).select(*rows.columns).distinct()
+    many = cuts.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    return cuts.join(many, _join_keys(keys), "left_semi")
+
+
+def _finely_numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, parts: int) -> DataFrame:
+    """``row_number`` with more cut points than the driver holds.
+
+    The pieces at the first ``MOST_CUTS`` cut points are small enough for one task each. In them rows and the other cut points
+    are put in order together, which gives each row its fine piece; the counts of fine pieces are summed up as a table.
+    """
+    points = _points(df, keys, order, parts)
+    cuts = _cuts(df, keys, order, MOST_CUTS)
+    marked = df.withColumn("_point", F.lit(0)).unionByName(points.withColumn("_point", F.lit(1)), allowMissingColumns=True)
+    cut = _cut(marked, keys, order, cuts) if cuts else marked.withColumn("_piece", F.lit(None).cast("int"))
+    group = [*keys, "_piece"]
+    # a row stands before the cut point that equals it
+    upto = W.partitionBy(*group).orderBy(*_sorted(order), "_point").rowsBetween(W.unboundedPreceding, 0)
+    fine = stored(cut.withColumn("_fine", F.sum("_point").over(upto)).where("_point = 0").drop("_point"), "pieces")
+    sizes = fine.groupBy(*group, "_fine").agg(F.count(F.lit(1)).alias("_n"))
+    before = W.partitionBy(*group).orderBy("_fine").rowsBetween(W.unboundedPreceding, -1)
+    ahead = sizes.withColumn("_in_piece", F.sum("_n").over(before)).where("_in_piece is not null").select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(group)], F.col("_fine").alias("_f"), "_in_piece")
+    rows = fine.join(ahead, [*_join_keys(group), F.col("_fine") == F.col("_f")], "left").drop(
+        "_f", *[f"_k{i}" for i in range(len(group))])
+    rows = _counted_on(rows, keys, fine) if cuts else rows.withColumn("_ahead", F.lit(None).cast("bigint"))
+    own = F.row_number().over(W.partitionBy(*group, "_fine").orderBy(*_sorted(order)))
+    number = own + F.coalesce("_in_piece", F.lit(0)) + F.coalesce("_ahead", F.lit(0))
+    return rows.withColumn(out, number.cast("bigint")).select(*df.columns, out)
 
 
 def lag_first(df: DataFrame, keys: Sequence[str], seq: str, value: str, lag_out: str | None = None,
               first_out: str | None = None, parts: int | None = None) -> DataFrame:
-    """Previous and first ``value`` per key along ``seq``; nulls in ``seq`` are last, equal ones go by ``value``."""
-    cuts = _cuts(df, keys, [seq], _parts_of(df, parts))
+    """Previous and first ``value`` per key along ``seq``; nulls in ``seq`` are last, equal ones go by ``value``.
+
+    Beyond ``MOST_CUTS`` parts keys are cut no finer.
+    """
+    cuts = _cuts(df, keys, [seq], min(_parts_of(df, parts), MOST_CUTS))
     in_order = [F.col(seq).asc_nulls_last(), F.col(value).asc()]
 
     def windows(rows, w, lag, first):
@@ -152,7 +222,8 @@ def lag_first(df: DataFrame, keys: Sequence[str], seq: str, value: str, lag_out:
     kind = df.schema[value].dataType
     place = F.struct(F.col(seq).isNull(), seq, value)
     ends = [F.min_by(F.struct(value), place)[value].alias("_head"), F.max_by(F.struct(value), place)[value].alias("_tail")]
-    rows = _carried(df, _cut(df, keys, [seq], cuts), keys, ends, ends_before,
+    cut = _cut(df, keys, [seq], cuts)
+    rows = _carried(cut, _summaries(cut, keys, ends), keys, ends_before,
                     [T.StructField("_last", kind), T.StructField("_start", kind)])
     w = W.partitionBy(*keys, "_piece").orderBy(*in_order)
     rows = rows.withColumn("_place", F.row_number().over(w))

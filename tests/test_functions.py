@@ -86,6 +86,33 @@ def test_row_number_in_pieces_equals_the_window(skewed, parts):
     assert rows(down, "k", "code", "rn") == rows(want, "k", "code", "rn")
 
 
+def test_more_cuts_than_the_driver_holds(skewed, monkeypatch):
+    """The numbers are those of the window, and cut points beyond a bound do not reach the driver."""
+    monkeypatch.setattr(sequence, "MOST_CUTS", 5, raising=False)
+    frame, most, collect = type(skewed), [0], type(skewed).collect
+
+    def counted(df):
+        got = collect(df)
+        most[0] = max(most[0], len(got))
+        return got
+
+    monkeypatch.setattr(frame, "collect", counted)
+    got = row_number(skewed, ["k"], ["-v", "code"], "rn", 300)
+    assert most[0] <= 2 * sequence.PER_CUT * 5
+    monkeypatch.setattr(frame, "collect", collect)
+    want = skewed.withColumn("rn", F.row_number().over(W.partitionBy("k").orderBy(F.desc_nulls_last("v"), "code")))
+    assert rows(got, "k", "code", "rn") == rows(want, "k", "code", "rn")
+    for r in sequence._points(skewed, ["k"], ["code"], 300).groupBy("k").count().collect():
+        assert r["count"] > 1
+    # equal order values stay in one piece, whatever points fall on them
+    numbers = {}
+    for r in row_number(skewed, ["k"], ["v"], "rn", 300).collect():
+        numbers.setdefault(r.k, []).append((10**9 if r.v is None else r.v, r.rn))
+    for mine in numbers.values():
+        assert sorted(n for _, n in mine) == list(range(1, len(mine) + 1))
+        assert [v for v, _ in sorted(mine, key=lambda m: m[1])] == sorted(v for v, _ in mine)
+
+
 def test_row_number_over_repeated_order_values(skewed):
     """Equal order values share their numbers in any order; no number is missing or given twice."""
     got = {}
