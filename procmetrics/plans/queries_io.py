@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from ..functions.joins import tasks_for
 from ..session import scratch
 from ..sources import landing, publish
 from ..sources.catalog import TableSpec, table_spec
@@ -258,6 +259,10 @@ def publish_layers(i):
         F.broadcast(counted(files, "as_parquet")))
 
 
+#: Source lines that one bucket of published lines holds about.
+LINES_PER_BUCKET = 500_000
+
+
 @query("publish_bucketed", """
 select sales_order_number, sales_order_line_number, q.ordered_qty, l.line_net_amount, d.invoiced_amount
 from sorderq q join sorderp l using (sales_order_number, sales_order_line_number)
@@ -267,8 +272,11 @@ def publish_bucketed(i):
     """Order lines, their prices and invoice lines published in buckets of the line key; joined and folded without a shuffle."""
     key = ("sales_order_number", "sales_order_line_number")
     name = scratch(i.spark, "lines").rsplit("/", 1)[1].replace("-", "_")
+    # a bucket is one task's work however many lines there are
+    buckets = max(8, tasks_for(i.raw("lineitem").count(), LINES_PER_BUCKET))
     quantity, price, invoiced = (
-        publish.publish(df.select(*key, *rest), f"{name}_{n}", "table", scratch(i.spark, "bucketed"), bucket_by=key, buckets=8)
+        publish.publish(df.select(*key, *rest), f"{name}_{n}", "table", scratch(i.spark, "bucketed"), bucket_by=key,
+                        buckets=buckets)
         for n, df, rest in (("q", i.sorderq, ["ordered_qty"]), ("p", i.sorderp, ["line_net_amount"]),
                             ("d", i.sinvoiced, ["line_net_amount"])))
     folded = invoiced.groupBy(*key).agg(F.sum("line_net_amount").alias("invoiced_amount"))

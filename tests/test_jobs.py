@@ -322,3 +322,16 @@ def test_no_staging_name_is_guessed_for_table_specific_codes():
     assert alias_for("erp", "STOJOU", "VCRNUM_0") == "document_number"
     assert alias_for("erp", "GACCENTRY", "VCRNUM_0") == "source_document_number"
     assert all(alias_for("erp", t, c) == n for (t, c), n in TABLE_NAMES.items())
+
+
+def explained(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_published_buckets_follow_the_number_of_lines(spark, monkeypatch):
+    from procmetrics.plans import queries_io
+
+    monkeypatch.setattr(queries_io, "LINES_PER_BUCKET", 500, raising=False)
+    inputs = Inputs(spark, SMALL)
+    buckets = -(-inputs.raw("lineitem").count() // 500)
+    assert buckets > 8 and f"out of {buckets}" in explained(queries_io.publish_bucketed(inputs))
