@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 
 from ..functions import keys as K
 from ..functions.clean import surrogate_key
-from ..functions.joins import stored
+from ..functions.joins import spread, stored
 from ..functions.sequence import row_number, text_list
 from ..policy import DEFAULT, Policy
 
 # fixed values: probe and confidence, strongest first
 CUSTOMER_PROBES = {"exact_name": 0.95, "alnum_name": 0.90, "domain_stem": 0.75, "core_name": 0.60}
 EMPLOYEE_PROBES = {"work_email": 0.99, "person_name": 0.70}
+#: Names that one task opens to their probe keys, some tens of rows each.
+NAMES_PER_TASK = 20_000
 
 
 def _confidence(method: Column, table: dict[str, float]) -> Column:
@@ -209,7 +211,8 @@ def best_customer_match(
     finds those that agree on it too, and they win.
     """
     comp = company_keys(companies, suffixes)
-    cust = customer_keys(customers, suffixes)
+    # a small file is one task, however many keys its names are opened to
+    cust = customer_keys(spread(customers.select("customer_code", "customer_name"), NAMES_PER_TASK, "customer_code"), suffixes)
     lengths = stem_lengths(comp, "s", min_stem)
 
     def with_core(df):

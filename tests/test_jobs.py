@@ -335,3 +335,9 @@ def test_published_buckets_follow_the_number_of_lines(spark, monkeypatch):
     inputs = Inputs(spark, SMALL)
     buckets = -(-inputs.raw("lineitem").count() // 500)
     assert buckets > 8 and f"out of {buckets}" in explained(queries_io.publish_bucketed(inputs))
+
+
+def test_customers_are_dealt_before_their_names_are_opened(spark):
+    i = Inputs(spark, SMALL)
+    plan = explained(match.best_customer_match(i.company, i.bpcustomer)).partition("== Physical Plan ==")[2]
+    assert "hashpartitioning(customer_code" in plan and "REPARTITION_BY_NUM" in plan
