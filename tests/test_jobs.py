@@ -341,3 +341,21 @@ def test_customers_are_dealt_before_their_names_are_opened(spark):
     i = Inputs(spark, SMALL)
     plan = explained(match.best_customer_match(i.company, i.bpcustomer)).partition("== Physical Plan ==")[2]
     assert "hashpartitioning(customer_code" in plan and "REPARTITION_BY_NUM" in plan
+
+
+def test_returns_find_their_lines_without_a_sort_to_fold(spark):
+    """Attribution by hash: the exact reference first, then the normalised one, null keys never, lines may repeat."""
+    lines = spark.createDataFrame(
+        [("R1", 1, "SO1", 1), ("R1", 2, " so1 ", 1), ("R1", 3, "so9", 1), ("R1", 4, None, 1), ("R1", 5, "SO1", None)],
+        "return_number string, return_line_number int, sales_order_number string, sales_order_line_number int").selectExpr(
+        "*", "'s' as site_code", "'i' as item_code", "1 as return_reason_code", "'r' as return_reason",
+        "1 as returned_qty", "1 as net_unit_price", "1 as line_net_amount")
+    heads = spark.sql("select 'R1' as return_number, 's' as site_code, 'c' as customer_code, date'2024-01-01' as return_date, "
+                      "'I1' as invoice_number, 'Open' as return_status")
+    known = spark.createDataFrame([("SO1", 1), ("SO1", 1), (None, 1), ("SO1", None)],
+                                  "sales_order_number string, sales_order_line_number int")
+    got = match.return_line(lines, heads, known)
+    assert "SortAggregate" not in explained(got)
+    assert {r.return_line_number: (r.sales_order_number, r.order_match_method) for r in got.collect()} == {
+        1: ("SO1", "exact"), 2: ("SO1", "normalised"), 3: (None, None), 4: (None, None), 5: (None, None)}
+    assert got.count() == 5
