@@ -359,3 +359,12 @@ def test_returns_find_their_lines_without_a_sort_to_fold(spark):
     assert {r.return_line_number: (r.sales_order_number, r.order_match_method) for r in got.collect()} == {
         1: ("SO1", "exact"), 2: ("SO1", "normalised"), 3: (None, None), 4: (None, None), 5: (None, None)}
     assert got.count() == 5
+
+
+def test_lines_are_dealt_once_to_fold_and_to_meet_their_order(spark):
+    i = Inputs(spark, SMALL)
+    plan = explained(i.shipment).partition("== Physical Plan ==")[2]
+    assert plan.count("hashpartitioning(l_orderkey") == 1 and "hashpartitioning(l_orderkey#" in plan
+    assert "l_linenumber" not in "".join(x for x in plan.splitlines() if "Exchange" in x)
+    assert "REPARTITION_BY_NUM" in "".join(
+        x for x in explained(i._position).partition("== Physical Plan ==")[2].splitlines() if "hashpartitioning(part" in x or "hashpartitioning(l_partkey" in x)
