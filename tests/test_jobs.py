@@ -6,9 +6,11 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from small import SMALL
 
 from procmetrics.functions.keys import LEGAL_SUFFIXES
 from procmetrics.operators import dims, events, facts, fx, lines, match, scd2
+from procmetrics.plans.inputs import Inputs
 from procmetrics.policy import Policy
 
 D = dt.date
@@ -337,7 +339,8 @@ def test_published_buckets_follow_the_number_of_lines(spark, monkeypatch):
     assert buckets > 8 and f"out of {buckets}" in explained(queries_io.publish_bucketed(inputs))
 
 
-def test_customers_are_dealt_before_their_names_are_opened(spark):
+def test_customers_are_dealt_before_their_names_are_opened(spark, monkeypatch):
+    monkeypatch.setattr(match, "NAMES_PER_TASK", 50, raising=False)
     i = Inputs(spark, SMALL)
     plan = explained(match.best_customer_match(i.company, i.bpcustomer)).partition("== Physical Plan ==")[2]
     assert "hashpartitioning(customer_code" in plan and "REPARTITION_BY_NUM" in plan
@@ -363,8 +366,38 @@ def test_returns_find_their_lines_without_a_sort_to_fold(spark):
 
 def test_lines_are_dealt_once_to_fold_and_to_meet_their_order(spark):
     i = Inputs(spark, SMALL)
+    i.line_tasks = 3
     plan = explained(i.shipment).partition("== Physical Plan ==")[2]
     assert plan.count("hashpartitioning(l_orderkey") == 1 and "hashpartitioning(l_orderkey#" in plan
     assert "l_linenumber" not in "".join(x for x in plan.splitlines() if "Exchange" in x)
     assert "REPARTITION_BY_NUM" in "".join(
         x for x in explained(i._position).partition("== Physical Plan ==")[2].splitlines() if "hashpartitioning(part" in x or "hashpartitioning(l_partkey" in x)
+
+
+def test_invoice_lines_are_dealt_by_po_line_once(spark):
+    """PO lines that repeat, receipts without a PO line, and null keys give the rows of four plain left joins."""
+    po = "purchase_order_number string, purchase_order_line_number bigint"
+    inv = spark.createDataFrame([("I1", "P1", 1, "R1", 5), ("I1", "P1", 1, "R2", 5), ("I2", "P2", 1, "R3", 5), ("I2", None, 1, None, 5),
+                                 ("I3", "P3", 1, "R1", 5), ("I9", "P1", 1, "R1", 5)],
+                                f"supplier_invoice_number string, {po}, receipt_number string, invoiced_qty int").selectExpr(
+        "*", "2 as invoiced_unit_price")
+    heads = spark.createDataFrame([("I1",), ("I2",), ("I3",)], "supplier_invoice_number string").selectExpr(
+        "*", "'V' as supplier_code", "date'2024-01-01' as invoice_date", "date'2024-01-02' as accounting_date",
+        "'USD' as currency_code", "1 as invoice_status_code")
+    lines = spark.createDataFrame([("P1", 1, 5), ("P1", 1, 6), (None, 1, 7)], f"{po}, ordered_qty int").selectExpr("*", "2 as net_unit_price")
+    got_in = spark.createDataFrame([("R1", "P1", 1, 5), ("R3", "P2", 1, 5), ("R4", "P2", 1, 1), (None, None, 1, 9)],
+                                   f"receipt_number string, {po}, received_qty int").selectExpr("*", "date'2024-01-03' as receipt_date")
+    with_merge = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = match.three_way_match(inv, heads, lines, got_in)
+        joins = explained(got).partition("== Physical Plan ==")[2].count("LeftOuter")
+        found = sorted(((r.supplier_invoice_number, r.purchase_order_number, r.receipt_number, r.ordered_qty, r.received_qty,
+                         r.total_received_qty, r.receipt_count) for r in got.collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", with_merge)
+    assert joins == 2
+    assert found == sorted([
+        ("I1", "P1", "R1", 5, 5, 5, 1), ("I1", "P1", "R1", 6, 5, 5, 1), ("I1", "P1", "R2", 5, None, 5, 1),
+        ("I1", "P1", "R2", 6, None, 5, 1), ("I2", "P2", "R3", None, 5, 6, 2), ("I2", None, None, None, None, None, None),
+        ("I3", "P3", "R1", None, None, None, None)], key=str)
