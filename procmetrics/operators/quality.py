@@ -159,15 +159,18 @@ def binding_orphans(
         F.sum(F.when(lost, F.col("n")).otherwise(0)).alias("orphans"))
 
 
-def lossless(a: DataFrame, b: DataFrame) -> DataFrame:
+def lossless(a: DataFrame, b: DataFrame, tasks: int | None = None) -> DataFrame:
     """Rows whose multiplicity differs between two builds, with both counts.
 
     Counted in one shuffle of both sides together; equal rows cancel, so an
-    empty result means the builds are equal as multisets.
+    empty result means the builds are equal as multisets. Builds that are dealt by some of their columns already are counted
+    where they are, in as few tasks; ``tasks`` deals them by all columns to so many first.
     """
     if a.columns != b.columns:
         raise ValueError(f"column lists differ: {a.columns} and {b.columns}")
     both = a.withColumn("_side", F.lit(0)).unionByName(b.withColumn("_side", F.lit(1)))
+    if tasks:
+        both = both.repartition(tasks, *a.columns)
     return (
         both.groupBy(*a.columns)
         .agg(F.count_if(F.col("_side") == 0).alias("rows_in_first"),

@@ -401,3 +401,17 @@ def test_invoice_lines_are_dealt_by_po_line_once(spark):
         ("I1", "P1", "R1", 5, 5, 5, 1), ("I1", "P1", "R1", 6, 5, 5, 1), ("I1", "P1", "R2", 5, None, 5, 1),
         ("I1", "P1", "R2", 6, None, 5, 1), ("I2", "P2", "R3", None, 5, 6, 2), ("I2", None, None, None, None, None, None),
         ("I3", "P3", "R1", None, None, None, None)], key=str)
+
+
+def test_lossless_deals_builds_that_are_dealt_by_a_part_of_their_columns(spark):
+    """Both builds are folded by one column; counting their rows is dealt by all columns, to the tasks asked for."""
+    from procmetrics.operators.quality import lossless
+
+    rows = spark.createDataFrame([(i % 40, i) for i in range(400)] + [(None, 1), (None, None)], "k int, v int")
+    a, b = (df.groupBy("k").agg(F.sum("v").alias("s")) for df in (rows, rows.where("v is null or v <> 7")))
+    found = lossless(a, b, tasks=7)
+    plan = explained(found).partition("== Physical Plan ==")[2]
+    assert "REPARTITION_BY_NUM" in plan and re.search(r"hashpartitioning\(k#\d+, s#\d+L, 7\)", plan)
+    got = {tuple(r) for r in found.collect()}
+    assert got == {tuple(r) for r in lossless(a, b).collect()} == {(7, 1870, 1, 0), (7, 1863, 0, 1)}
+    assert lossless(a, a, tasks=7).count() == 0
