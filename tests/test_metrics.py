@@ -172,3 +172,23 @@ def test_severity(spark):
     assert got == ["pass", "warn", "error"]
     got = [r.s for r in df.select(quality.status(F.col("n"), "warn").alias("s")).collect()]
     assert got == ["pass", "warn", "warn"]
+
+
+def test_a_question_folds_the_days_of_its_period_to_the_keys_asked_for(spark, fact, monkeypatch):
+    """Metric rows at the declared dimensions give the same answer."""
+    days = spark.createDataFrame([(20240101, 2024, 1, 1, "a"), (20240102, 2023, 1, 1, "b"), (20240103, 2024, 1, 1, "c"), (None, 2024, 1, 1, "d")],
+                                 "date_key int, calendar_year int, calendar_quarter int, calendar_month int, calendar_month_label string")
+    seen = []
+
+    def spy(m, f, date_key=None, real=metrics.evaluate):
+        seen.append((m.dimensions, f.count()))
+        return real(m, f, date_key)
+
+    m = SHIPPED["on_time_delivery_rate"]
+    rows = metrics.evaluate(m, fact)
+    monkeypatch.setattr(metrics, "evaluate", spy)
+    want = metrics.ask(m, fact, {"dim_date": days}, by=["date.calendar_month_label"], period_text="2024", rows=rows)
+    got = metrics.ask(m, fact, {"dim_date": days}, by=["date.calendar_month_label"], period_text="2024")
+    inside = fact.where("ship_date_key in (20240101, 20240103)").count()
+    assert seen == [(("date",), inside)] and inside < fact.count()
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty() and got.count() == 2
