@@ -415,3 +415,42 @@ def test_lossless_deals_builds_that_are_dealt_by_a_part_of_their_columns(spark):
     got = {tuple(r) for r in found.collect()}
     assert got == {tuple(r) for r in lossless(a, b).collect()} == {(7, 1870, 1, 0), (7, 1863, 0, 1)}
     assert lossless(a, a, tasks=7).count() == 0
+
+
+def exchanges(df):
+    return [x for x in explained(df).partition("== Physical Plan ==")[2].splitlines() if "Exchange" in x]
+
+
+@pytest.mark.parametrize("tasks", [None, 3, 9])
+def test_order_lines_meet_their_order_without_being_dealt_again(spark, tasks):
+    """Lines that repeat or have no order give the rows of plain joins, and one shuffle a side."""
+    from procmetrics.session import CO_PARTITION
+
+    key = "sales_order_number string, sales_order_line_number bigint"
+    q = spark.createDataFrame([("S1", 1, "a"), ("S1", 1, "b"), ("S1", 2, "c"), ("S2", 1, "d"), (None, 1, "e"), ("S3", None, "f")],
+                              f"{key}, item_code string")
+    p = spark.createDataFrame([("S1", 1, "a"), ("S1", 2, "x"), ("S1", 2, "c"), ("S2", 1, "d"), (None, 1, "e")], f"{key}, item_code string")
+    inv = spark.createDataFrame([("I1", "S1", 1, 5), ("I1", "S1", 1, 6), ("I2", "S2", 1, 7), ("I1", None, 1, 9)],
+                                f"invoice_number string, {key}, line_net_amount int")
+    sin = spark.createDataFrame([("I1", "SIN"), ("I2", "SCN")], "invoice_number string, invoice_type_code string")
+    heads = spark.createDataFrame([("S1", "n1"), ("S1", "n2"), ("S2", "n3"), (None, "n4")], "sales_order_number string, site string")
+    was = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", CO_PARTITION)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+
+    def build():
+        j = lines.order_line(q, p, tasks).join(facts.invoiced_per_line(inv, sin, tasks), lines.LINE_KEY, "left")
+        return j.join(heads, "sales_order_number")
+
+    try:
+        spark.conf.set(CO_PARTITION, "true")
+        plain = sorted(map(tuple, build().collect()), key=str)
+        spark.conf.set(CO_PARTITION, "false")
+        got = build()
+        dealt, rows = exchanges(got), sorted(map(tuple, got.collect()), key=str)
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert rows == plain and len(rows) == 9
+    by_order = [x for x in dealt if "hashpartitioning(sales_order_number" in x]
+    # both sides of the lines, the invoice lines and the headers
+    assert len(by_order) == 4 and not any("sales_order_line_number" in x for x in by_order)
