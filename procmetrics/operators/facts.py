@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import MONEY, date_key, fk
-from ..functions.joins import dealt
+from ..functions.joins import dealt, measured_join, stored
 from ..policy import DEFAULT, Policy
 from .events import milestones
 from .fx import with_fx
@@ -245,9 +245,13 @@ def fct_supplier_invoice_line(matched: DataFrame) -> DataFrame:
 def fct_inventory_count_line(
     count_lines: DataFrame, sessions: DataFrame, policy: Policy = DEFAULT
 ) -> DataFrame:
-    """Counted positions; accuracy on the exact quantity or within the tolerance."""
-    head = sessions.select("count_session_number", "count_date", "count_type", "session_status",
-                           "counted_by")
+    """Counted positions; accuracy on the exact quantity or within the tolerance.
+
+    Sessions are few beside the positions, but how few is not known before they are stored and measured.
+    """
+    head = stored(sessions.where("count_session_number is not null").select(
+        F.col("count_session_number").alias("_session"), "count_date", "count_type", "session_status",
+        "counted_by"), "sessions")
     system, counted = F.col("system_qty"), F.col("counted_qty")
     off = F.abs(counted - system)
     pct = F.when(system != 0, off.cast("double") / system.cast("double") * 100)
@@ -255,7 +259,7 @@ def fct_inventory_count_line(
     exact = counted == system
     accurate = exact if tol == 0 else (
         F.when(system == 0, counted == 0).otherwise(pct <= tol))
-    return count_lines.join(head, "count_session_number").select(
+    return measured_join(count_lines, head, [("count_session_number", "_session")], F.col("count_line_number")).select(
         "count_session_number", "count_line_number",
         date_key(F.col("count_date")).alias("count_date_key"),
         fk(F.col("item_code")).alias("item_code"), fk(F.col("site_code")).alias("site_code"),

@@ -69,11 +69,12 @@ class Inputs:
     """``store_lines`` writes the derived order headers and lines to the shared folder once.
 
     Jobs that read them many times then scan a table, as they would in a
-    deployment, in place of folding the line items again for each use.
+    deployment, in place of folding the line items again for each use. ``store_folds`` writes the folded lines alone, for
+    jobs that need them often but the headers on them never.
     """
 
-    def __init__(self, spark: SparkSession, root: str, store_lines: bool = False):
-        self.spark, self.root, self.store_lines = spark, root, store_lines
+    def __init__(self, spark: SparkSession, root: str, store_lines: bool = False, store_folds: bool = False):
+        self.spark, self.root, self.store_lines, self.store_folds = spark, root, store_lines, store_folds
 
     def raw(self, name: str) -> DataFrame:
         return table(self.spark, self.root, name)
@@ -88,7 +89,9 @@ class Inputs:
 
     @cached_property
     def line(self) -> DataFrame:
-        return self.order_line.select(*self.LINE) if self.store_lines else self._line
+        if self.store_lines:
+            return self.order_line.select(*self.LINE)
+        return stored(self._line, "line") if self.store_folds else self._line
 
     @property
     def _line(self) -> DataFrame:
@@ -415,7 +418,8 @@ class Inputs:
     @cached_property
     def stocount(self) -> DataFrame:
         s = F.col("supp")
-        return self._position.groupBy("supp").agg(F.max("ship").alias("day")).select(
+        # the last day of a supplier's positions is that of its lines
+        return self.line.groupBy("supp").agg(F.max("ship").alias("day")).select(
             tag("CS", s).alias("count_session_number"), F.col("day").alias("count_date"),
             when_mod(s, 2, F.lit("Cycle"), F.lit("Annual")).alias("count_type"),
             F.lit("Closed").alias("session_status"), tag("user", s % 5).alias("counted_by"))

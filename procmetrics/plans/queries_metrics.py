@@ -283,7 +283,7 @@ def _mart(i, *processes):
     return out
 
 
-@query("mart_i2d", mart_sql("I2D"))
+@query("mart_i2d", mart_sql("I2D"), store_folds=True)
 def mart_i2d(i):
     return _mart(i, "I2D")
 

@@ -16,7 +16,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None, store_lines: bool = False):
+def query(name: str, sql: str | None = None, store_lines: bool = False, store_folds: bool = False):
     """Register ``fn(inputs) -> DataFrame`` under ``name`` with its oracle."""
 
     def register(fn):
@@ -26,7 +26,7 @@ def query(name: str, sql: str | None = None, store_lines: bool = False):
         def run(spark: SparkSession, root: str) -> DataFrame:
             # the queries follow the recommended settings in this too, whoever made the session
             spark.conf.set(CO_PARTITION, SETTINGS[CO_PARTITION])
-            return fn(Inputs(spark, root, store_lines))
+            return fn(Inputs(spark, root, store_lines, store_folds))
 
         run.__name__, run.__doc__ = name, fn.__doc__
         QUERIES[name] = run

@@ -454,3 +454,30 @@ def test_order_lines_meet_their_order_without_being_dealt_again(spark, tasks):
     by_order = [x for x in dealt if "hashpartitioning(sales_order_number" in x]
     # both sides of the lines, the invoice lines and the headers
     assert len(by_order) == 4 and not any("sales_order_line_number" in x for x in by_order)
+
+
+def test_counted_positions_are_not_dealt_by_their_session(spark):
+    """Sessions that repeat, are missing or have no number give the rows of a plain join."""
+    q = "decimal(18,4)"
+    cl = spark.createDataFrame([(s, n, money(1), money(1)) for n, s in enumerate(["S", "S", "T", "U", None])],
+                               f"count_session_number string, count_line_number int, system_qty {q}, counted_qty {q}"
+                               ).select("*", *[F.lit("x").alias(c) for c in ("item_code", "site_code", "location_code", "lot_code")])
+    se = spark.createDataFrame([("S", D(2024, 1, 1)), ("T", D(2024, 1, 2)), ("T", D(2024, 1, 3)), (None, D(2024, 1, 4))],
+                               "count_session_number string, count_date date").select(
+        "*", *[F.lit("x").alias(c) for c in ("count_type", "session_status", "counted_by")])
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = facts.fct_inventory_count_line(cl, se)
+        dealt, rows = exchanges(got), sorted((r.count_session_number, r.count_line_number, r.count_date.day) for r in got.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert not any("count_session_number" in x for x in dealt)
+    assert rows == [("S", 0, 1), ("S", 1, 1), ("T", 2, 2), ("T", 2, 3)]
+
+
+def test_delivery_mart_folds_the_lines_once(spark):
+    from procmetrics.plans.catalog import load
+
+    plan = explained(load()[0]["mart_i2d"](spark, SMALL)).partition("== Physical Plan ==")[2]
+    assert "lineitem.parquet" not in plan
