@@ -192,8 +192,8 @@ def _tokens(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashed, rolling = Words(), Rolling()
     for b in batches:
         for node, t in zip(b.column("node").to_pylist(), b.column("text"), strict=True):
-            v = labelled(shingles_of(split_words(t.as_py()), hashed, rolling)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), node)), pa.array(v)], names=["node", "token"])
+            v = np.unique(labelled(shingles_of(split_words(t.as_py()), hashed, rolling)).view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array([node], pa.int64()), pa.array([v], pa.list_(pa.int64()))], names=["node", "tokens"])
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -230,8 +230,8 @@ def classes(docs: DataFrame) -> DataFrame:
     nodes = store(nodes.select("text_key", F.col("node").alias("doc_id"), F.col("node_hash").alias("text_hash")), "nodes")
     texts = store(d.join(small(nodes), ["doc_id", "text_hash"]).select(F.col("text_key").alias("node"), "text").distinct(), "near-texts")
     found = link(buckets, _near, lambda pairs: _verified(pairs, texts),
-                 lambda some: texts.join(some.select("node"), "node", "left_semi").mapInArrow(
-                     _tokens, "node long, token long").distinct(), SIMILARITY)
+                 lambda some, tasks: texts.join(some.select("node"), "node", "left_semi").mapInArrow(
+                     _tokens, "node long, tokens array<long>").repartition(tasks, "node").select("node", F.explode("tokens").alias("token")), SIMILARITY)
     ids = lambda end: first.select(F.col("text_key").alias(end), F.col("node").alias(f"id_{end}"))
     found = found.join(ids("a"), "a").join(ids("b"), "b").select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
     root = components(found.unionByName(same))

@@ -1,13 +1,14 @@
 """Document operators against plain versions, on awkward texts and on the smallest tables."""
 
 import hashlib
+import os
 
 import brute
 import pyarrow as pa
 import pytest
 
 
-from procmetrics.llm import lines, mixing, neardup, phrases, pieces, quality, sharding
+from procmetrics.llm import lines, linking, mixing, neardup, phrases, pieces, quality, sharding
 from procmetrics.llm.queries import model_path
 
 SMALL = "/root/testdata/sf0.001"
@@ -139,6 +140,43 @@ def test_repetitive_lines_of_different_lengths_are_one(spark):
     assert got == {i: int(not t) for i, t in brute.line_cuts(rows)} == {0: 0, 1: 1, 2: 1, 3: 0, 4: 1}
 
 
+def test_prefix_filter_stores_no_row_for_each_token_and_keeps_no_prefixes(spark, monkeypatch):
+    crowd = {i: {*range(150), *range(1000 * i, 1000 * i + 50)} for i in range(1, 40)}
+    near = {100 + i: crowd[i] - {3, 4} | {-i} for i in range(1, 10)}
+    sets = crowd | near
+    rows = spark.createDataFrame([(i, sorted(t)) for i, t in sets.items()], "node long, tokens array<long>")
+    nodes = spark.createDataFrame([(i, i, len(t)) for i, t in sets.items()], "node long, root long, about long")
+    stored, write = {}, linking.store
+
+    def counted(df, label):
+        out = write(df, label)
+        stored[label] = (out.count(), out.inputFiles())
+        return out
+
+    monkeypatch.setattr(linking, "store", counted)
+    tokens = rows.repartition(3, "node").selectExpr("node", "explode(tokens) as token")
+    found = linking._rarest_in_common(tokens, nodes, lambda x, y: x.isNotNull() & y.isNotNull(), 0.8)
+    pairs = {(r.a, r.b) for r in found.collect()}
+    assert {(a, b) for a in sets for b in sets if a > b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])} <= pairs
+    assert len(pairs) < 100
+    assert max(n for n, _ in stored.values()) < sum(map(len, sets.values())) / 2
+    assert not os.path.exists(stored["prefixes"][1][0].removeprefix("file://"))
+
+
+def test_line_keys_are_discarded(spark, small, monkeypatch):
+    files, write = {}, lines.store
+
+    def seen(df, label):
+        out = write(df, label)
+        files[label] = [f.removeprefix("file://") for f in out.inputFiles()]
+        return out
+
+    monkeypatch.setattr(lines, "store", seen)
+    lines.removed_lines(small)
+    assert files["signed-keys"] and not any(map(os.path.exists, files["signed-keys"]))
+    assert all(map(os.path.exists, files["signed"]))
+
+
 def test_line_dedup_returns_documents(hard):
     kept = lines.dedup(hard)
     out = {r.doc_id: r for r in kept.collect()}
