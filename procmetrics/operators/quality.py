@@ -116,12 +116,11 @@ def metric_parity(catalog: Catalog, tolerance: float = 1e-6) -> DataFrame:
     differ, and whether they do is reported. Rows and aggregates of all metrics of a fact come from one pass over it.
     """
     live = [m for m in catalog.metrics.values() if not m.is_blocked]
-    both = catalog.rows_and_totals([m.name for m in live])
     side = lambda c: F.sum(F.when(F.col("grain") == "declared", F.col(c)))
-    found = both.groupBy("metric_name").agg(
+    found = catalog.rows_and_totals([m.name for m in live], lambda both: both.groupBy("metric_name").agg(
         ratio(side("numerator"), side("denominator")).alias("from_rows"),
-        F.max(F.when(F.col("grain") == "total", F.col("metric_value"))).alias("from_fact"))
-    names = both.sparkSession.createDataFrame([(m.name,) for m in live], "metric_name string")
+        F.max(F.when(F.col("grain") == "total", F.col("metric_value"))).alias("from_fact")))
+    names = found.sparkSession.createDataFrame([(m.name,) for m in live], "metric_name string")
     adds = F.col("metric_name").isin([m.name for m in live if is_reaggregatable(m)])
     gap = F.abs(F.col("from_rows") - F.col("from_fact"))
     agrees = F.coalesce(

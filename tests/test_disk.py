@@ -1,16 +1,73 @@
 """What large jobs leave on the disks while they run."""
 
 import datetime as dt
+import time
 from collections import Counter
 from decimal import Decimal
 
-from procmetrics.operators import match
+from pyspark.sql import functions as F
+
+from procmetrics.functions.joins import stored
+from procmetrics.operators import match, quality
+from procmetrics.plans.marts import shipped_metrics
+from procmetrics.plans.metrics import Catalog
+from procmetrics.session import DROP_SHUFFLES
+
+
+def shuffled(spark) -> set[str]:
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return {b for b in blocks.mkString(",").split(",") if b.startswith("shuffle_")}
+
+
+def left_behind(spark, before: set[str]) -> set[str]:
+    for _ in range(50):
+        if not (left := shuffled(spark) - before):
+            break
+        time.sleep(0.1)
+    return left
 
 
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_stored_tables_leave_no_shuffle(spark):
+    own = spark.conf.get(DROP_SHUFFLES)
+    for write in (stored,):
+        before = shuffled(spark)
+        rows = write(spark.range(2000).repartition(4, "id").groupBy((F.col("id") % 7).alias("k")).count(), "test")
+        assert not left_behind(spark, before)
+        assert sorted(map(tuple, rows.collect())) == sorted(Counter(i % 7 for i in range(2000)).items())
+    assert spark.conf.get(DROP_SHUFFLES) == own
+
+
+def facts(spark):
+    n = F.col("id")
+    rows = spark.range(60).repartition(3).select(
+        n.alias("shipment_id"), n.alias("invoice_number"), (n % 3 == 0).alias("has_order_reference"),
+        F.when(n % 7 != 0, n % 4 == 0).alias("is_unsettled"),
+        *[F.when(n % 5 != 0, n % 4).cast("int" if "date" in c else "string").alias(c) for c in (
+            "ship_date_key", "invoice_date_key", "customer_key", "site_code", "carrier_scac", "item_code")])
+    return lambda name, need: rows.select(*sorted(need))
+
+
+def test_passes_of_several_facts_run_one_after_the_other(spark):
+    wanted = ["order_reference_coverage_rate", "unsettled_invoice_rate"]
+    metrics = {k: v for k, v in shipped_metrics().items() if k in wanted}
+    catalog = Catalog(facts(spark), metrics)
+    before = shuffled(spark)
+    out = quality.metric_parity(catalog), catalog.totals(wanted), catalog.rows(wanted)
+    assert not left_behind(spark, before)
+    assert "Exchange" not in plan(out[1]) and "Exchange" not in plan(out[2])
+    got = {r.metric_name: r for r in out[0].collect()}
+    assert set(got) == set(wanted) and all(r.passes and r.agrees for r in got.values())
+    assert abs(float(got["order_reference_coverage_rate"].from_fact) - 20 / 60) < 1e-6
+    known = [i for i in range(60) if i % 7]
+    values = {r.metric_name: float(r.metric_value) for r in out[1].collect()}
+    assert values["order_reference_coverage_rate"] == float(got["order_reference_coverage_rate"].from_fact)
+    assert abs(values["unsettled_invoice_rate"] - sum(i % 4 == 0 for i in known) / 60) < 1e-6
+
+
 def test_three_way_match_deals_its_sides_by_the_po_line_once(spark):
     day = dt.date(2020, 1, 1)
     d = Decimal
