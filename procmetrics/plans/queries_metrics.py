@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.joins import stored
 from ..operators import facts, profile
 from ..sources.publish import load_seed
 from . import marts
@@ -302,10 +306,15 @@ def mart_s2p(i):
 select process_code, metric_name, count(*) as metric_rows from ({mart_sql(*PROCESSES)})
 group by 1, 2""", store_lines=True)
 def mart_all(i):
-    """All nine processes; six of them are empty typed frames and add no rows."""
+    """All nine processes; six of them are empty typed frames and add no rows.
+
+    A process has its own metrics, so the marts are counted one after the other, and the shuffles of one are gone
+    from the disks before the next one starts.
+    """
     codes = [r.process_code for r in load_seed(i.spark, "process").collect()]
-    return _mart(i, *codes).groupBy("process_code", "metric_name").agg(
-        F.count(F.lit(1)).alias("metric_rows"))
+    counted = [stored(_mart(i, c).groupBy("process_code", "metric_name").agg(
+        F.count(F.lit(1)).alias("metric_rows")), "mart-counts") for c in codes]
+    return reduce(DataFrame.unionByName, counted)
 
 
 #: The definitions as DuckDB reads them: an account of the registry that shares no code with the library.

@@ -6,9 +6,11 @@ from collections import Counter
 from decimal import Decimal
 
 from pyspark.sql import functions as F
+from small import SMALL
 
 from procmetrics.functions.joins import stored
 from procmetrics.operators import match, quality
+from procmetrics.plans.catalog import load
 from procmetrics.plans.marts import shipped_metrics
 from procmetrics.plans.metrics import Catalog
 from procmetrics.session import DROP_SHUFFLES
@@ -68,6 +70,10 @@ def test_passes_of_several_facts_run_one_after_the_other(spark):
     assert abs(values["unsettled_invoice_rate"] - sum(i % 4 == 0 for i in known) / 60) < 1e-6
 
 
+def test_marts_are_counted_one_after_the_other(spark):
+    assert "Exchange" not in plan(load()[0]["mart_all"](spark, SMALL))
+
+
 def test_three_way_match_deals_its_sides_by_the_po_line_once(spark):
     day = dt.date(2020, 1, 1)
     d = Decimal
