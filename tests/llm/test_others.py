@@ -186,3 +186,33 @@ def test_registered_queries_match_their_sql(spark, con):
     for name, sql in ORACLES.items():
         diff, _, note = compare(spark, con, QUERIES[name], sql, SMALL)
         assert diff is None and not note, (name, diff, note)
+
+
+def test_toxicity_learns_from_every_label(spark, monkeypatch):
+    n = 24_000
+    docs = spark.range(n).selectExpr("id as doc_id", "concat_ws(' ', 'w' || id, if(id % 2 = 0, 'vile', 'kind')) as text")
+    labels = spark.range(n).selectExpr("id as doc_id", "cast(id % 2 = 0 as int) as toxic")
+    seen, evidence, calibrate = [], toxicity.evidence, toxicity.Model.calibrate
+    monkeypatch.setattr(toxicity, "evidence", lambda counted, shared: seen.append(counted.count()) or evidence(counted, shared))
+    monkeypatch.setattr(toxicity.Model, "calibrate", lambda self, fit: seen.append(fit.count()) or calibrate(self, fit))
+    model = toxicity.train(docs, labels)
+    taught = labels.where(~toxicity.held_out(toxicity.F.col("doc_id"))).count()
+    assert sum(seen) == taught and min(seen) > 0.15 * taught
+    assert model.score("vile") > 0.7 > model.score("kind")
+
+
+def test_toxicity_weighs_all_words():
+    values = {"worst": 3.0, "bad": 2.0, "poor": 1.5, "meh": 1.0, "kind": -2.0}
+    model = toxicity.Model(values)
+    model.slopes = (1.0, 1.0)
+    told = lambda text: [model.figures(text), model.score(text)]
+    assert model.figures("Worst, bad poor") == pytest.approx((6.5 / 3, 6.5 / 3))
+    assert model.figures("worst bad poor meh unheard kind") == pytest.approx((5.5 / 6, 6.5 / 3))
+    assert told("worst bad poor meh")[1] > told("worst bad poor unheard")[1] > told("worst bad poor kind")[1]
+    assert model.figures("") == (0.0, 0.0)
+
+
+def test_hashes_of_keys_are_those_of_spark(spark):
+    keys = ["", "a", "word*", "\u00e9t\u00e9", "x" * 100]
+    got = spark.createDataFrame([(k,) for k in keys], "key string").selectExpr("key", "xxhash64(key) as h").collect()
+    assert [r.h % 2**64 for r in got] == [toxicity._hash(r.key) for r in got]
