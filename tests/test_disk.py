@@ -34,8 +34,10 @@ def plan(df) -> str:
 
 
 def test_stored_tables_leave_no_shuffle(spark):
+    from procmetrics.llm.common import store
+
     own = spark.conf.get(DROP_SHUFFLES)
-    for write in (stored,):
+    for write in (stored, store):
         before = shuffled(spark)
         rows = write(spark.range(2000).repartition(4, "id").groupBy((F.col("id") % 7).alias("k")).count(), "test")
         assert not left_behind(spark, before)
